@@ -29,12 +29,17 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def prefix_counts(vc: DataFrame, value: str, keys: Sequence[str] = (), cnt: str = "cnt",
+def prefix_counts(vc: DataFrame, value: str | Sequence[str], keys: Sequence[str] = (), cnt: str = "cnt",
                   partitions: int | None = None) -> DataFrame:
-    """Add ``before`` (count of strictly smaller values within ``keys``) and ``total``."""
+    """Add ``before`` (count of rows with a strictly smaller ``value`` within ``keys``) and ``total``.
+
+    ``value`` may be several columns (lexicographic order), e.g. ``(ts, row_id)``
+    for a global row number that stays balanced when one timestamp is hot.
+    """
     keys = list(keys)
+    vals = [value] if isinstance(value, str) else list(value)
     p = partitions or _parts(vc)
-    r = vc.repartitionByRange(p, *keys, value).withColumn("_pid", F.spark_partition_id())
+    r = vc.repartitionByRange(p, *keys, *vals).withColumn("_pid", F.spark_partition_id())
     tot = r.groupBy("_pid", *keys).agg(F.sum(cnt).alias("_ptot"))
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid")
     off = tot.select("_pid", *keys,
@@ -42,10 +47,11 @@ def prefix_counts(vc: DataFrame, value: str, keys: Sequence[str] = (), cnt: str
                                 F.lit(0)).alias("_off"),
                      F.sum("_ptot").over(wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
                      .alias("total"))
-    wl = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    wl = Window.partitionBy("_pid", *keys).orderBy(*vals).rowsBetween(Window.unboundedPreceding, -1)
     loc = r.withColumn("_loc", F.coalesce(F.sum(cnt).over(wl), F.lit(0)))
     out = loc.join(off, ["_pid", *keys])
-    return out.select(*keys, value, cnt, (F.col("_off") + F.col("_loc")).alias("before"), "total")
+    rest = [c for c in vc.columns if c not in keys and c not in vals and c != cnt]
+    return out.select(*keys, *vals, cnt, *rest, (F.col("_off") + F.col("_loc")).alias("before"), "total")
 
 
 def mid_rank_table(vc: DataFrame, value: str, keys: Sequence[str] = (), cnt: str = "cnt") -> DataFrame:
@@ -96,3 +102,12 @@ def gaussian_kde(df: DataFrame, value: str, points: int = 80, digits: int = 9) -
     z = (F.col("x") - F.col(value)) / F.col("_h")
     dens = F.sum(F.col("cnt") * F.exp(F.lit(-0.5) * z * z)) / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
     return j.groupBy("bin", "x", "_n", "_h").agg(F.round(dens, digits).alias("density")).select("bin", "x", "density")
+
+
+def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), out: str = "rn") -> DataFrame:
+    """1-based row number in ``order`` (within ``keys``) without a single-task window.
+
+    ``order`` must be unique within ``keys`` (add the row key as the last column).
+    """
+    p = prefix_counts(df.withColumn("_one", F.lit(1)), list(order), keys, cnt="_one")
+    return p.withColumn(out, F.col("before") + 1).drop("_one", "before")
