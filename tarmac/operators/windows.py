@@ -67,6 +67,11 @@ def argmax_per_group(df: DataFrame, group: Sequence[str], score: str, tie: str)
 
 
 def hash_key(c: str | Column, seed: int) -> Column:
-    """Seeded 32-bit mixing key (portable integer arithmetic, same in SQL)."""
+    """Seeded 31-bit mixing key (LCG step; overflow-free integer arithmetic, same in SQL)."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.pmod(x.cast("long") * F.lit(2654435761) + F.lit(seed * 97 + 13), F.lit(4294967296))
+    return F.pmod(F.pmod(x.cast("long"), F.lit(2147483648)) * F.lit(1103515245) + F.lit(seed * 97 + 13),
+                  F.lit(2147483648))
+
+
+def hash_key_sql(c: str, seed: int) -> str:
+    return f"((({c} % 2147483648) * 1103515245 + {seed * 97 + 13}) % 2147483648)"
