@@ -5,8 +5,8 @@ value repeated by a third of all rows is one row here, so hot values do not
 pile up in one task.  Cumulative counts come from a two-pass prefix sum over
 a range-partitioned copy of that table:
 
-1. ``repartitionByRange(keys, value)`` -> each partition holds a contiguous
-   value range; ``spark_partition_id`` names it.
+1. A seeded sample gives split points of ``(keys, value)``; each row gets the
+   index of its contiguous range as a plain column (deterministic).
 2. Per partition (and key) totals — at most ``partitions x keys`` rows — give
    each partition its offset through a small window.
 3. A window inside ``(partition, key)`` gives the local running count.
@@ -29,17 +29,61 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
+def range_bounds(df: DataFrame, cols: Sequence[str], parts: int, per_part: int = 64,
+                 seed: int = 17) -> list[tuple]:
+    """``parts - 1`` split points of ``cols`` (lexicographic) from a seeded sample.
+
+    Like Spark's range partitioner, only a bounded sample (about
+    ``per_part * parts`` rows) reaches the driver.  The points become literals
+    of the plan, so every branch and every recomputation after an executor
+    loss buckets rows identically (``spark_partition_id`` after a range
+    shuffle does not guarantee that across re-planned branches).
+    """
+    if parts <= 1:
+        return []
+    n = df.count()
+    if n == 0:
+        return []
+    frac = min(1.0, per_part * parts / n)
+    rows = df.select(*cols).sample(False, frac, seed).orderBy(*cols).collect()
+    if not rows:
+        return []
+    step = len(rows) / parts
+    out = []
+    for i in range(1, parts):
+        t = tuple(rows[min(len(rows) - 1, int(i * step))])
+        if not out or t != out[-1]:
+            out.append(t)
+    return out
+
+
+def bucket_column(df: DataFrame, cols: Sequence[str], bounds: list[tuple]):
+    """Bucket index = number of split points <= struct(cols) (lexicographic)."""
+    if not bounds:
+        return F.lit(0)
+    types = dict(df.dtypes)
+    names = [f"c{i}" for i in range(len(cols))]
+    row = F.struct(*[F.col(c).alias(n) for c, n in zip(cols, names)])
+    lits = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(n) for v, c, n in zip(b, cols, names)])
+                     for b in bounds])
+    return F.size(F.filter(lits, lambda x: x <= row))
+
+
 def prefix_counts(vc: DataFrame, value: str | Sequence[str], keys: Sequence[str] = (), cnt: str = "cnt",
                   partitions: int | None = None) -> DataFrame:
     """Add ``before`` (count of rows with a strictly smaller ``value`` within ``keys``) and ``total``.
 
     ``value`` may be several columns (lexicographic order), e.g. ``(ts, row_id)``
     for a global row number that stays balanced when one timestamp is hot.
+    Rows are cut into ``partitions`` contiguous ranges of ``(keys, value)``;
+    per-range totals (a few rows) give each range its offset, and a window
+    inside each range gives the local running count.
     """
     keys = list(keys)
     vals = [value] if isinstance(value, str) else list(value)
     p = partitions or _parts(vc)
-    r = vc.repartitionByRange(p, *keys, *vals).withColumn("_pid", F.spark_partition_id())
+    bounds = range_bounds(vc, [*keys, *vals], p)
+    r = vc.withColumn("_pid", bucket_column(vc, [*keys, *vals], bounds))
     tot = r.groupBy("_pid", *keys).agg(F.sum(cnt).alias("_ptot"))
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid")
     off = tot.select("_pid", *keys,
@@ -49,6 +93,7 @@ def prefix_counts(vc: DataFrame, value: str | Sequence[str], keys: Sequence[str]
                      .alias("total"))
     wl = Window.partitionBy("_pid", *keys).orderBy(*vals).rowsBetween(Window.unboundedPreceding, -1)
     loc = r.withColumn("_loc", F.coalesce(F.sum(cnt).over(wl), F.lit(0)))
+    # ``off`` has one row per (range, key): small, broadcast by the planner/AQE.
     out = loc.join(off, ["_pid", *keys])
     rest = [c for c in vc.columns if c not in keys and c not in vals and c != cnt]
     return out.select(*keys, *vals, cnt, *rest, (F.col("_off") + F.col("_loc")).alias("before"), "total")
