@@ -54,3 +54,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def checkpoint(df):
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage).
+
+    Used where an iterative or multi-branch plan would otherwise recompute a
+    deep lineage; never a machine-local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
