@@ -31,8 +31,15 @@ def _pad2(c: Column) -> Column:
 # departures (raw, every status)  — FIXTURES §2.1
 # ---------------------------------------------------------------------------
 def departures_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    ev = table(spark, sf_dir, "events")
+    nation = table(spark, sf_dir, "nation")
+    return departures_from(ev, nation)
+
+
+def departures_from(ev: DataFrame, nation: DataFrame) -> DataFrame:
+    """Departures from an events frame (batch or stream) and the nation dimension."""
+    ev = ev.select("event_id", "ts", "user_id", "event_type", "value")
+    nation = nation.select("n_nationkey", "n_name")
     nk = F.pmod(F.col("user_id"), F.lit(S.N_CARRIERS))
     day0 = F.to_date("ts").cast("timestamp_ntz")
     minute_of_day = F.hour("ts") * 60 + F.minute("ts")
@@ -63,15 +70,19 @@ def departures_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scan_departures(spark: SparkSession, sf_dir: str,
-                    keep=("departed", "cancelled")) -> DataFrame:
-    """Keep rows whose status starts with one of ``keep`` (ASCII case-insensitive)."""
-    raw = departures_raw(spark, sf_dir)
+def status_filter(df: DataFrame, keep=("departed", "cancelled")) -> DataFrame:
+    """S1 predicate: status starts with one of ``keep`` (ASCII case-insensitive)."""
     cond = None
     for k in keep:
         c = F.lower(F.col("status")).startswith(k.lower())
         cond = c if cond is None else (cond | c)
-    return raw.filter(cond)
+    return df.filter(cond)
+
+
+def scan_departures(spark: SparkSession, sf_dir: str,
+                    keep=("departed", "cancelled")) -> DataFrame:
+    """Keep rows whose status starts with one of ``keep`` (ASCII case-insensitive)."""
+    return status_filter(departures_raw(spark, sf_dir), keep)
 
 
 # ---------------------------------------------------------------------------
