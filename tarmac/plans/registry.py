@@ -17,6 +17,7 @@ MODULES = [
     "tarmac.plans.stats_q",
     "tarmac.plans.learning_q",
     "tarmac.plans.experiments_q",
+    "tarmac.plans.sources_q",
     "tarmac.streaming.queries",
 ]
 
