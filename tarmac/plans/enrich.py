@@ -1,7 +1,8 @@
 """Raw departures -> enriched ("analysis-ready") table, and ML features.
 
-One lazy plan.  At scale it is written once to Parquet under the shared
-checkpoint folder (``materialise``) and every view reads that table.
+One lazy plan, written once per session and data version to Parquet under
+the shared checkpoint folder (``session.materialised``); every view reads
+that table instead of re-running scan, dedup and the fence aggregate.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from ..functions import columns as C
 from ..operators import joins as J
 from ..operators.windows import latest_per_key
 from ..sources import tables as TB
-from ..session import shared_path
 
 DEDUP_KEY = ["flight_date", "flight_no", "planned_ts"]
 
@@ -85,18 +85,12 @@ def enrich(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool =
 
 
 def enriched(spark: SparkSession, sf_dir: str, threshold: float = 15) -> DataFrame:
-    return enrich(TB.scan_departures(spark, sf_dir), TB.locations(spark, sf_dir), threshold)
-
-
-def materialise(spark: SparkSession, sf_dir: str, name: str = "enriched", threshold: float = 15) -> DataFrame:
-    """Write the enriched table once to the shared folder and read it back.
-
-    Partitioned by ``flight_date`` so date-bounded views prune files; the
-    written table also cuts lineage (no recomputation after executor loss).
-    """
-    path = shared_path(spark, name)
-    enriched(spark, sf_dir, threshold).write.mode("overwrite").partitionBy("flight_date").parquet(path)
-    return spark.read.parquet(path)
+    """The enriched table, written once per session and data version (see ``materialised``)."""
+    from ..session import materialised
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+    df = materialised(spark, f"enriched-t{threshold:g}", inputs,
+                      lambda: enrich(TB.scan_departures(spark, sf_dir), TB.locations(spark, sf_dir), threshold))
+    return df.select(*ENRICHED_COLUMNS)
 
 
 # ---------------------------------------------------------------------------

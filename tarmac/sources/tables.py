@@ -31,9 +31,11 @@ def _pad2(c: Column) -> Column:
 # departures (raw, every status)  — FIXTURES §2.1
 # ---------------------------------------------------------------------------
 def departures_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    nation = table(spark, sf_dir, "nation")
-    return departures_from(ev, nation)
+    """Departures of every status, written once per session and data version."""
+    from ..session import materialised
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+    return materialised(spark, "departures_raw", inputs,
+                        lambda: departures_from(table(spark, sf_dir, "events"), table(spark, sf_dir, "nation")))
 
 
 def departures_from(ev: DataFrame, nation: DataFrame) -> DataFrame:
