@@ -212,10 +212,15 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven imbalance strategies x (5-fold, out-of-time by document id order) with the forest."""
     xy = documents_xy(spark, sf_dir).persist()
-    out = []
-    for name, resampling, weight in ML.STRATEGIES:
-        rows = ML.cross_validate(xy, DOC_FEATURES, "forest", resampling, weight, 5, 42)
-        out += [{"strategy": name, "scheme": "stratified_kfold", **r} for r in rows]
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(strategy):
+        name, resampling, weight = strategy
+        rows = ML.cross_validate(xy, DOC_FEATURES, "forest", resampling, weight, 5, 42, parallel=1)
+        return [{"strategy": name, "scheme": "stratified_kfold", **r} for r in rows]
+
+    with ThreadPoolExecutor(max_workers=len(ML.STRATEGIES)) as ex:
+        out = [r for rows in ex.map(one, ML.STRATEGIES) for r in rows]
     return spark.createDataFrame([tuple(r[c] for c in ("strategy", "scheme", "fold", "tp", "fp", "fn", "tn", "f1",
                                                        "balanced_accuracy")) for r in out],
                                  "strategy string, scheme string, " + FOLD_SCHEMA)
