@@ -156,3 +156,25 @@ def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] =
     """
     p = prefix_counts(df.withColumn("_one", F.lit(1)), list(order), keys, cnt="_one")
     return p.withColumn(out, F.col("before") + 1).drop("_one", "before")
+
+
+def prefix_sums(df: DataFrame, order: Sequence[str], cols: Sequence[str], keys: Sequence[str] = (),
+                partitions: int | None = None) -> DataFrame:
+    """Running sums of several columns in one ordering: adds ``before_<c>`` (sum of ``c``
+    over rows strictly earlier in ``order`` within ``keys``) for every ``c``.
+
+    Same range-bucket scheme as ``prefix_counts``; one sort serves all columns.
+    """
+    keys, vals = list(keys), list(order)
+    p = partitions or _parts(df)
+    bounds = range_bounds(df, [*keys, *vals], p)
+    r = df.withColumn("_pid", bucket_column(df, [*keys, *vals], bounds))
+    tot = r.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
+    wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_pid", *keys, *[F.coalesce(F.sum(f"_pt_{c}").over(wo), F.lit(0)).alias(f"_off_{c}")
+                                      for c in cols])
+    wl = Window.partitionBy("_pid", *keys).orderBy(*vals).rowsBetween(Window.unboundedPreceding, -1)
+    loc = r.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0)).alias(f"_loc_{c}") for c in cols])
+    out = loc.join(off, ["_pid", *keys])
+    return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"before_{c}") for c in cols])

@@ -33,14 +33,33 @@ K = 5
 # ---------------------------------------------------------------------------
 # Spark plan
 # ---------------------------------------------------------------------------
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(threshold, _seed, fold, carrier, hour, dow, y) for every row and configuration.
+
+    One ordering per run seed serves all thresholds: the within-class rank of
+    a row for threshold t is a running count of its class in that ordering, so
+    the rows are expanded x runs (not x runs x thresholds) before the sort,
+    and x thresholds only after, where the aggregation combines map-side.
+    """
     d = TB.scan_departures(spark, sf_dir).select(
         "row_id", "carrier", F.hour("planned_ts").alias("hour"), C.weekday_mon0("planned_ts").alias("dow"),
         C.delay_raw("planned_ts", "actual_ts").alias("_d"))
-    cfg = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(r).alias("_seed"))
-                              for t in THRESHOLDS for r in RUNS])).alias("_cfg")
-    x = d.select("*", cfg).select("row_id", "carrier", "hour", "dow", "_d", "_cfg.threshold", "_cfg._seed")
-    return x.withColumn("y", C.late_flag_strict(F.col("_d"), F.col("threshold")))
+    x = d.select("*", F.explode(F.array(*[F.lit(r) for r in RUNS])).alias("_seed"))
+    x = x.withColumn("_h", F.pmod(F.pmod(F.col("row_id"), F.lit(2147483648)) * F.lit(1103515245)
+                                  + F.col("_seed") * 97 + 13, F.lit(2147483648)))
+    ys = []
+    for t in THRESHOLDS:
+        y = C.late_flag_strict(F.col("_d"), t)
+        x = x.withColumn(f"y{t}", y).withColumn(f"n{t}", 1 - y)
+        ys += [f"y{t}", f"n{t}"]
+    p = RK.prefix_sums(x, ["_h", "row_id"], ys, keys=["_seed"])
+    per_t = F.explode(F.array(*[
+        F.struct(F.lit(t).alias("threshold"), F.col(f"y{t}").alias("y"),
+                 F.pmod(F.when(F.col(f"y{t}") == 1, F.col(f"before_y{t}")).otherwise(F.col(f"before_n{t}")),
+                        F.lit(K)).cast("int").alias("fold"))
+        for t in THRESHOLDS])).alias("_t")
+    return p.select("carrier", "hour", "dow", "_seed", per_t).select(
+        "_t.threshold", "_seed", "_t.fold", "carrier", "hour", "dow", "_t.y")
 
 
 def _cells(f: DataFrame) -> DataFrame:
@@ -56,8 +75,7 @@ def _cells(f: DataFrame) -> DataFrame:
 
 
 def fold_scores_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = _labelled(spark, sf_dir)
-    f = V.stratified_folds(x, "y", K, keys=["threshold", "_seed"])
+    f = _labelled_folds(spark, sf_dir)
     s = V.group_rate_cv(_cells(f), ["threshold", "run", "model"])
     return s.select("threshold", "model", "run", "fold", "tp", "fp", "fn", "tn", rnd("f1"), rnd("balanced_accuracy"))
 
