@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import resample as RS
 from ..operators import scaling as SC
 from ..operators import validation as V
+from ..session import checkpoint
 
 LABEL = "label"  # target column of the ML layer (0/1)
 
@@ -68,7 +69,7 @@ def fit_adaboost(train: DataFrame, rounds: int = ADABOOST_ROUNDS, seed: int = 42
     so the lineage stays short and a lost executor recomputes little.
     """
     import math
-    d = train.withColumn("_w", F.lit(1.0))
+    d = train.withColumn("_w", F.lit(1.0)).persist()
     stumps = []
     for t in range(rounds):
         m = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", maxDepth=1, weightCol="_w", seed=seed + t)
@@ -81,9 +82,10 @@ def fit_adaboost(train: DataFrame, rounds: int = ADABOOST_ROUNDS, seed: int = 42
         err = max(err, 1e-10)
         alpha = math.log((1 - err) / err)
         stumps.append((model, alpha))
+        prev = d
         d = p.select(*train.columns, (F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss"))).alias("_w"))
-        if (t + 1) % 10 == 0:
-            d = d.checkpoint()
+        d = checkpoint(d) if (t + 1) % 10 == 0 else d.persist()
+        prev.unpersist()
         if err <= 1e-10:
             break
     return stumps
