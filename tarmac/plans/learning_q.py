@@ -211,6 +211,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "candidate int, params map<string,string>, mean_test_f1 double, std_test_f1 double, "
         "mean_test_balanced_accuracy double")
     from ..operators.windows import competition_rank
+    df = df.withColumn("label", C.label_from_params("params", list(ML.SEARCH_SPACE)))   # P31
     return competition_rank(df, "mean_test_f1", "rank_test_f1")
 
 
@@ -255,3 +256,26 @@ def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     out, ratio = ML.pca_2d(wide, cols, ML.LABEL, 2)
     return out.withColumn("explained_variance", F.array(*[F.lit(float(x)) for x in ratio]))
+
+
+def _extents_sql() -> str:
+    cols = ["lat", "lon", "distance_km"]
+    agg = ", ".join(f"round(min({c}), {R}) AS min_{c}, round(max({c}), {R}) AS max_{c}" for c in cols)
+    return Q.q_raw(f"""
+SELECT 'all' AS scope, count(*) AS n, {agg} FROM feat
+UNION ALL
+SELECT 'label=' || CAST(label AS VARCHAR), count(*), {agg} FROM feat GROUP BY label""", extra=_FEAT_SQL)
+
+
+@register("class_extents", _extents_sql())
+def class_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and min / max of chosen features, overall and per class (one grouping each)."""
+    x = departures_xy(spark, sf_dir)
+    cols = ["lat", "lon", "distance_km"]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for c in cols:
+        aggs += [F.round(F.min(c), R).alias(f"min_{c}"), F.round(F.max(c), R).alias(f"max_{c}")]
+    overall = x.agg(*aggs).select(F.lit("all").alias("scope"), "*")
+    per = x.groupBy(ML.LABEL).agg(*aggs).select(F.concat(F.lit("label="), F.col(ML.LABEL).cast("string")).alias("scope"),
+                                                *[a for a in ["n"] + [f"{m}_{c}" for c in cols for m in ("min", "max")]])
+    return overall.unionByName(per)

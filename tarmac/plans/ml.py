@@ -130,6 +130,8 @@ def cross_validate(xy: DataFrame, features: Sequence[str], model: str, resamplin
     The fold-assigned table is persisted once; the k fold jobs run
     concurrently (``parallel`` driver threads).
     """
+    from ..functions.columns import require_columns
+    require_columns(xy, [LABEL, "row_id", *features], forbidden=["carrier", "text"], numeric=features)   # P32
     folds = V.stratified_folds(xy, LABEL, k, seed).persist()
 
     def one(f: int) -> dict:

@@ -60,3 +60,16 @@ def run_logs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold parsed from each log file path; first file per threshold."""
     return RL.file_name_facts(_logs(spark, sf_dir))
+
+
+@register("csv_roundtrip", """
+WITH d AS (SELECT e.event_id AS row_id, e.event_type, e.value FROM events e)
+SELECT row_id, event_type, value FROM d""")
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 -> S2: chosen columns exported as header CSV under a run id, read back with an explicit schema."""
+    from pyspark.sql import types as T
+    ev = TB.table(spark, sf_dir, "events").select(F.col("event_id").alias("row_id"), "event_type", "value")
+    out = RL.write_table(ev, shared_path(spark, "exports/events"), fmt="csv", run_id=uuid.uuid4().hex[:12])
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                           T.StructField("value", T.DoubleType())])
+    return TB.read_csv(spark, out, schema)

@@ -125,3 +125,12 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = TB.scan_departures(spark, sf_dir).select(
         "row_id", C.late_flag_strict(C.delay_raw("planned_ts", "actual_ts"), 15).alias("is_late"))
     return stratified_folds(d, "is_late", 5, 42).select("row_id", "is_late", "fold")
+
+
+@register("first_notice", f"""
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_returnflag, l_linestatus
+FROM (SELECT *, row_number() OVER (PARTITION BY {_NK} ORDER BY {_NO_ASC}) AS rn FROM lineitem) WHERE rn = 1""")
+def first_notice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First arrival per key (``min_by`` partial aggregate)."""
+    from ..operators.windows import first_per_key
+    return first_per_key(TB.notices(spark, sf_dir), TB.NOTICE_KEY, TB.NOTICE_ORDER)
