@@ -39,15 +39,23 @@ def time_from_status(status: str | Column, word: str = "departed") -> Column:
 
 
 def combine_date_time(date_col: str | Column, hhmm: str | Column) -> Column:
-    """Date + 'HH:MM' -> timestamp_ntz, invalid -> null."""
-    txt = F.concat_ws(" ", F.date_format(_c(date_col), "yyyy-MM-dd"), _c(hhmm))
-    return F.try_to_timestamp(txt, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
+    """Date + 'HH:MM' -> timestamp_ntz, invalid -> null.
+
+    Built from the date and the parsed hour / minute, so no session time zone
+    is involved (a wall-clock time is never shifted by a DST rule).
+    """
+    t = _c(hhmm)
+    h = F.substring(t, 1, 2).try_cast("int")
+    m = F.substring(t, 4, 2).try_cast("int")
+    valid = t.rlike(r"^\d{2}:\d{2}$") & (h <= 23) & (m <= 59)
+    ts = F.timestamp_add("MINUTE", h * 60 + m, _c(date_col).cast("timestamp_ntz"))
+    return F.when(valid, ts)
 
 
 def parse_date_multi(text: str | Column, formats: Sequence[str] = ("dd/MM/yyyy", "yyyy-MM-dd")) -> Column:
     """P5: first format that parses wins; none -> null."""
     t = _c(text)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("date") for f in formats])
+    return F.coalesce(*[F.try_to_date(t, f) for f in formats])
 
 
 def normalise_text(c: str | Column) -> Column:

@@ -67,7 +67,8 @@ def departures_from(ev: DataFrame, nation: DataFrame) -> DataFrame:
         "planned_ts", "actual_ts",
         F.when(F.col("event_type") == "error", F.lit("Cancelled"))
          .when(F.col("event_type") == "signup", F.lit("Boarding"))
-         .otherwise(F.concat(F.lit("Departed "), F.date_format("actual_ts", "HH:mm"))).alias("status"),
+         .otherwise(F.concat(F.lit("Departed "), _pad2(F.hour("actual_ts")), F.lit(":"),
+                             _pad2(F.minute("actual_ts")))).alias("status"),
         "updated_at",
     )
 
