@@ -74,14 +74,30 @@ def _cells(f: DataFrame) -> DataFrame:
                                                                       F.sum("n").alias("n"))
 
 
+def _inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+
+
 def fold_scores_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _labelled_folds(spark, sf_dir)
-    s = V.group_rate_cv(_cells(f), ["threshold", "run", "model"])
-    return s.select("threshold", "model", "run", "fold", "tp", "fp", "fn", "tn", rnd("f1"), rnd("balanced_accuracy"))
+    """The grid's per-fold scores, computed once per session and data version and
+    written to the shared folder (like the reference's run logs, analysed many times)."""
+    from ..session import materialised
+
+    def build():
+        f = _labelled_folds(spark, sf_dir)
+        s = V.group_rate_cv(_cells(f), ["threshold", "run", "model"])
+        return s.select("threshold", "model", "run", "fold", "tp", "fp", "fn", "tn", rnd("f1"),
+                        rnd("balanced_accuracy"))
+    return materialised(spark, "fold_scores", _inputs(sf_dir), build)
 
 
 def oot_scores_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M18 scheme: fit the group rates on the earliest 80 %, score the last 20 % (W6 split)."""
+    from ..session import materialised
+    return materialised(spark, "oot_scores", _inputs(sf_dir), lambda: _oot_scores(spark, sf_dir))
+
+
+def _oot_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = TB.scan_departures(spark, sf_dir).select(
         "row_id", "planned_ts", "carrier", F.hour("planned_ts").alias("hour"),
         C.weekday_mon0("planned_ts").alias("dow"), C.delay_raw("planned_ts", "actual_ts").alias("_d"))
