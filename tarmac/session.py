@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="tarmac-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions take the setting from the conf
+        pass
     return d
 
 
@@ -92,7 +95,10 @@ def materialised(spark: SparkSession, name: str, inputs, build, partition_by=Non
     Later queries read the written table instead of recomputing its lineage,
     and a lost executor never needs more than the table's own files.
     """
-    key = (spark.sparkContext.applicationId, name, _source_stamp(spark, inputs))
+    try:
+        key = (spark.sparkContext.applicationId, name, _source_stamp(spark, inputs))
+    except Exception:  # noqa: BLE001 - no JVM handle (remote session): plain lazy plan
+        return build()
     path = _MATERIALISED.get(key)
     if path is None:
         import uuid
