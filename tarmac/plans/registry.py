@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -25,9 +28,15 @@ MODULES = [
 def register(name: str, sql: str | None = None):
     """Register a query ``(spark, sf_dir) -> DataFrame`` with its DuckDB oracle."""
     def deco(fn):
-        if name in QUERIES and QUERIES[name] is not fn:
+        if name in QUERIES and getattr(QUERIES[name], "__wrapped__", None) is not fn:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir, *args, **kwargs):
+            ship_package(spark)   # Python workers need the package for pandas UDFs
+            return fn(spark, sf_dir, *args, **kwargs)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

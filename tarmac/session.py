@@ -109,3 +109,40 @@ def materialised(spark: SparkSession, name: str, inputs, build, partition_by=Non
         w.parquet(path)
         _MATERIALISED[key] = path
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tarmac`` importable in the Python workers (pandas UDFs, mapInPandas).
+
+    The package is zipped once per application into the shared checkpoint
+    folder when that folder is a local/shared file system path (otherwise a
+    driver temp file) and registered with ``addPyFile``, which Spark
+    distributes to every executor.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - remote session: the package must be installed on the cluster
+        return
+    if app in _SHIPPED:
+        return
+    import os
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    folder = local if "://" not in local and os.path.isdir(os.path.dirname(local.rstrip("/")) or "/") else \
+        tempfile.mkdtemp(prefix="tarmac-py-")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"tarmac-{app}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
