@@ -120,6 +120,13 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 # transit — FIXTURES §2.4 (rank / parametric tests with many ties)
 # ---------------------------------------------------------------------------
 def transit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transit days per line item, written once per session and data version."""
+    from ..session import materialised
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "part")]
+    return materialised(spark, "transit", inputs, lambda: _transit(spark, sf_dir))
+
+
+def _transit(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                  "l_returnflag", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
