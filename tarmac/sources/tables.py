@@ -158,8 +158,8 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema, header: bool = Tru
     return good, bad
 
 
-def load_dimension(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """A lookup dimension loaded once.  Broadcast only with a size bound."""
-    if max_rows is not None:
-        return F.broadcast(dim)
-    return dim
+def load_dimension(dim: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """A lookup dimension loaded once; broadcast only after its row count is
+    checked against ``max_rows`` (a shuffle join otherwise)."""
+    from ..operators.joins import broadcast_checked
+    return broadcast_checked(dim, max_rows)
