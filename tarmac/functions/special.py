@@ -164,3 +164,25 @@ def median_ci_ranks(n: int, level: float = 0.95) -> tuple[float, float, float, f
         return a, a, b, b
     m1, m2 = n // 2, n // 2 + 1
     return smallest_k(m1, lo_q), smallest_k(m2, lo_q), smallest_k(m1, hi_q), smallest_k(m2, hi_q)
+
+
+def binom_quantile(q: float, n: int, p: float) -> int:
+    """Smallest j with P(Bin(n, p) <= j) >= q."""
+    lo, hi = 0, n
+    while lo < hi:
+        mid = (lo + hi) // 2
+        cdf = 1.0 - binom_sf_ge(mid + 1, n, p)
+        if cdf >= q:
+            hi = mid
+        else:
+            lo = mid + 1
+    return lo
+
+
+def proportion_ci(k: int, n: int, level: float = 0.95) -> tuple[float, float]:
+    """Percentile-bootstrap CI of a share k/n in closed form: a resample's count of
+    ones is Binomial(n, k/n), so the CI ends are its quantiles divided by n."""
+    if n <= 0:
+        return float("nan"), float("nan")
+    p = k / n
+    return (binom_quantile((1 - level) / 2, n, p) / n, binom_quantile((1 + level) / 2, n, p) / n)

@@ -50,6 +50,20 @@ def p_f(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
                       for a, b, c in zip(f, d1, d2)])
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def proportion_ci_udf(k: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([list(SP.proportion_ci(int(a), int(b))) for a, b in zip(k, n)])
+
+
+def share_ci(df: DataFrame, group: str, flag: str) -> DataFrame:
+    """Bootstrap CI of a 0/1 share per group (closed form, one aggregate + a UDF on k rows)."""
+    a = df.filter(F.col(flag).isNotNull()).groupBy(group).agg(
+        F.sum(F.col(flag)).cast("long").alias("k"), F.count(F.lit(1)).alias("n"))
+    return a.withColumn("_ci", proportion_ci_udf("k", "n")).select(
+        group, "k", "n", (F.col("k") / F.col("n") * 100).alias("pct"),
+        (F.col("_ci")[0] * 100).alias("ci_lo"), (F.col("_ci")[1] * 100).alias("ci_hi"))
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def median_ci_rank_udf(n: pd.Series) -> pd.Series:
     return n.map(lambda v: list(SP.median_ci_ranks(int(v))) if v and v >= 2 else None)

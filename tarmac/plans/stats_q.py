@@ -423,3 +423,10 @@ def stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     dl = d.select(F.lit("describe_by_carrier").alias("section"), F.col("carrier").alias("item"),
                   F.expr("stack(4, 'n', CAST(n AS DOUBLE), 'median', median, 'mean', mean, 'iqr', iqr) AS (metric, value)"))
     return long.unionByName(dl)
+
+
+@register("late_share_ci_day_part")
+def late_share_ci_day_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E06 interval: percentile-bootstrap CI of the late share per day part, in closed
+    form (a resampled count of late flights is Binomial(n, k/n))."""
+    return ST.share_ci(completed(enriched(spark, sf_dir)), "day_part", "is_late")

@@ -120,3 +120,20 @@ def test_chronological_split_is_time_ordered(spark):
     n = len(s)
     assert s["is_test"].sum() == max(1, round(0.2 * n))
     assert s[s.is_test == 0]["planned_ts"].max() <= s[s.is_test == 1]["planned_ts"].min()
+
+
+def test_proportion_ci_matches_simulation():
+    rng = np.random.default_rng(0)
+    k, n = 37, 120
+    sims = rng.binomial(n, k / n, 200000) / n
+    lo, hi = SP.proportion_ci(k, n)
+    assert abs(lo - np.quantile(sims, 0.025)) <= 1.0 / n + 1e-12
+    assert abs(hi - np.quantile(sims, 0.975)) <= 1.0 / n + 1e-12
+
+
+def test_share_ci_brackets_share(spark):
+    from tarmac.plans.stats_q import late_share_ci_day_part
+    rows = late_share_ci_day_part(spark, SF_SMALL).collect()
+    assert rows
+    for r in rows:
+        assert r["ci_lo"] <= r["pct"] <= r["ci_hi"]
