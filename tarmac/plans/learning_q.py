@@ -279,3 +279,19 @@ def class_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = x.groupBy(ML.LABEL).agg(*aggs).select(F.concat(F.lit("label="), F.col(ML.LABEL).cast("string")).alias("scope"),
                                                 *[a for a in ["n"] + [f"{m}_{c}" for c in cols for m in ("min", "max")]])
     return overall.unionByName(per)
+
+
+@register("confusion_scores", Q.q_raw(f"""
+SELECT tp, fp, fn, tn, round(coalesce(2.0 * tp / nullif(2.0 * tp + fp + fn, 0), 0), {R}) AS f1,
+       round((coalesce(tp * 1.0 / nullif(tp + fn, 0), 0) + coalesce(tn * 1.0 / nullif(tn + fp, 0), 0)) / 2, {R}) AS balanced_accuracy
+FROM (SELECT count(*) FILTER (WHERE y = 1 AND p = 1) AS tp, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+             count(*) FILTER (WHERE y = 1 AND p = 0) AS fn, count(*) FILTER (WHERE y = 0 AND p = 0) AS tn
+      FROM (SELECT CAST(coalesce(date_diff('second', planned_ts, actual_ts) / 60.0 > 15, false) AS INTEGER) AS y,
+                   CAST(hour(planned_ts) >= 17 AS INTEGER) AS p FROM departures))"""))
+def confusion_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M16 on a fixed prediction (evening departures predicted late): counts, F1, balanced accuracy."""
+    d = TB.scan_departures(spark, sf_dir).select(
+        C.late_flag_strict(C.delay_raw("planned_ts", "actual_ts"), 15).alias("label"),
+        (F.hour("planned_ts") >= 17).cast("int").alias("prediction"))
+    c = V.confusion(d)
+    return c.select("tp", "fp", "fn", "tn", rnd("f1"), rnd("balanced_accuracy"))

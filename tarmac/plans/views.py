@@ -456,3 +456,14 @@ def class_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = a.select(F.expr("stack(3, 'on_time', on_time, 'delayed', delayed, 'cancelled', cancelled) AS (cls, n)"))
     tot = a.select((F.col("on_time") + F.col("delayed") + F.col("cancelled")).alias("_tot"))
     return J.with_global(long, tot).select("cls", "n", F.round(F.col("n") * 100.0 / F.col("_tot"), R).alias("share"))
+
+
+@register("rolling_median", Q.q_enriched("""
+SELECT flight_date, median_delay,
+       CASE WHEN count(median_delay) OVER w >= 3 THEN quantile_cont(median_delay, 0.5) OVER w END AS rolling_median
+FROM (SELECT flight_date, quantile_cont(delay_min, 0.5) AS median_delay FROM enriched GROUP BY flight_date)
+WINDOW w AS (ORDER BY flight_date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)"""))
+def rolling_median_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centred 7-row rolling median (min 3 values) of the daily median delay."""
+    daily = enriched(spark, sf_dir).groupBy("flight_date").agg(A.median("delay_min").alias("median_delay"))
+    return rolling_median(daily, "flight_date", "median_delay", 3, 3)
