@@ -78,21 +78,15 @@ def _bit_set(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"pid": pdf["pid"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").view("<i8")]})
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Null counts as the empty text.  Of equal texts the row with the largest
-    doc_id stays; null ids are smaller than any.  Where that id occurs on
-    several of the rows, one of them stays.  Other columns are ignored; an
-    empty table gives an empty result.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, group_size, stays, rid, sha): ``row`` is the row of ``docs``, ``stays`` and ``rid`` tell rows apart."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact")
-    place = F.monotonically_increasing_id()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
-        "doc_id", "text", F.spark_partition_id().alias("pid"),
-        place.bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
-        F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"))
+    plain = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.spark_partition_id().alias("pid"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+        F.xxhash64(plain).alias("fp"), F.sha2(plain, 256).alias("sha"))
     name = f"llm_exact_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (rows.write.format("parquet").bucketBy(buckets, "pid").option("compression", "zstd")
@@ -113,22 +107,38 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .join(answers, ["sender", "owner"]).mapInPandas(_suspects, "pid int, place long"))
     sets = scratch.keep(suspect.groupBy("pid").applyInPandas(_bit_set, "pid int, bits array<long>"), "sets")
     word = F.get("bits", F.floor(F.col("place") / 64).cast("int"))
-    met = stored.join(sets, "pid", "left").withColumn(
-        "suspect", F.coalesce(F.getbit(word, (F.col("place") % 64).cast("int")), F.lit(0)) == 1)
-    rid = F.struct("doc_id", "pid", "place")
+    rid = F.struct(F.col(f"row.{id_col}").alias("doc_id"), "pid", "place")
+    met = stored.join(sets, "pid", "left").select(
+        "row", rid.alias("rid"), "sha",
+        (F.coalesce(F.getbit(word, (F.col("place") % 64).cast("int")), F.lit(0)) == 1).alias("suspect"))
     # the texts themselves are the grouping key: equal bytes, not equal fingerprints
-    groups = (met.filter("suspect").groupBy("sha", "text").agg(F.max(rid).alias("stays"), F.count("*").alias("n"))
-              .filter("n > 1").select("sha", "stays", "n"))
+    text = F.coalesce(F.col(f"row.{text_col}"), F.lit(""))
+    groups = (met.filter("suspect").groupBy("sha", text.alias("text"))
+              .agg(F.max("rid").alias("stays"), F.count("*").alias("n")).filter("n > 1").select("sha", "stays", "n"))
     groups = scratch.keep(groups, "groups")
-    light = met.select("doc_id", "pid", "place", "sha", "suspect")
-    some = (light.filter("suspect").join(groups, "sha", "left")
-            .select("doc_id", F.coalesce("stays", rid).alias("stays"), F.coalesce("n", F.lit(1)).alias("group_size"),
-                    rid.alias("rid"), "sha"))
-    alone = light.filter("not suspect").select("doc_id", rid.alias("stays"), F.lit(1).cast("long").alias("group_size"),
-                                               rid.alias("rid"), "sha")
-    return some.unionByName(alone).select(
-        "doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size",
-        F.col("stays").eqNullSafe(F.col("rid")).alias("kept"), F.col("sha").alias("text_sha256"))
+    some = met.filter("suspect").join(groups, "sha", "left").select(
+        "row", F.coalesce("n", F.lit(1)).alias("group_size"), F.coalesce("stays", "rid").alias("stays"), "rid", "sha")
+    alone = met.filter("not suspect").select("row", F.lit(1).cast("long").alias("group_size"),
+                                             F.col("rid").alias("stays"), "rid", "sha")
+    return some.unionByName(alone)
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Null counts as the empty text.  Of equal texts the row with the largest
+    doc_id stays; null ids are smaller than any.  Where that id occurs on
+    several of the rows, one of them stays.  Other columns are ignored; an
+    empty table gives an empty result.
+    """
+    found = _grouped(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    return found.select(F.col("rid.doc_id").alias("doc_id"), F.col("stays.doc_id").alias("keep_id"), "group_size",
+                        F.col("stays").eqNullSafe(F.col("rid")).alias("kept"), F.col("sha").alias("text_sha256"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
+    return _grouped(docs, id_col, text_col).filter(F.col("stays").eqNullSafe(F.col("rid"))).select("row.*")
 
 
 ORACLE_SQL = """

@@ -137,12 +137,12 @@ def _confirm(frames):
         yield pdf.loc[ok, ["u", "v"]]
 
 
-def _classed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, cls, text): words joined by one space, cls the first 16 bytes of their SHA-256."""
+def _classed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(doc_id, cls, text, ...): words joined by one space, cls the first 16 bytes of their SHA-256."""
     words = F.regexp_replace(F.regexp_replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), SPACES, " "),
                              "^ | $", "")
-    return (docs.select(F.col(id_col).alias("doc_id"), words.alias("text"))
-            .select("doc_id", F.substring(F.unhex(F.sha2("text", 256)), 1, 16).alias("cls"), "text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), words.alias("text"), *more)
+    return rows.withColumn("cls", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,9 +155,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is null if only null ids are in it, and it is kept only then.
     An empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
     rows = _classed(docs, id_col, text_col)
+    return _decided(rows.select("doc_id", "cls"), _components(rows)).select("doc_id", "n_shingles", "component_id",
+                                                                           "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    found = _decided(_classed(docs, id_col, text_col, whole).select("doc_id", "cls", "row"),
+                     _components(_classed(docs, id_col, text_col)))
+    return found.filter("kept").select("row.*")
+
+
+def _decided(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """``rows(doc_id, cls, ...)`` with n_shingles, component_id and kept."""
+    alone = F.col("n_shingles") == 0
+    return (rows.join(placed, "cls", "left")
+            .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
+            .withColumn("kept", alone | F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    """(cls, n_shingles, component_id) of ``rows(doc_id, cls, text)``."""
+    scratch = Scratch(rows.sparkSession, "near")
     # one text per class: partial aggregation leaves a copied text once per map task before the shuffle
     classes = rows.groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("text").alias("text"))
     signed = (classes.select("cls", "text")
@@ -197,13 +218,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = least.join(comp, least["cls"] == comp["node"], "left").select("cls", "least",
                                                                            F.coalesce("root", "cls").alias("root"))
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = scratch.keep(rooted.join(first, "root").join(sigs.select("cls", "n_shingles"), "cls")
-                          .select("cls", "n_shingles", "component_id"), "placed")
-    found = rows.select("doc_id", "cls").join(placed, "cls", "left")
-    alone = F.col("n_shingles") == 0
-    return found.select("doc_id", "n_shingles",
-                        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                        (alone | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+    return scratch.keep(rooted.join(first, "root").join(sigs.select("cls", "n_shingles"), "cls")
+                        .select("cls", "n_shingles", "component_id"), "placed")
 
 
 ORACLE_SQL = r"""

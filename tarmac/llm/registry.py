@@ -12,7 +12,8 @@ from ..session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ["exact_dedup", "embedding_dedup", "minhash_dedup", "bpe", "mixing"]
+MODULES = ["exact_dedup", "embedding_dedup", "line_dedup", "minhash_dedup", "toxicity", "language", "html_text",
+           "lm_score", "bpe", "mixing"]
 
 
 def query(name: str, sql: str | None = None):
