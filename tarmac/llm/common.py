@@ -96,31 +96,44 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
 
 
 def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                      residual: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+                      residual: Callable[[DataFrame], DataFrame], name: str, rounds: int = 2) -> DataFrame:
     """Components of the verified links among members that share a bucket.
 
     ``buckets(key, id)``.  A bucket of n members does not make n² pairs: first
-    every member is compared with the bucket's smallest member only.  Members
-    that the verified links have already joined need no further look; what is
-    left are buckets whose members lie in different components.  Only their
-    pairs across components are compared in a second round, so that no link
-    that could join two components is lost.  ``verify(pairs(u, v))`` returns
-    the linked pairs; ``residual(rows(key, id, comp))`` makes the pairs of the
-    second round (across components, same key, u < v).
+    every member is compared with the bucket's smallest member only, then, in
+    buckets whose members lie in different components, with one that a hash
+    draws, which differs from bucket to bucket.  Members that the verified
+    links have joined need no further look.  What is then left are pairs
+    across components of a bucket; all of these are compared last, so that no
+    link that could join two components is lost.  ``verify(pairs(u, v))``
+    returns the linked pairs; ``residual(rows(key, id, comp))`` makes the pairs
+    of the last round (across components, same key, u < v).
     """
     dealt = buckets.repartition("key")
     heads = dealt.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub != last")
-    shared = scratch.keep(dealt.join(heads.select("key", "hub"), "key").select("key", "id", "hub"), f"{name}-shared")
-    stars = scratch.keep(shared.filter("id != hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct(),
-                         f"{name}-stars")
-    links = scratch.keep(verify(stars), f"{name}-links")
-    comp = scratch.keep(components(scratch, links, f"{name}-a"), f"{name}-comp")
-    placed = (shared.join(comp, shared["id"] == comp["node"], "left")
-              .select("key", "id", F.coalesce("root", "id").alias("comp")))
-    placed = scratch.keep(placed, f"{name}-placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a != b").select("key")
-    rest = residual(placed.join(mixed, "key", "left_semi")).distinct().join(stars, ["u", "v"], "left_anti")
+    placed = scratch.keep(dealt.join(heads.select("key", "hub"), "key").select("key", "id", "hub"), f"{name}-shared")
+    shared, comp, tried, links = placed.select("key", "id"), None, None, None
+    for r in range(rounds):
+        if r:
+            drawn = F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), "id", "comp")
+            hubs = placed.groupBy("key").agg(F.min(drawn).alias("drawn"))
+            star = (placed.join(hubs, "key").filter("comp != drawn.comp")
+                    .select("id", F.col("drawn.id").alias("hub")))
+        else:
+            star = placed.filter("id != hub")
+        pairs = star.select(F.least("hub", "id").alias("u"), F.greatest("hub", "id").alias("v")).distinct()
+        pairs = scratch.keep(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), f"{name}-star{r}")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = scratch.keep(verify(pairs), f"{name}-links{r}")
+        links = found if links is None else links.unionByName(found)
+        comp = scratch.keep(components(scratch, links, f"{name}-{r}"), f"{name}-comp{r}")
+        placed = shared.join(comp, shared["id"] == comp["node"], "left").select(
+            "key", "id", F.coalesce("root", "id").alias("comp"))
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a != b")
+        placed = scratch.keep(placed.join(mixed.select("key"), "key", "left_semi"), f"{name}-placed{r}")
+        shared = placed.select("key", "id")
+    rest = residual(placed).distinct().join(tried, ["u", "v"], "left_anti")
     more = scratch.keep(verify(rest), f"{name}-more")
     if more.isEmpty():
         return comp
-    return components(scratch, links.unionByName(more), f"{name}-b")
+    return components(scratch, links.unionByName(more), f"{name}-last")

@@ -40,7 +40,7 @@ CHUNKS, WIDTH, ERRORS = 16, 4, 1
 PLACES = CHUNKS * WIDTH
 MOST = CHUNKS * (ERRORS + 1) - 1
 #: bins of the one-permutation sketch, and the bits that it keeps of a bin's value
-BINS, BIN_BITS = 256, 4
+BINS, BIN_BITS = 512, 4
 _LEFT = list(itertools.combinations(range(WIDTH), WIDTH - ERRORS))
 
 
@@ -133,8 +133,13 @@ def _differ(a: str, b: str, planes: int = 16) -> Column:
     return reduce(Column.bitwiseOR, [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(planes)])
 
 
-def _alike(a: str, b: str) -> Column:
-    """Whether two sketches may belong to sets that are similar enough."""
+def _alike(a: str, b: str, m: Column, n: Column) -> Column:
+    """Whether two sketches may belong to sets (of m and n shingles) that are similar enough.
+
+    The occupied bins are a sample without replacement from the union, which
+    has (m + n) / 1.75 shingles at similarity 0.75; the shares that such a
+    sample shows lie within 4.5 standard deviations.
+    """
     words = BINS // 64
     equal, either = [], []
     for w in range(words):
@@ -145,7 +150,8 @@ def _alike(a: str, b: str) -> Column:
         either.append(F.bit_count(x.bitwiseOR(y)))
     same, held = reduce(Column.__add__, equal), reduce(Column.__add__, either)
     share = PER_CENT / 100
-    return same + 4.5 * (share * (1 - share)) ** 0.5 * F.sqrt(held.cast("double")) >= share * held
+    left_out = F.greatest(1 - held * (1 + share) / (m + n), F.lit(0.0))
+    return same + 4.5 * F.sqrt(share * (1 - share) * held * left_out) + 1 >= share * held
 
 
 def _first_bucket(key: str, differ: Column) -> Column:
@@ -303,7 +309,7 @@ def _components(rows: DataFrame) -> DataFrame:
         m, n = F.col(a.format("n_shingles")), F.col(b.format("n_shingles"))
         return ((100 * F.least(m, n) >= PER_CENT * F.greatest(m, n))
                 & (F.bit_count(_differ(a.format("sig"), b.format("sig"), 6)) <= MOST)
-                & _alike(a.format("sketch"), b.format("sketch")))
+                & _alike(a.format("sketch"), b.format("sketch"), m, n))
 
     step = itertools.count()
 
