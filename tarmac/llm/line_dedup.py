@@ -1,10 +1,10 @@
 """Line dedup by winnowing over line hashes (built-in functions only).
 
 A text is its sequence of non-blank lines.  Of every window of ``window``
-consecutive line hashes the smallest (the rightmost among equals) is a
-fingerprint, so any run of that many lines that two texts share has a
-fingerprint in common.  A single line of at least ``line_words`` words is a
-window of its own.  Fingerprints are counted over all positions; those that
+consecutive line hashes the smallest is a fingerprint, so any run of that many
+lines that two texts share has a fingerprint in common.  A single line of at
+least ``line_chars`` characters, white space not counted, is a window of its
+own.  Fingerprints are counted over all positions; those that
 occur once go no further, and with them go most lines.
 
 A match of two positions is extended both ways as far as the lines agree: each
@@ -20,21 +20,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, Scratch, n_words, table
+from .common import Scratch, table
 from .registry import query
 
-WINDOW, LINE_WORDS = 2, 8
+WINDOW, LINE_CHARS = 2, 40
+_BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _windows(window: int, line_words: int) -> Column:
-    """array<struct<fp, at, digest>> of the windows over the column ``seq`` (array<struct<h, words, line, at>>)."""
+def _chars(line: Column) -> Column:
+    """Characters of a line that are not white space; 0 for a blank line."""
+    return F.length(F.translate(line, _BLANKS, ""))
+
+
+def _windows(window: int, line_chars: int) -> Column:
+    """array<struct<fp, at, digest>> of the windows over the column ``seq`` (array<struct<h, chars, line, at>>)."""
     def digest(start, n):
         lines = F.transform(F.slice("seq", start + 1, n), lambda x: x["line"])
-        return F.substring(F.unhex(F.sha2(F.concat_ws("\n", lines), 256)), 1, 16)
+        return F.unhex(F.md5(F.concat_ws("\n", lines)))
 
     def run(start):
         least = F.array_min(F.transform(F.slice("seq", start + 1, F.lit(window)), lambda x: x["h"]))
@@ -46,12 +52,12 @@ def _windows(window: int, line_words: int) -> Column:
 
     last = F.size("seq") - window
     runs = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), run))
-    singles = F.filter(F.transform("seq", lambda x, i: F.when(x["words"] >= line_words, single(x, i))),
+    singles = F.filter(F.transform("seq", lambda x, i: F.when(x["chars"] >= line_chars, single(x, i))),
                        lambda x: x.isNotNull())
     return F.concat(F.coalesce(runs, F.slice(singles, 1, 0)), singles)
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, line_words: int = LINE_WORDS, id_col: str = "doc_id",
+def dedup_lines(docs: DataFrame, window: int = WINDOW, line_chars: int = LINE_CHARS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines (not blank), n_deleted, text (what is left).
 
@@ -65,10 +71,10 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, line_words: int = LINE_WO
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn(
         "th", F.xxhash64("text"))
     lines = _lines(F.col("text"))
-    seq = F.filter(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("h"), n_words(x).alias("words"),
+    seq = F.filter(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("h"), _chars(x).alias("chars"),
                                                             x.alias("line"), i.alias("at"))),
-                   lambda x: x["words"] > 0)
-    windows = (rows.withColumn("seq", seq).select("doc_id", "th", F.explode(_windows(window, line_words)).alias("w"))
+                   lambda x: x["chars"] > 0)
+    windows = (rows.withColumn("seq", seq).select("doc_id", "th", F.explode(_windows(window, line_chars)).alias("w"))
                .select("doc_id", "th", "w.fp", "w.at", "w.digest"))
     windows = scratch.keep(windows, "windows")
     repeated = windows.groupBy("fp").agg(F.count("*").alias("k")).filter("k > 1")
@@ -82,25 +88,25 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, line_words: int = LINE_WO
     gone = scratch.keep(gone.select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), "gone"), "gone")
     met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left")
     left = F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.array_contains("gone", i)))
-    n_lines = F.size(F.filter(lines, lambda x: n_words(x) > 0))
+    n_lines = F.size(F.filter(lines, lambda x: _chars(x) > 0))
     return met.select("doc_id", n_lines.cast("long").alias("n_lines"),
                       F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"),
                       F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
 
 
 ORACLE_SQL = rf"""
-WITH l AS (SELECT doc_id, i, line, len(list_filter(regexp_split_to_array(line, '{SPACES}'), lambda x: x <> '')) AS words
+WITH l AS (SELECT doc_id, i, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
 s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
-      lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM l WHERE words > 0),
-w AS (SELECT doc_id, k, 1 AS n, line AS body FROM s WHERE words >= {LINE_WORDS}
+      lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM l WHERE chars > 0),
+w AS (SELECT doc_id, k, 1 AS n, line AS body FROM s WHERE chars >= {LINE_CHARS}
       UNION ALL SELECT doc_id, k, 2, line || chr(10) || nxt FROM s WHERE nxt IS NOT NULL),
 f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) AS r FROM w),
 g AS (SELECT DISTINCT doc_id, k + j AS k FROM f, range(2) AS t(j) WHERE r > 1 AND j < n),
-m AS (SELECT l.doc_id, l.i, l.line, l.words, g.k IS NOT NULL AS gone FROM l LEFT JOIN s ON s.doc_id = l.doc_id
+m AS (SELECT l.doc_id, l.i, l.line, l.chars, g.k IS NOT NULL AS gone FROM l LEFT JOIN s ON s.doc_id = l.doc_id
       AND s.i = l.i LEFT JOIN g ON g.doc_id = s.doc_id AND g.k = s.k)
-SELECT doc_id, count(*) FILTER (words > 0) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+SELECT doc_id, count(*) FILTER (chars > 0) AS n_lines, count(*) FILTER (gone) AS n_deleted,
   coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM m GROUP BY 1
 """
 
