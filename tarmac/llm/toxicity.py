@@ -33,9 +33,9 @@ from .common import fold_of, table
 from .registry import query
 
 FOLDS = 5
-SAMPLE = 12000
+SAMPLE = 8000
 LANDMARKS = 64
-LENGTHS = (4, 5, 6, 7, 8)
+LENGTHS = (5, 6, 7, 8)
 ORDER, DECAY, FLOOR = 4, 0.7, 0.4
 #: a landmark this similar to a better one is left out
 SIMILAR = 0.45
@@ -45,6 +45,8 @@ EVIDENCE = 30.0
 START = "\x02"
 #: a segment's longer rest is compared in overlapping windows of this length
 WINDOW = 24
+#: words whose matches a task remembers before it starts anew
+HELD_WORDS = 400_000
 _WORD = re.compile(r"\S+")
 
 
@@ -118,36 +120,70 @@ def _masks(strings: list[str]) -> np.ndarray:
     return np.bitwise_or.reduceat(np.concatenate((bits, [np.uint64(0)])), np.concatenate(([0], ends[:-1])))
 
 
+def _pairs(strings: list[str], reach: int) -> np.ndarray:
+    """One bit for each ordered pair of letters (modulo 64) at most ``reach`` places apart."""
+    raw = np.frombuffer("\0".join(strings).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(x) + 1 for x in strings])
+    bits = np.zeros(len(raw) + 1, dtype=np.uint64)
+    apart = raw == 0   # no pair reaches over the end of a string
+    for d in range(1, reach + 1):
+        one = np.uint64(1) << ((raw[:-d] * np.uint64(37) + raw[d:] * np.uint64(11)) & np.uint64(63))
+        broken = np.zeros(len(one), dtype=bool)
+        for k in range(d + 1):
+            broken |= apart[k:len(apart) - d + k]
+        bits[:len(one)] |= np.where(broken, np.uint64(0), one)
+    return np.bitwise_or.reduceat(bits, np.concatenate(([0], ends[:-1])))
+
+
 class Matcher:
-    """A text's best match to every landmark, between 0 and 1."""
+    """A text's best match to every landmark, between 0 and 1.
+
+    A segment that lacks more than one of a landmark's letters, or half of its
+    neighbouring letter pairs within three places, does not match it.
+    """
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
         self.own = np.array([kernel(m, [m])[0] for m in landmarks])
         self.mask = _masks(landmarks) if landmarks else np.empty(0, dtype=np.uint64)
         self.letters = np.bitwise_count(self.mask)
+        self.pairs = _pairs(landmarks, 1) if landmarks else np.empty(0, dtype=np.uint64)
+        self.half = np.bitwise_count(self.pairs) // 2
+        self.known: dict[str, tuple] = {}
+
+    def _learn(self, names: list[str]) -> None:
+        """Matches of new segments: (landmark, value) pairs, usually none."""
+        masks, pairs = _masks(names), _pairs(names, 3)
+        found: dict[int, list] = {}
+        sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
+        for j, m in enumerate(self.landmarks):
+            likely = np.flatnonzero((np.bitwise_count(masks & self.mask[j]) >= self.letters[j] - 1)
+                                    & (np.bitwise_count(pairs & self.pairs[j]) > self.half[j]))
+            likely = likely[np.argsort(sizes[likely], kind="stable")]
+            for at in range(0, len(likely), 512):   # of similar length
+                some = likely[at:at + 512]
+                near = np.minimum(kernel_many([names[k] for k in some], m) / self.own[j], 1)
+                for k, x in zip(some[near > FLOOR].tolist(), near[near > FLOOR].tolist()):
+                    found.setdefault(k, []).append((j, (x - FLOOR) / (1 - FLOOR)))
+        for k, name in enumerate(names):
+            self.known[name] = tuple(found.get(k, ()))
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """(texts, landmarks).  A segment that lacks more than one of a landmark's letters does not match it."""
+        """(texts, landmarks): the largest match among a text's segments."""
         out = np.zeros((len(texts), len(self.landmarks)))
-        strings: dict[str, int] = {}
-        owner, which = [], []
-        for i, text in enumerate(texts):
-            for s in segments((text or "").lower()):
-                owner.append(i)
-                which.append(strings.setdefault(s, len(strings)))
-        if not strings or not self.landmarks:
+        if not self.landmarks:
             return out
-        names, owner, which = list(strings), np.array(owner), np.array(which)
-        masks = _masks(names)
-        for j, m in enumerate(self.landmarks):
-            likely = np.flatnonzero(np.bitwise_count(masks & self.mask[j]) >= self.letters[j] - 1)
-            if not len(likely):
-                continue
-            value = np.zeros(len(names))
-            near = kernel_many([names[k] for k in likely], m) / self.own[j]
-            value[likely] = np.clip((np.minimum(near, 1) - FLOOR) / (1 - FLOOR), 0, 1)
-            np.maximum.at(out[:, j], owner, value[which])
+        parts = [segments((text or "").lower()) for text in texts]
+        if len(self.known) > HELD_WORDS:
+            self.known.clear()
+        new = list(dict.fromkeys(s for part in parts for s in part if s not in self.known))
+        if new:
+            self._learn(new)
+        for i, part in enumerate(parts):
+            for s in part:
+                for j, x in self.known[s]:
+                    if x > out[i, j]:
+                        out[i, j] = x
         return out
 
 
