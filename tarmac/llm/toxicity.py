@@ -36,7 +36,7 @@ FOLDS = 5
 SAMPLE = 8000
 LANDMARKS = 64
 LENGTHS = (5, 6, 7, 8)
-ORDER, DECAY, FLOOR = 4, 0.7, 0.4
+ORDER, DECAY, FLOOR = 4, 0.8, 0.5
 #: a landmark this similar to a better one is left out
 SIMILAR = 0.45
 #: log likelihood ratio that a landmark needs: millions of strings are tried
@@ -47,7 +47,7 @@ START = "\x02"
 WINDOW = 24
 #: words whose matches a task remembers before it starts anew
 HELD_WORDS = 400_000
-_WORD = re.compile(r"\S+")
+_SCRAPS = re.compile(r"(?<!\S)(?:\S{1,2}(?:\s+|\Z)){3,}")
 
 
 def kernel(a: str, landmarks: list[str]) -> np.ndarray:
@@ -72,44 +72,31 @@ def kernel(a: str, landmarks: list[str]) -> np.ndarray:
 
 def kernel_many(strings: list[str], m: str) -> np.ndarray:
     """Kernel of many strings with one landmark (all strings at once)."""
-    width = max(map(len, strings))
-    s = np.zeros((len(strings), width), dtype=np.uint32)
-    for i, x in enumerate(strings):
-        s[i, :len(x)] = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    codes = [ord(c) for c in m]
-    inner = [np.ones((len(strings), len(m) + 1))] + [np.zeros((len(strings), len(m) + 1)) for _ in range(ORDER - 1)]
+    width, n = max(map(len, strings)), len(m)
+    joined = "".join(x.ljust(width, "\0") for x in strings)
+    s = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(strings), width)
+    codes = np.array([ord(c) for c in m], dtype=np.uint32)
+    # a subsequence that ends at the landmark's place i reaches place j > i with one decay for each place between
+    reach = np.array([[DECAY ** (j - 1 - i) if j > i else 0.0 for j in range(n + 1)] for i in range(n)])
+    inner = [np.ones((len(strings), n + 1))] + [np.zeros((len(strings), n + 1)) for _ in range(ORDER - 1)]
     total = np.zeros(len(strings))
     for i in range(width):
-        same = np.stack([s[:, i] == c for c in codes], axis=1)
-        total += DECAY ** 2 * (inner[ORDER - 1][:, :-1] * same).sum(1)
+        same = s[:, i:i + 1] == codes
+        total += (inner[ORDER - 1][:, :-1] * same).sum(1)
         for p in range(ORDER - 1, 0, -1):
-            fresh = DECAY ** 2 * inner[p - 1][:, :-1] * same
-            row = np.zeros_like(inner[p])
-            for j in range(len(m)):
-                row[:, j + 1] = DECAY * row[:, j] + fresh[:, j]
-            inner[p] = DECAY * inner[p] + row
-    return total
+            inner[p] *= DECAY
+            inner[p] += (inner[p - 1][:, :-1] * same) @ (reach * DECAY ** 2)
+    return total * DECAY ** 2
 
 
-def segments(text: str) -> list[str]:
-    """Distinct words, and runs of three or more short scraps (letters written apart) joined together."""
-    words = _WORD.findall(text)
-    out, run = set(), []
-    for w in words:
-        if len(w) <= 2:
-            run.append(w)
-            continue
-        out.add(w)
-        if len(run) >= 3:
-            out.add("".join(run))
-        run.clear()
-    if len(run) >= 3:
-        out.add("".join(run))
-    cut = []
-    for w in out:
-        w = START + w
-        cut += [w] if len(w) <= WINDOW else [w[i:i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2)]
-    return cut
+def segments(text: str) -> set[str]:
+    """Distinct words of three or more characters, and runs of three or more shorter scraps joined together."""
+    out = {w for w in text.split() if len(w) > 2}
+    out.update("".join(run.split()) for run in _SCRAPS.findall(text))
+    for w in [w for w in out if len(w) > WINDOW]:
+        out.remove(w)
+        out.update(w[i:i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
+    return out
 
 
 def _masks(strings: list[str]) -> np.ndarray:
@@ -149,24 +136,24 @@ class Matcher:
         self.letters = np.bitwise_count(self.mask)
         self.pairs = _pairs(landmarks, 1) if landmarks else np.empty(0, dtype=np.uint64)
         self.half = np.bitwise_count(self.pairs) // 2
-        self.known: dict[str, tuple] = {}
+        self.known: set[str] = set()        # segments that were compared
+        self.matched: dict[str, list] = {}   # those that match: (landmark, value) pairs
 
     def _learn(self, names: list[str]) -> None:
-        """Matches of new segments: (landmark, value) pairs, usually none."""
-        masks, pairs = _masks(names), _pairs(names, 3)
-        found: dict[int, list] = {}
+        """Compare new segments with the landmarks."""
+        marked = [START + x for x in names]
+        masks, pairs = _masks(marked), _pairs(marked, 3)
         sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
         for j, m in enumerate(self.landmarks):
             likely = np.flatnonzero((np.bitwise_count(masks & self.mask[j]) >= self.letters[j] - 1)
                                     & (np.bitwise_count(pairs & self.pairs[j]) > self.half[j]))
             likely = likely[np.argsort(sizes[likely], kind="stable")]
-            for at in range(0, len(likely), 512):   # of similar length
-                some = likely[at:at + 512]
-                near = np.minimum(kernel_many([names[k] for k in some], m) / self.own[j], 1)
+            for at in range(0, len(likely), 2048):   # of similar length
+                some = likely[at:at + 2048]
+                near = np.minimum(kernel_many([marked[k] for k in some], m) / self.own[j], 1)
                 for k, x in zip(some[near > FLOOR].tolist(), near[near > FLOOR].tolist()):
-                    found.setdefault(k, []).append((j, (x - FLOOR) / (1 - FLOOR)))
-        for k, name in enumerate(names):
-            self.known[name] = tuple(found.get(k, ()))
+                    self.matched.setdefault(names[k], []).append((j, (x - FLOOR) / (1 - FLOOR)))
+        self.known.update(names)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """(texts, landmarks): the largest match among a text's segments."""
@@ -176,14 +163,14 @@ class Matcher:
         parts = [segments((text or "").lower()) for text in texts]
         if len(self.known) > HELD_WORDS:
             self.known.clear()
-        new = list(dict.fromkeys(s for part in parts for s in part if s not in self.known))
+            self.matched.clear()
+        new = set().union(*parts) - self.known
         if new:
-            self._learn(new)
+            self._learn(sorted(new))
         for i, part in enumerate(parts):
-            for s in part:
-                for j, x in self.known[s]:
-                    if x > out[i, j]:
-                        out[i, j] = x
+            for s in part & self.matched.keys():
+                for j, x in self.matched[s]:
+                    out[i, j] = max(out[i, j], x)
         return out
 
 
@@ -196,8 +183,9 @@ def pick_landmarks(sample: DataFrame) -> list[str]:
     def strings(frames):
         for pdf in frames:
             for text, toxic in zip(pdf["text"], pdf["toxic"]):
-                found = {s[i:i + n] for s in segments((text or "").lower()) for n in LENGTHS
-                         for i in range(len(s) - n + 1) if s[i:i + n].lstrip(START).isalpha()}
+                marked = [START + s for s in segments((text or "").lower())]
+                found = {s[i:i + n] for s in marked for n in LENGTHS for i in range(len(s) - n + 1)
+                         if s[i:i + n].lstrip(START).isalpha()}
                 yield pd.DataFrame({"s": list(found), "toxic": int(toxic)}) if found else pd.DataFrame(
                     {"s": pd.Series([], dtype=str), "toxic": pd.Series([], dtype=int)})
 
