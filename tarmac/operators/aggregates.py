@@ -2,8 +2,7 @@
 
 Every aggregate of one grouping goes into one ``agg`` (one shuffle, map-side
 partial aggregation).  Exact medians/quantiles use ``percentile`` (a count
-per distinct value — bounded for minute-level delays); ``exact=False``
-switches to ``percentile_approx`` where values are continuous.
+per distinct value — bounded for minute-level delays).
 """
 
 from __future__ import annotations
@@ -58,7 +57,7 @@ def rate_by(df: DataFrame, key: str | Sequence[str], flag: str, n_mode: str = "s
     return df.groupBy(*keys).agg((m * 100 if pct else m).alias(out), n.alias("n"))
 
 
-def box_stats(df: DataFrame, key: str | Sequence[str], value: str, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, key: str | Sequence[str], value: str) -> DataFrame:
     """Q1, median, Q3, Tukey whiskers (most extreme value inside 1.5 IQR), outliers.
 
     Works on the pre-aggregated ``(group, value, cnt)`` table: one shuffle of
@@ -67,10 +66,7 @@ def box_stats(df: DataFrame, key: str | Sequence[str], value: str, exact: bool =
     """
     keys = [key] if isinstance(key, str) else list(key)
     vc = value_counts_table(df, value, keys)
-    if exact:
-        qexpr = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("cnt"))
-    else:
-        qexpr = F.percentile_approx(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
+    qexpr = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("cnt"))
     q = vc.groupBy(*keys).agg(qexpr.alias("_q"), F.sum("cnt").alias("n"))
     q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))

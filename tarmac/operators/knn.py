@@ -26,6 +26,10 @@ from ..session import checkpoint
 from .ranks import global_row_number
 
 
+#: half of the most bands that one query covers
+BANDS = 64
+
+
 def sqdist(a: Column, b: Column) -> Column:
     """Squared Euclidean distance of two equal-length double arrays (JVM-side)."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
@@ -35,6 +39,11 @@ def dist(a: Column, b: Column) -> Column:
     return F.sqrt(sqdist(a, b))
 
 
+def _identity(payload: list[str]) -> Column:
+    """256-bit key of a vector with its payload: different points never share it in practice."""
+    return F.sha2(F.to_json(F.struct("vec", *payload)), 256)
+
+
 def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None = None,
         pivots: int = 4, seed: int = 7, payload: tuple[str, ...] = ()) -> DataFrame:
     """k nearest other points of every point (within ``group`` when given).
@@ -47,7 +56,7 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None
     pl = list(payload)
     pts = points.select(id_col, *g, *pl, F.col(vec_col).cast("array<double>").alias("vec"))
     dv = pts.groupBy(*g, "vec", *pl).agg(F.count(F.lit(1)).alias("mult"))
-    dv = dv.withColumn("vkey", F.xxhash64("vec", *pl))
+    dv = dv.withColumn("vkey", _identity(pl))
 
     # pivots: a seeded sample of distinct vectors (at most ``pivots`` rows reach the driver)
     piv = [r["vec"] for r in dv.select("vec").orderBy(F.xxhash64(F.col("vec"), F.lit(seed))).limit(pivots).collect()]
@@ -76,8 +85,10 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None
     qq = qq.join(ext, g, "left") if g else qq.crossJoin(ext)
     qq = qq.withColumn("r", F.coalesce(F.col("r"), F.col("_span") + 1.0))
 
-    # 4. band join on pd_1 buckets; width = median radius (a 1-row aggregate)
-    w = qq.agg(F.greatest(F.percentile_approx("r", 0.5), F.lit(1e-9)).alias("_w"))
+    # 4. band join on pd_1 buckets (a 1-row aggregate gives the width): the median of the radii above 0, as
+    # repeated vectors have radius 0, and so wide that the largest radius spans at most 2 * BANDS bands
+    r = F.when(F.col("r") > 0, F.col("r"))
+    w = qq.agg(F.coalesce(F.greatest(F.percentile_approx(r, 0.5), F.max(r) / BANDS), F.lit(1.0)).alias("_w"))
     qq = qq.crossJoin(F.broadcast(w))
     lo = F.floor((F.col("pd")[0] - F.col("r")) / F.col("_w")).cast("long")
     hi = F.floor((F.col("pd")[0] + F.col("r")) / F.col("_w")).cast("long")
@@ -99,6 +110,6 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None
     nn = j.select(*g, "vkey", (F.col("_before") + F.col("_i")).cast("int").alias("j"),
                   F.col("_v2").alias("nn_vec"), F.col("_k2").alias("nn_key"), *[f"nn_{c}" for c in pl],
                   F.col("_d").alias("distance"))
-    back = pts.withColumn("vkey", F.xxhash64("vec", *pl)).select(id_col, *g, "vkey")
+    back = pts.withColumn("vkey", _identity(pl)).select(id_col, *g, "vkey")
     return back.join(nn, [*g, "vkey"]).select(id_col, *g, "vkey", "j", "nn_vec", "nn_key",
                                               *[f"nn_{c}" for c in pl], "distance")

@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from .aggregates import value_counts_table
 
 
+#: start and span of ``xxhash64``
+HASH64 = (-(1 << 63), 1 << 64)
+
+
 def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
@@ -70,20 +74,28 @@ def bucket_column(df: DataFrame, cols: Sequence[str], bounds: list[tuple]):
 
 
 def prefix_counts(vc: DataFrame, value: str | Sequence[str], keys: Sequence[str] = (), cnt: str = "cnt",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, hashed: tuple[int, int] | None = None) -> DataFrame:
     """Add ``before`` (count of rows with a strictly smaller ``value`` within ``keys``) and ``total``.
 
     ``value`` may be several columns (lexicographic order), e.g. ``(ts, row_id)``
     for a global row number that stays balanced when one timestamp is hot.
     Rows are cut into ``partitions`` contiguous ranges of ``(keys, value)``;
     per-range totals (a few rows) give each range its offset, and a window
-    inside each range gives the local running count.
+    inside each range gives the local running count.  ``hashed``: the first
+    of ``value`` is a hash, uniform from the given start over the given span,
+    so the ranges follow by arithmetic, without a sample, a count or bounds on
+    the driver.
     """
     keys = list(keys)
     vals = [value] if isinstance(value, str) else list(value)
     p = partitions or _parts(vc)
-    bounds = range_bounds(vc, [*keys, *vals], p)
-    r = vc.withColumn("_pid", bucket_column(vc, [*keys, *vals], bounds))
+    if hashed:
+        start, span = hashed
+        place = (F.col(vals[0]).cast("double") - float(start)) / float(span)
+        pid = F.least(F.floor(place * p), F.lit(p - 1)).cast("int")
+    else:
+        pid = bucket_column(vc, [*keys, *vals], range_bounds(vc, [*keys, *vals], p))
+    r = vc.withColumn("_pid", pid)
     tot = r.groupBy("_pid", *keys).agg(F.sum(cnt).alias("_ptot"))
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid")
     off = tot.select("_pid", *keys,
@@ -149,12 +161,13 @@ def gaussian_kde(df: DataFrame, value: str, points: int = 80, digits: int = 9) -
     return j.groupBy("bin", "x", "_n", "_h").agg(F.round(dens, digits).alias("density")).select("bin", "x", "density")
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), out: str = "rn") -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), out: str = "rn",
+                      hashed: tuple[int, int] | None = None) -> DataFrame:
     """1-based row number in ``order`` (within ``keys``) without a single-task window.
 
     ``order`` must be unique within ``keys`` (add the row key as the last column).
     """
-    p = prefix_counts(df.withColumn("_one", F.lit(1)), list(order), keys, cnt="_one")
+    p = prefix_counts(df.withColumn("_one", F.lit(1)), list(order), keys, cnt="_one", hashed=hashed)
     return p.withColumn(out, F.col("before") + 1).drop("_one", "before")
 
 

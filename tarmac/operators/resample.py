@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import joins as J
 from ..session import checkpoint
 from .knn import knn
-from .ranks import global_row_number
+from .ranks import HASH64, global_row_number
 
 
 def _u01(*cols, seed: int) -> F.Column:
@@ -25,7 +25,7 @@ def _u01(*cols, seed: int) -> F.Column:
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "row_id") -> DataFrame:
     """B1: min(n, N) rows without replacement, seeded (hash order, range-partitioned)."""
     h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], out="_rn")
+    r = global_row_number(h, ["_h", key], out="_rn", hashed=HASH64)
     return r.filter(F.col("_rn") <= n).drop("_h", "_rn", "total")
 
 
@@ -37,7 +37,7 @@ def stratified_sample(df: DataFrame, label: str, max_samples: int, seed: int = 4
         "_quota", F.greatest(F.lit(1), F.round(F.col("_nc") * F.least(F.lit(1.0), F.lit(float(max_samples)) / F.col("_N")))
                              .cast("long")))
     h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], keys=[label], out="_rn")
+    r = global_row_number(h, ["_h", key], keys=[label], out="_rn", hashed=HASH64)
     return r.join(F.broadcast(q.select(label, "_quota")), label).filter(F.col("_rn") <= F.col("_quota")) \
         .drop("_h", "_rn", "total", "_quota")
 
@@ -47,7 +47,7 @@ def undersample(df: DataFrame, label: str, seed: int = 42, key: str = "row_id")
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     m = counts.agg(F.min("_nc").alias("_min"))
     h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], keys=[label], out="_rn")
+    r = global_row_number(h, ["_h", key], keys=[label], out="_rn", hashed=HASH64)
     return J.with_global(r, m).filter(F.col("_rn") <= F.col("_min")).drop("_h", "_rn", "total", "_min")
 
 
@@ -56,7 +56,9 @@ def smote(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed:
     """M8: grow the minority class to the majority size with synthetic points
     x + u * (nn - x), nn one of the k nearest minority neighbours of x.
 
-    Minority point of rank i spawns floor(need / n_min) (+1 if i < need mod
+    With k or fewer minority points each has all others as neighbours, and a
+    single one is its own neighbour, so the minority class always reaches the
+    majority size.  Minority point of rank i spawns floor(need / n_min) (+1 if i < need mod
     n_min) points; neighbour choice and u come from seeded hashes.
     """
     vec = F.array(*[F.col(c).cast("double") for c in features])
@@ -66,13 +68,14 @@ def smote(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed:
     mino = base.filter(F.col(label) == F.col("_minlab"))
     nn = knn(mino.select(key, "_vec"), key, "_vec", k).select(key, "j", "nn_vec")
     h = mino.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], out="_rn").drop("total")
+    r = global_row_number(h, ["_h", key], out="_rn", hashed=HASH64).drop("total")
     need = F.col("_nmax") - F.col("_nmin")
     per = F.floor(need / F.col("_nmin")) + F.when(F.col("_rn") - 1 < F.pmod(need, F.col("_nmin")), 1).otherwise(0)
     spawn = r.withColumn("_per", per.cast("int")).filter(F.col("_per") > 0)
-    spawn = spawn.select(key, label, "_vec", F.explode(F.sequence(F.lit(1), F.col("_per"))).alias("_t"))
-    spawn = spawn.withColumn("j", (F.pmod(F.xxhash64(F.col(key), F.col("_t"), F.lit(seed)), F.lit(k)) + 1).cast("int"))
-    s = spawn.join(nn, [key, "j"])
+    spawn = spawn.select(key, label, "_vec", "_nmin", F.explode(F.sequence(F.lit(1), F.col("_per"))).alias("_t"))
+    spawn = spawn.withColumn("j", (F.pmod(F.xxhash64(F.col(key), F.col("_t"), F.lit(seed)),
+                                              F.greatest(F.least(F.lit(k), F.col("_nmin") - 1), F.lit(1))) + 1).cast("int"))
+    s = spawn.join(nn, [key, "j"], "left").withColumn("nn_vec", F.coalesce("nn_vec", "_vec"))
     u = _u01(F.col(key), F.col("_t"), seed=seed + 1)
     synth = s.select(label, F.zip_with("_vec", "nn_vec", lambda a, b: a + u * (b - a)).alias("_vec"),
                      F.lit(1).alias("synthetic"), F.col(key).alias("parent"), "_t")

@@ -46,7 +46,7 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, key:
     seed_col = F.col("_seed") if "_seed" in df.columns else F.lit(seed)
     h = df.withColumn("_h", F.pmod(F.pmod(F.col(key).cast("long"), F.lit(2147483648)) * F.lit(1103515245)
                                    + seed_col * 97 + 13, F.lit(2147483648)))
-    rn = global_row_number(h, ["_h", key], keys=[*keys, label], out="_rn")
+    rn = global_row_number(h, ["_h", key], keys=[*keys, label], out="_rn", hashed=(0, 1 << 31))
     return rn.withColumn("fold", F.pmod(F.col("_rn") - 1, F.lit(k)).cast("int")).drop("_h", "_rn", "total")
 
 

@@ -33,23 +33,18 @@ def with_location(df: DataFrame, locs: DataFrame, code_col: str = "dest_code") -
     return j.withColumn("distance_km", C.haversine_km("lat", "lon"))
 
 
-def outlier_fence(df: DataFrame, col: str = "delay_min", exact: bool = True) -> DataFrame:
+def outlier_fence(df: DataFrame, col: str = "delay_min") -> DataFrame:
     """One-row table with the Tukey upper fence Q3 + 1.5 IQR of ``col``.
 
     ``percentile`` keeps one count per distinct value, so with minute-level
-    delays its buffer is bounded; ``exact=False`` switches to
-    ``percentile_approx`` for continuous values.
+    delays its buffer is bounded.
     """
-    if exact:
-        q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75)))
-    else:
-        q = F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), 10000)
+    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75)))
     return (df.agg(q.alias("_q"))
             .select((F.col("_q")[1] + F.lit(1.5) * (F.col("_q")[1] - F.col("_q")[0])).alias("_fence")))
 
 
-def enrich(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool = True,
-           exact: bool = True) -> DataFrame:
+def enrich(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool = True) -> DataFrame:
     """Clean and enrich departures (dedup, delays, calendar, geography, bands, flags)."""
     df = latest_per_key(raw, DEDUP_KEY, "updated_at", "row_id") if dedup else raw
     d = C.rollover_minutes(C.delay_raw("planned_ts", "actual_ts"))
@@ -78,7 +73,7 @@ def enrich(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool =
         C.late_flag_nullable("delay_min", threshold).alias("is_late"),
     )
     df = with_location(df, locs)
-    fence = outlier_fence(df, "delay_min", exact)
+    fence = outlier_fence(df, "delay_min")
     df = J.with_global(df, fence).withColumn(
         "is_outlier", F.coalesce(F.col("delay_min") > F.col("_fence"), F.lit(False)).cast("int"))
     return df.select(*ENRICHED_COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -16,21 +17,23 @@ def build_session(master: str | None = None, app: str = "tarmac",
     what is unset.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
-    spark = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
-    )
+    wanted = {
+        "spark.master": master or f"local[{cpus}]",
+        "spark.app.name": app,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": "16g",
+    }
+    if "PYSPARK_GATEWAY_PORT" in os.environ:   # started by spark-submit: its settings are in the JVM already
+        given = SparkConf()
+        wanted = {k: v for k, v in wanted.items() if not given.contains(k)}
+    spark = SparkSession.builder.config(map=wanted).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -40,10 +43,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster names that folder; we read it from the session and set our
-    own only when it is unset (local tests).
+    own only when it is unset on a local master.  On a cluster a machine-local
+    folder would lose results, so an unset folder is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "local").startswith("local") or \
+                spark.conf.get("spark.master", "").startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tarmac-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -73,7 +80,7 @@ _MATERIALISED: dict[tuple, str] = {}
 
 
 def _source_stamp(spark: SparkSession, paths) -> tuple:
-    """(path, size, mtime) of the inputs, so a changed source rebuilds its tables."""
+    """(path, size, files, mtime) of the inputs, so a changed source rebuilds its tables."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
@@ -81,10 +88,10 @@ def _source_stamp(spark: SparkSession, paths) -> tuple:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         fs = hp.getFileSystem(conf)
         try:
-            st = fs.getFileStatus(hp)
-            out.append((p, st.getLen(), st.getModificationTime()))
+            st, held = fs.getFileStatus(hp), fs.getContentSummary(hp)   # of all files below a folder
+            out.append((p, held.getLength(), held.getFileCount(), st.getModificationTime()))
         except Exception:  # noqa: BLE001 - missing input: no stamp, build fails later
-            out.append((p, -1, -1))
+            out.append((p, -1, -1, -1))
     return tuple(out)
 
 

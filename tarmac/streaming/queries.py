@@ -12,6 +12,7 @@ replayed micro-batch rewrites the same version (idempotent).
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,6 +90,18 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("row_id", "status")
 
 
+def _version_before(spark: SparkSession, table: str, batch_id: float) -> int | None:
+    """Largest committed version below ``batch_id``, read from storage, so that a restarted query goes on from it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    found = [int(f.getPath().getName()[2:]) for f in fs.listStatus(path)
+             if fs.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return max((v for v in found if v < batch_id), default=None)
+
+
 # --- X2 streaming upsert ------------------------------------------------------------
 def _state(rows: DataFrame) -> DataFrame:
     o = F.struct(*TB.NOTICE_ORDER)
@@ -113,22 +126,21 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_dir(spark, "upsert")
     src = _notices_landing(spark, sf_dir, base)
     table = f"{base}/table"
-    last = {"v": None}
 
     def merge(batch: DataFrame, batch_id: int):
-        prev = last["v"]
+        prev = _version_before(spark, table, batch_id)
         cur = _state(batch)
         if prev is not None:
             cur = spark.read.parquet(f"{table}/v={prev:08d}").unionByName(cur)
             cur = cur.groupBy(*TB.NOTICE_KEY).agg(F.min_by("_f", "_fo").alias("_f"), F.min("_fo").alias("_fo"),
                                                   F.max_by("_u", "_uo").alias("_u"), F.max("_uo").alias("_uo"))
         cur.write.mode("overwrite").parquet(f"{table}/v={batch_id:08d}")
-        last["v"] = batch_id
 
     q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/ckpt")
          .trigger(availableNow=True).start())
     _await(q)
-    out = spark.read.parquet(f"{table}/v={last['v']:08d}")
+    last = _version_before(spark, table, math.inf)
+    out = spark.read.parquet(f"{table}/v={last:08d}") if last is not None else _state(TB.notices(spark, sf_dir))
     return out.select(*TB.NOTICE_KEY, *[F.col(f"_f.{c}").alias(c) for c in TB.NOTICE_FIRST],
                       *[F.col(f"_u.{c}").alias(c) for c in TB.NOTICE_UPDATED])
 
@@ -149,28 +161,32 @@ def stream_daily(spark: SparkSession, sf_dir: str, watermark: str = "7 days") ->
     ev, nation = _events_landing(spark, sf_dir, base)
     dep = TB.status_filter(TB.departures_from(ev, nation))
     d = C.delay_raw("planned_ts", "actual_ts")
-    # Watermarks need an instant type: the wall-clock time is read as session
-    # time; the day key itself stays the wall-clock date (no zone shift).
-    agg = (dep.withColumn("_et", F.col("planned_ts").cast("timestamp")).withWatermark("_et", watermark)
-           .groupBy(F.to_date("planned_ts").alias("day"))
+    # Watermarks need an instant: the wall-clock time is read as UTC, and days are windows of that instant, so that
+    # the watermark closes them and late rows are dropped.
+    instant = F.from_utc_timestamp(F.col("planned_ts").cast("timestamp"), F.current_timezone())
+    agg = (dep.withColumn("_et", instant).withWatermark("_et", watermark)
+           .groupBy(F.window("_et", "1 day").alias("w"))
            .agg(F.count(F.lit(1)).alias("flights"),
                 F.count_if(F.col("status") == "Cancelled").alias("cancelled"),
                 F.count_if(d > 15).alias("late")))
     table = f"{base}/table"
-    last = {"v": None}
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
 
     def merge(batch: DataFrame, batch_id: int):
-        cur = batch.select("day", "flights", "cancelled", "late")
-        if last["v"] is not None:
-            old = spark.read.parquet(f"{table}/v={last['v']:08d}")
+        cur = batch.select(day.alias("day"), "flights", "cancelled", "late")
+        prev = _version_before(spark, table, batch_id)
+        if prev is not None:
+            old = spark.read.parquet(f"{table}/v={prev:08d}")
             cur = old.join(cur.select("day"), "day", "left_anti").unionByName(cur)
         cur.write.mode("overwrite").parquet(f"{table}/v={batch_id:08d}")
-        last["v"] = batch_id
 
     q = (agg.writeStream.outputMode("update").foreachBatch(merge)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     _await(q)
-    return spark.read.parquet(f"{table}/v={last['v']:08d}")
+    last = _version_before(spark, table, math.inf)
+    if last is None:   # no landing file, so no day
+        return spark.createDataFrame([], "day date, flights long, cancelled long, late long")
+    return spark.read.parquet(f"{table}/v={last:08d}")
 
 
 # --- X4 streaming dedup --------------------------------------------------------------------

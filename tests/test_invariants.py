@@ -137,3 +137,19 @@ def test_share_ci_brackets_share(spark):
     assert rows
     for r in rows:
         assert r["ci_lo"] <= r["pct"] <= r["ci_hi"]
+
+
+def test_smote_with_few_minority_rows_reaches_the_majority(spark):
+    from tarmac.operators.resample import smote
+    for few in (1, 2, 4, 5):
+        rows = [(i, int(i < few), float(i), float(i * i % 7)) for i in range(20 + few)]
+        out = smote(spark.createDataFrame(rows, "row_id long, y int, a double, b double"), "y", ["a", "b"])
+        assert {r["y"]: r["count"] for r in out.groupBy("y").count().collect()} == {0: 20, 1: 20}
+
+
+def test_knn_with_many_copies_and_one_outlier(spark):
+    from tarmac.operators.knn import knn
+    rows = [(i, [float(i // 10), 0.0]) for i in range(200)] + [(200, [1e6, 0.0])]
+    out = knn(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 3).collect()
+    assert len(out) == 3 * 201
+    assert all(r["distance"] == 0 for r in out if r["id"] < 200)
