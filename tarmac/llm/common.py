@@ -96,7 +96,8 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
 
 
 def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                      residual: Callable[[DataFrame], DataFrame], name: str, rounds: int = 2) -> DataFrame:
+                      residual: Callable[[DataFrame], DataFrame], name: str, rounds: int = 2,
+                      confirm: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the verified links among members that share a bucket.
 
     ``buckets(key, id)``.  A bucket of n members does not make n² pairs: first
@@ -107,7 +108,8 @@ def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[Da
     across components of a bucket; all of these are compared last, so that no
     link that could join two components is lost.  ``verify(pairs(u, v))``
     returns the linked pairs; ``residual(rows(key, id, comp))`` makes the pairs
-    of the last round (across components, same key, u < v).
+    of the last round (across components, same key, u < v), which ``confirm``
+    checks instead of ``verify`` where they have passed a part of its tests.
     """
     dealt = buckets.repartition("key")
     heads = dealt.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub != last")
@@ -133,7 +135,7 @@ def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[Da
         placed = scratch.keep(placed.join(mixed.select("key"), "key", "left_semi"), f"{name}-placed{r}")
         shared = placed.select("key", "id")
     rest = residual(placed).distinct().join(tried, ["u", "v"], "left_anti")
-    more = scratch.keep(verify(rest), f"{name}-more")
+    more = scratch.keep((confirm or verify)(rest), f"{name}-more")
     if more.isEmpty():
         return comp
     return components(scratch, links.unionByName(more), f"{name}-last")

@@ -315,7 +315,10 @@ def _components(rows: DataFrame) -> DataFrame:
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = paired(pairs, sigs, "sig", "sketch", "n_shingles").filter(fits("{}_u", "{}_v"))
-        near = scratch.keep(near.select("u", "v"), f"near{next(step)}")
+        return confirm(near.select("u", "v"))
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        near = scratch.keep(pairs, f"near{next(step)}")
         wanted = near.select(F.explode(F.array("u", "v")).alias("w")).distinct()
         texts = classes.select("cls", "text").join(wanted.hint("shuffle_hash"), F.col("cls") == F.col("w"))
         texts = scratch.keep(texts.select("cls", "text"), f"texts{next(step)}")
@@ -329,7 +332,7 @@ def _components(rows: DataFrame) -> DataFrame:
                        & _first_bucket("a.key", _differ("a.sig", "b.sig")))
                 .select(F.col("a.id").alias("u"), F.col("b.id").alias("v")))
 
-    comp = bucket_components(scratch, buckets, verify, residual, "near")
+    comp = bucket_components(scratch, buckets, verify, residual, "near", rounds=1, confirm=confirm)
     least = classes.select("cls", "least", "n_shingles")
     rooted = least.join(comp, least["cls"] == comp["node"], "left").select(
         "cls", "least", "n_shingles", F.coalesce("root", "cls").alias("root"))
