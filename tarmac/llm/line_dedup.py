@@ -8,7 +8,8 @@ own.  Fingerprints are counted over all positions; those that
 occur once go no further, and with them go most lines.
 
 A match of two positions is extended both ways as far as the lines agree: each
-window around a repeated fingerprint is looked up by the digest of its lines,
+window around a repeated fingerprint is looked up by the digest of its lines'
+digests,
 the next window of a run matches as well, and the matching windows of a run
 together are the run.  All lines of matching windows are deleted except where
 their content occurs first, in the order of (doc_id, text, position).  Each
@@ -37,22 +38,19 @@ def _chars(line: Column) -> Column:
 
 
 def _windows(window: int, line_chars: int) -> Column:
-    """array<struct<fp, at, digest>> of the windows over the column ``seq`` (array<struct<h, chars, line, at>>)."""
-    def digest(start, n):
-        lines = F.transform(F.slice("seq", start + 1, n), lambda x: x["line"])
-        return F.unhex(F.md5(F.concat_ws("\n", lines)))
-
+    """array<struct<fp, at, digest>> of the windows over the column ``seq`` (array<struct<h, chars, digest, at>>)."""
     def run(start):
-        least = F.array_min(F.transform(F.slice("seq", start + 1, F.lit(window)), lambda x: x["h"]))
-        at = F.transform(F.slice("seq", start + 1, F.lit(window)), lambda x: x["at"])
-        return F.struct(least.alias("fp"), at.alias("at"), digest(start, F.lit(window)).alias("digest"))
+        lines = F.slice("seq", start + 1, F.lit(window))
+        digests = F.array_join(F.transform(lines, lambda x: x["digest"]), ",")
+        return F.struct(F.array_min(F.transform(lines, lambda x: x["h"])).alias("fp"),
+                        F.transform(lines, lambda x: x["at"]).alias("at"), F.md5(digests).alias("digest"))
 
-    def single(x, i):
-        return F.struct(x["h"].alias("fp"), F.array(x["at"]).alias("at"), digest(i, F.lit(1)).alias("digest"))
+    def single(x):
+        return F.struct(x["h"].alias("fp"), F.array(x["at"]).alias("at"), x["digest"].alias("digest"))
 
     last = F.size("seq") - window
     runs = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), run))
-    singles = F.filter(F.transform("seq", lambda x, i: F.when(x["chars"] >= line_chars, single(x, i))),
+    singles = F.filter(F.transform("seq", lambda x: F.when(x["chars"] >= line_chars, single(x))),
                        lambda x: x.isNotNull())
     return F.concat(F.coalesce(runs, F.slice(singles, 1, 0)), singles)
 
@@ -72,7 +70,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, line_chars: int = LINE_CH
         "th", F.xxhash64("text"))
     lines = _lines(F.col("text"))
     seq = F.filter(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("h"), _chars(x).alias("chars"),
-                                                            x.alias("line"), i.alias("at"))),
+                                                            F.md5(x).alias("digest"), i.alias("at"))),
                    lambda x: x["chars"] > 0)
     windows = (rows.withColumn("seq", seq).select("doc_id", "th", F.explode(_windows(window, line_chars)).alias("w"))
                .select("doc_id", "th", "w.fp", "w.at", "w.digest"))
