@@ -38,15 +38,18 @@ def _chars(line: Column) -> Column:
 
 
 def _windows(window: int, line_chars: int) -> Column:
-    """array<struct<fp, at, digest>> of the windows over the column ``seq`` (array<struct<h, chars, digest, at>>)."""
+    """array<struct<fp, at, last, digest>> of the windows over the column ``seq`` (array<struct<h, chars, digest, at>>).
+
+    ``at`` and ``last`` are the places of a window's first and last line.
+    """
     def run(start):
-        lines = F.slice("seq", start + 1, F.lit(window))
-        digests = F.array_join(F.transform(lines, lambda x: x["digest"]), ",")
-        return F.struct(F.array_min(F.transform(lines, lambda x: x["h"])).alias("fp"),
-                        F.transform(lines, lambda x: x["at"]).alias("at"), F.md5(digests).alias("digest"))
+        lines = [F.get("seq", start + j) for j in range(window)]
+        return F.struct(F.array_min(F.array(*(x["h"] for x in lines))).alias("fp"), lines[0]["at"].alias("at"),
+                        lines[-1]["at"].alias("last"),
+                        F.unhex(F.md5(F.concat(*(x["digest"] for x in lines)))).alias("digest"))
 
     def single(x):
-        return F.struct(x["h"].alias("fp"), F.array(x["at"]).alias("at"), x["digest"].alias("digest"))
+        return F.struct(x["h"].alias("fp"), x["at"].alias("at"), x["at"].alias("last"), x["digest"].alias("digest"))
 
     last = F.size("seq") - window
     runs = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), run))
@@ -70,25 +73,31 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, line_chars: int = LINE_CH
         "th", F.xxhash64("text"))
     lines = _lines(F.col("text"))
     seq = F.filter(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("h"), _chars(x).alias("chars"),
-                                                            F.md5(x).alias("digest"), i.alias("at"))),
+                                                            F.unhex(F.md5(x)).alias("digest"), i.alias("at"))),
                    lambda x: x["chars"] > 0)
     windows = (rows.withColumn("seq", seq).select("doc_id", "th", F.explode(_windows(window, line_chars)).alias("w"))
-               .select("doc_id", "th", "w.fp", "w.at", "w.digest"))
+               .select("doc_id", "th", "w.fp", "w.at", "w.last", "w.digest"))
     windows = scratch.keep(windows, "windows")
+    # merge joins: the same plan at every size, hot keys split by the engine, no side broadcast
     repeated = windows.groupBy("fp").agg(F.count("*").alias("k")).filter("k > 1")
-    matched = windows.join(repeated.select("fp"), "fp", "left_semi")
+    matched = windows.join(repeated.select("fp").hint("merge"), "fp", "left_semi")
     # of equal windows the first stays; min over one struct, pre-aggregated before the shuffle
-    place = F.struct("doc_id", "th", F.col("at")[0].alias("at"))
+    place = F.struct("doc_id", "th", "at")
     first = matched.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("k")).filter("k > 1")
-    later = matched.join(first.select("digest", "first"), "digest").filter(~place.eqNullSafe(F.col("first")))
-    gone = (later.select("doc_id", "th", F.explode("at").alias("i"))
+    later = (matched.join(first.select("digest", "first").hint("merge"), "digest")
+             .filter(~place.eqNullSafe(F.col("first"))))
+    gone = (later.select("doc_id", "th", F.explode(F.sequence("at", "last")).alias("i"))
             .groupBy("doc_id", "th").agg(F.collect_set("i").alias("gone")))
     gone = scratch.keep(gone.select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), "gone"), "gone")
-    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left")
-    left = F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.array_contains("gone", i)))
+    met = rows.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")),
+                    "left")
+    # a window's places may have blank lines between them, which stay
+    drop = F.filter(F.transform(lines, lambda x, i: F.when(F.array_contains("gone", i) & (_chars(x) > 0), i)),
+                    lambda i: i.isNotNull())
+    left = F.concat_ws("\n", F.filter(lines, lambda x, i: ~(F.array_contains("gone", i) & (_chars(x) > 0))))
     n_lines = F.size(F.filter(lines, lambda x: _chars(x) > 0))
     return met.select("doc_id", n_lines.cast("long").alias("n_lines"),
-                      F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"),
+                      F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size(drop)).cast("long").alias("n_deleted"),
                       F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
 
 
