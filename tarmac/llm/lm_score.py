@@ -33,7 +33,7 @@ from .registry import query
 FOLDS = 10
 SMOOTH = 0.1
 #: tokens of a batch; longer texts are batches of their own
-BATCH_TOKENS = 1 << 21
+BATCH_TOKENS = 1 << 19
 #: characters of the corpus for each owner of a hash range
 OWNER_CHARS = 1 << 24
 END, START = np.uint64(0xD1B54A32D192ED03), np.uint64(0xABC98388FB8FAC03)
