@@ -206,6 +206,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     xy = documents_xy(spark, sf_dir).persist()
     rows = ML.run_search(xy, DOC_FEATURES, SEARCH_CHECK_CANDIDATES, 5, 42)
+    xy.unpersist()
     df = spark.createDataFrame(
         [(r["candidate"], r["params"], r["mean_test_f1"], r["std_test_f1"], r["mean_test_balanced_accuracy"]) for r in rows],
         "candidate int, params map<string,string>, mean_test_f1 double, std_test_f1 double, "
@@ -217,20 +218,34 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sweep")
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven imbalance strategies x (5-fold, out-of-time by document id order) with the forest."""
-    xy = documents_xy(spark, sf_dir).persist()
+    """Seven imbalance strategies x (5-fold, out-of-time) with the forest.
+
+    Out of time, rows up to the 80 % point of the document ids train and later
+    ones test.  ``rank_f1`` ranks a scheme's strategies by their mean F1.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
+    from ..operators.windows import competition_rank
+    xy = documents_xy(spark, sf_dir).persist()
+    cut = xy.agg(F.percentile_approx("row_id", 0.8, 10000).alias("cut")).first()["cut"]
+    split = xy.select("row_id", (F.col("row_id") > F.lit(cut)).cast("int").alias("is_test"))
+
     def one(strategy):
         name, resampling, weight = strategy
         rows = ML.cross_validate(xy, DOC_FEATURES, "forest", resampling, weight, 5, 42, parallel=1)
-        return [{"strategy": name, "scheme": "stratified_kfold", **r} for r in rows]
+        late = ML.out_of_time(xy, split, DOC_FEATURES, "forest", resampling, weight, 42)
+        return [{"strategy": name, "scheme": "stratified_kfold", **r} for r in rows] + [
+            {"strategy": name, "scheme": "time_oot", "fold": 0, **late}]
 
     with ThreadPoolExecutor(max_workers=len(ML.STRATEGIES)) as ex:
         out = [r for rows in ex.map(one, ML.STRATEGIES) for r in rows]
-    return spark.createDataFrame([tuple(r[c] for c in ("strategy", "scheme", "fold", "tp", "fp", "fn", "tn", "f1",
-                                                       "balanced_accuracy")) for r in out],
-                                 "strategy string, scheme string, " + FOLD_SCHEMA)
+    xy.unpersist()
+    scores = spark.createDataFrame([tuple(r[c] for c in ("strategy", "scheme", "fold", "tp", "fp", "fn", "tn", "f1",
+                                                         "balanced_accuracy")) for r in out],
+                                   "strategy string, scheme string, " + FOLD_SCHEMA)
+    mean = scores.groupBy("scheme", "strategy").agg(F.avg("f1").alias("mean_f1"),
+                                                    F.avg("balanced_accuracy").alias("mean_balanced_accuracy"))
+    return scores.join(competition_rank(mean, "mean_f1", "rank_f1", ["scheme"]), ["scheme", "strategy"])
 
 
 @register("final_refit")

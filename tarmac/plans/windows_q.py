@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ranks as RK
 from ..operators import upsert as UP
-from ..operators.windows import hash_key, hash_key_sql, latest_per_key
+from ..operators.windows import hash_key_sql, latest_per_key
 from ..sources import tables as TB
 from . import sql as Q
 from .registry import register
@@ -106,14 +106,6 @@ def chronological_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rn.select("row_id", "planned_ts", (F.col("rn") > F.col("total") - k).cast("int").alias("is_test"))
 
 
-def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """Shuffled stratified k folds: within each class, rows in seeded-hash order
-    are dealt round-robin, so every fold holds each class within one row."""
-    h = df.withColumn("_h", hash_key(key, seed))
-    rn = RK.global_row_number(h, ["_h", key], keys=[label], out="_rn")
-    return rn.withColumn("fold", F.pmod(F.col("_rn") - 1, F.lit(k)).cast("int")).drop("_h", "_rn", "total")
-
-
 @register("folds", Q.q_raw(f"""
 SELECT row_id, is_late, CAST((row_number() OVER (PARTITION BY is_late ORDER BY h, row_id) - 1) % 5 AS INTEGER) AS fold
 FROM (SELECT row_id, CAST(coalesce(date_diff('second', planned_ts, actual_ts) / 60.0 > 15, false) AS INTEGER) AS is_late,
@@ -122,6 +114,7 @@ FROM (SELECT row_id, CAST(coalesce(date_diff('second', planned_ts, actual_ts) /
 def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 on the departures label (threshold 15)."""
     from ..functions import columns as C
+    from ..operators.validation import stratified_folds
     d = TB.scan_departures(spark, sf_dir).select(
         "row_id", C.late_flag_strict(C.delay_raw("planned_ts", "actual_ts"), 15).alias("is_late"))
     return stratified_folds(d, "is_late", 5, 42).select("row_id", "is_late", "fold")
