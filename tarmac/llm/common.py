@@ -95,9 +95,14 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _ordered(star: DataFrame) -> DataFrame:
+    return star.select(F.least("hub", "id").alias("u"), F.greatest("hub", "id").alias("v"))
+
+
 def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
                       residual: Callable[[DataFrame], DataFrame], name: str, rounds: int = 2,
-                      confirm: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      confirm: Callable[[DataFrame], DataFrame] | None = None,
+                      drawn: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the verified links among members that share a bucket.
 
     ``buckets(key, id)``.  A bucket of n members does not make n² pairs: first
@@ -110,6 +115,8 @@ def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[Da
     returns the linked pairs; ``residual(rows(key, id, comp))`` makes the pairs
     of the last round (across components, same key, u < v), which ``confirm``
     checks instead of ``verify`` where they have passed a part of its tests.
+    ``drawn(rows(key, id, comp), hubs(key, id, comp))`` makes the pairs with
+    drawn members in the same way, so that only likely pairs are written.
     """
     dealt = buckets.repartition("key")
     heads = dealt.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub != last")
@@ -117,16 +124,21 @@ def bucket_components(scratch: Scratch, buckets: DataFrame, verify: Callable[[Da
     shared, comp, tried, links = placed.select("key", "id"), None, None, None
     for r in range(rounds):
         if r:
-            drawn = F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), "id", "comp")
-            hubs = placed.groupBy("key").agg(F.min(drawn).alias("drawn"))
-            star = (placed.join(hubs, "key").filter("comp != drawn.comp")
-                    .select("id", F.col("drawn.id").alias("hub")))
+            order = F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), "id", "comp")
+            hubs = placed.groupBy("key").agg(F.min(order).alias("least")).select("key", "least.id", "least.comp")
+        if r and drawn:
+            pairs = drawn(placed, hubs)
+        elif r:
+            far = placed.join(hubs.select("key", F.col("id").alias("hub"), F.col("comp").alias("there")), "key")
+            pairs = _ordered(far.filter("comp != there"))
         else:
-            star = placed.filter("id != hub")
-        pairs = star.select(F.least("hub", "id").alias("u"), F.greatest("hub", "id").alias("v")).distinct()
+            pairs = _ordered(placed.filter("id != hub"))
+        pairs = pairs.distinct()
         pairs = scratch.keep(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), f"{name}-star{r}")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = scratch.keep(verify(pairs), f"{name}-links{r}")
+        found = scratch.keep((confirm if r and drawn and confirm else verify)(pairs), f"{name}-links{r}")
+        if r and found.isEmpty():
+            continue
         links = found if links is None else links.unionByName(found)
         comp = scratch.keep(components(scratch, links, f"{name}-{r}"), f"{name}-comp{r}")
         placed = shared.join(comp, shared["id"] == comp["node"], "left").select(

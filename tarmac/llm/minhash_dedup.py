@@ -14,9 +14,9 @@ standard deviations too different; the others are confirmed on their full
 shingle sets.
 
 Identical word sequences are one class before any join.  Buckets are compared
-through their smallest member first (``bucket_components``), so large groups
-make no pairs; in the second round a pair is made in the first bucket that it
-shares only.
+through their smallest member, then through drawn ones (``bucket_components``),
+so large groups make no pairs; in the last round, across components, a pair is
+made in the first bucket that it shares only.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ PLACES = CHUNKS * WIDTH
 MOST = CHUNKS * (ERRORS + 1) - 1
 #: bins of the one-permutation sketch, and the bits that it keeps of a bin's value
 BINS, BIN_BITS = 512, 4
+#: star rounds before the pairs across components: the first with the smallest member, the others with drawn ones
+ROUNDS = 3
 _LEFT = list(itertools.combinations(range(WIDTH), WIDTH - ERRORS))
 
 
@@ -324,15 +326,21 @@ def _components(rows: DataFrame) -> DataFrame:
         texts = scratch.keep(texts.select("cls", "text"), f"texts{next(step)}")
         return paired(near, texts, "text").mapInPandas(_confirm, "u binary, v binary")
 
+    def known(placed: DataFrame) -> DataFrame:
+        return placed.join(sigs, placed["id"] == sigs["cls"]).select("key", "id", "comp", "sig", "sketch", "n_shingles")
+
+    likely = ((F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & fits("a.{}", "b.{}"))
+
     def residual(placed: DataFrame) -> DataFrame:
-        r = placed.join(sigs, placed["id"] == sigs["cls"]).select("key", "id", "comp", "sig", "sketch", "n_shingles")
-        a, b = r.alias("a"), r.alias("b")
-        return (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
-                       & (F.col("a.comp") != F.col("b.comp")) & fits("a.{}", "b.{}")
-                       & _first_bucket("a.key", _differ("a.sig", "b.sig")))
-                .select(F.col("a.id").alias("u"), F.col("b.id").alias("v")))
-
-    comp = bucket_components(scratch, buckets, verify, residual, "near", rounds=1, confirm=confirm)
+        r = known(placed)
+        once = (F.col("a.id") < F.col("b.id")) & _first_bucket("a.key", _differ("a.sig", "b.sig"))
+        return r.alias("a").join(r.alias("b"), likely & once).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+
+    def drawn(placed: DataFrame, hubs: DataFrame) -> DataFrame:
+        pairs = known(placed).alias("a").join(known(hubs).alias("b"), likely)
+        return pairs.select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v"))
+
+    comp = bucket_components(scratch, buckets, verify, residual, "near", rounds=ROUNDS, confirm=confirm, drawn=drawn)
     least = classes.select("cls", "least", "n_shingles")
     rooted = least.join(comp, least["cls"] == comp["node"], "left").select(
         "cls", "least", "n_shingles", F.coalesce("root", "cls").alias("root"))
