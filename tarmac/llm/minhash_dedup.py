@@ -41,8 +41,8 @@ PLACES = CHUNKS * WIDTH
 MOST = CHUNKS * (ERRORS + 1) - 1
 #: bins of the one-permutation sketch, and the bits that it keeps of a bin's value
 BINS, BIN_BITS = 512, 4
-#: star rounds before the pairs across components: the first with the smallest member, the others with drawn ones
-ROUNDS = 3
+#: star rounds before the pairs across components: the first with the smallest member, the other with drawn ones
+ROUNDS = 2
 _LEFT = list(itertools.combinations(range(WIDTH), WIDTH - ERRORS))
 
 
