@@ -11,7 +11,8 @@ given up, so that its neighbours are encoded as one piece.  The pieces' ids
 then follow one another exactly as if the whole text had been encoded.
 
 Pieces of plain letters, digits and punctuation go through the ranks of the
-same vocabulary; any other piece goes through the tokenizers library itself.
+same vocabulary; any other piece, and one with a very long run of white space,
+goes through the tokenizers library itself.
 """
 
 from __future__ import annotations
@@ -35,7 +36,10 @@ VOCABULARY = "byte_bpe_50k.json"
 CHUNK = 1 << 9
 #: bytes of pieces that a task keeps for reuse before it starts anew
 HELD_BYTES = 24 << 20
-#: longest run that is handed to the encoder at once; a longer one without any certain split stays whole
+#: the ranks' pattern matcher overflows on about a million white-space characters in a row; pieces with such a run, or
+#: a tenth of it, go through the library
+LONG_SPACE = 100_000
+_SPACE = re.compile(r"\s+")
 _PLAIN = re.compile(r"[\x20-\x7E\n\r\tÀ-ÖØ-öø-ÿ]*\Z")
 #: fixed pattern of the pre-tokenizer
 _SPLIT = (r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -75,7 +79,8 @@ class ChunkedBpe:
         """(number of ids, ids joined by commas, decoded bytes) of a piece; kept for reuse."""
         found = self.pieces.get(piece)
         if found is None:
-            if _PLAIN.match(piece):
+            if _PLAIN.match(piece) and not (len(piece) >= LONG_SPACE
+                                            and any(m.end() - m.start() >= LONG_SPACE for m in _SPACE.finditer(piece))):
                 ids = self.fast.encode_ordinary(piece)
             else:
                 ids = self.library.encode(piece, add_special_tokens=False).ids

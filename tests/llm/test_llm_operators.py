@@ -362,6 +362,17 @@ def test_bpe_equals_library():
         assert text == bpe.library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\t\n" * 1_000_000])
+def test_bpe_long_white_space(run):
+    """Two million blanks between words are encoded as the library does."""
+    from tarmac.llm.bpe import ChunkedBpe, vocabulary_path
+    bpe = ChunkedBpe(vocabulary_path())
+    text = f"some words before{run}word after it"
+    ids = bpe.library.encode(text, add_special_tokens=False).ids
+    n, joined, decoded = bpe.encode(text)
+    assert (n, joined) == (len(ids), ",".join(map(str, ids))) and decoded == text
+
+
 def test_bpe_odd_rows(odd, none):
     from tarmac.llm.bpe import token_digests
     got = token_digests(odd).collect()
