@@ -7,9 +7,10 @@ subsequences with the plain one, at a discount.
 
 Landmarks are short character strings that occur far more often in toxic than
 in other training sentences (documents of ``labels``).  A segment of a text (a
-word, or a run of single letters written apart) is compared with every
-landmark, the text keeps its best match to each (what lies below ``FLOOR`` is
-chance and counts as nothing), and the Nyström map K^(-1/2) of the landmarks'
+word, its letters alone if other characters stand between them, or a run of
+short scraps, alone and with the word before or after it) is compared with every
+landmark, the text keeps its best match to each (``FLOOR`` lies below a word with
+a character dropped, replaced or put in everywhere), and the Nyström map K^(-1/2) of the landmarks'
 own kernel matrix turns the matches into coordinates in which the kernel is a
 dot product.  A linear SVM (squared hinge) is fitted there, and its margin
 becomes a score by a logistic fit.
@@ -36,7 +37,7 @@ FOLDS = 5
 SAMPLE = 8000
 LANDMARKS = 64
 LENGTHS = (5, 6, 7, 8)
-ORDER, DECAY, FLOOR = 4, 0.8, 0.5
+ORDER, DECAY, FLOOR = 4, 0.8, 0.25
 #: a landmark this similar to a better one is left out
 SIMILAR = 0.45
 #: log likelihood ratio that a landmark needs: millions of strings are tried
@@ -47,7 +48,9 @@ START = "\x02"
 WINDOW = 24
 #: words whose matches a task remembers before it starts anew
 HELD_WORDS = 400_000
-_SCRAPS = re.compile(r"(?<!\S)(?:\S{1,2}(?:\s+|\Z)){3,}")
+#: a word's letters with something else between them
+_BETWEEN = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def kernel(a: str, landmarks: list[str]) -> np.ndarray:
@@ -90,9 +93,23 @@ def kernel_many(strings: list[str], m: str) -> np.ndarray:
 
 
 def segments(text: str) -> set[str]:
-    """Distinct words of three or more characters, and runs of three or more shorter scraps joined together."""
-    out = {w for w in text.split() if len(w) > 2}
-    out.update("".join(run.split()) for run in _SCRAPS.findall(text))
+    """Distinct words of three or more characters, also without what stands between their letters, and runs of shorter
+    scraps joined together: three or more alone, any with the word before and with the word after."""
+    words = text.split()
+    out = {w for w in words if len(w) > 2}
+    run, before = [], ""
+    for w in [*words, ""]:
+        if 0 < len(w) < 3:
+            run.append(w)
+            continue
+        if run:
+            joined = "".join(run)
+            if len(run) > 2:
+                out.add(joined)
+            out.update(x for x in (before and before + joined, w and joined + w) if x)
+            run = []
+        before = w
+    out.update(x for x in [_NO_LETTERS.sub("", w) for w in out if not w.isalpha() and _BETWEEN.search(w)] if len(x) > 2)
     for w in [w for w in out if len(w) > WINDOW]:
         out.remove(w)
         out.update(w[i:i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))

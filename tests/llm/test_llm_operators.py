@@ -242,6 +242,25 @@ def test_subsequence_kernel():
         assert np.allclose([kernel(s, [m, "idiot"])[0] for s in strings], want)
 
 
+def test_toxicity_disguised_insults(spark):
+    """Dotted, shortened, starred and split insults score above a text without any, through score()."""
+    from tarmac.llm.toxicity import score
+    insults = ["moron", "idiot", "loser", "stupid", "pathetic"]
+    rng = random.Random(5)
+    plain = [" ".join(rng.choices(["garden", "river", "window", "paper", "market", "winter", "bridge", "letter"], k=12))
+             for _ in range(400)]
+    sample = spark.createDataFrame([(t + (" " + insults[i % 5] if i % 2 else ""), i % 2) for i, t in enumerate(plain)],
+                                   "text string, toxic int")
+    ways = {"none": lambda w: "market", "dot": ".".join, "apart": " ".join, "drop": lambda w: w[0] + w[2:],
+            "star": lambda w: w[0] + "*" + w[2:], "head": lambda w: w[:2] + " " + w[2:],
+            "tail": lambda w: w[:-2] + " " + w[-2:]}
+    rows = [(way, f"garden river {f(w)} paper window") for way, f in ways.items() for w in insults]
+    got = score(spark.createDataFrame(rows, "way string, text string"), sample, ["way", "text"]).collect()
+    clean = max(r["score"] for r in got if r["way"] == "none")
+    assert all(r["score"] > clean + 0.005 for r in got if r["way"] != "none"), [(r["text"], r["score"]) for r in got]
+    assert all(r["predicted"] for r in got if r["way"] in ("dot", "apart", "head", "tail"))
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     from tarmac.llm.toxicity import score, training_rows
     labels = spark.createDataFrame([(1, 0), (7, 1), (None, 1), (9, None)], "doc_id long, toxic int")
