@@ -365,6 +365,20 @@ def test_template_slots_go(spark):
     assert {r["page_id"]: r["text"] for r in got} == {i: f"Story {i} first.\n\nStory {i} second." for i in range(30)}
 
 
+def test_marked_articles(spark):
+    """A menu named after the main part is no article, and every outermost marked article is kept in page order."""
+    from tarmac.llm.html_text import main_text
+    pages = ["<div class='main-menu'><p>Menu one</p><p>Menu two</p></div><ul id='main-nav'><li>Nav</ul><div><p>Story.</p></div>",
+             "<article><p>Short first.</p></article><p>Between.</p><article><p>A much longer second part.</p></article>",
+             "<main><p>Lead.</p><article><p>Inner.</p></article></main><article></article>",
+             "<div class='main-sidebar'><p>Side</p></div><div role='main'><p>Text.</p></div><p>After.</p>",
+             "<main class='has-sidebar'><p>Kept.</p></main>", "<article></article><p>Outside.</p>"]
+    rows = [(i, f"http://h{i}.example/", p) for i, p in enumerate(pages)]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [r["text"] for r in sorted(got, key=lambda r: r["page_id"])] == [
+        "Story.", "Short first.\n\nA much longer second part.", "Lead.\n\nInner.", "Text.", "Kept.", "Outside."]
+
+
 # ---- encoding
 
 def test_bpe_equals_library():
