@@ -365,6 +365,28 @@ def test_template_slots_go(spark):
     assert {r["page_id"]: r["text"] for r in got} == {i: f"Story {i} first.\n\nStory {i} second." for i in range(30)}
 
 
+def test_template_beyond_the_reference_page(spark):
+    """Constants of small hosts, of pages other than the reference page and of a second kind of page are template;
+    link paragraphs of an article are not."""
+    from tarmac.llm.html_text import main_text
+    rows, want = [], {}
+
+    def add(host, page, text):
+        want[len(rows)] = text
+        rows.append((len(rows), f"http://{host}.example/{len(rows)}", page))
+
+    for i in range(4):
+        add("small", f"<div><p>Acme Daily</p></div><div><p>Story {i}.</p></div>", f"Story {i}.")
+    for i in range(20):
+        add("kinds", f"<div><p>Acme Daily</p></div><div><p>Story {i}.</p></div>", f"Story {i}.")
+        add("kinds", f"<section><h2>Acme Shop</h2><blockquote>Item {i}.</blockquote><h3>Buy now</h3></section>", f"Item {i}.")
+    for i in range(6):
+        add("links", f"<article><p>Part {i}.</p><p><a href='/'>All of this paragraph {i} is a link</a></p></article>",
+            f"Part {i}.\n\nAll of this paragraph {i} is a link")
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_marked_articles(spark):
     """A menu named after the main part is no article, and every outermost marked article is kept in page order."""
     from tarmac.llm.html_text import main_text
