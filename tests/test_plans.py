@@ -26,3 +26,16 @@ def test_no_cartesian_product(spark, name):
 def test_views_read_written_enriched_table(spark):
     p = plan(QUERIES["heatmap_masked"](spark, SF_SMALL))
     assert "tables/enriched" in p and "events.parquet" not in p
+
+
+def test_search_scores_all_candidates(spark, monkeypatch):
+    """The registered search scores the reference's 40 candidates (folds stubbed)."""
+    from tarmac.plans import learning_q, ml
+    seen = []
+
+    def stub(xy, features, model, resampling, weight, k, seed, params, parallel):
+        seen.append((params["numTrees"], weight))
+        return [{"f1": len(seen) / 100, "balanced_accuracy": 0.5}] * k
+
+    monkeypatch.setattr(ml, "cross_validate", stub)
+    assert learning_q.search(spark, SF_SMALL).count() == 40 and len(seen) == 40
