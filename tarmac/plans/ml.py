@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import resample as RS
 from ..operators import scaling as SC
 from ..operators import validation as V
-from ..session import checkpoint
+from ..session import checkpoint, shared_path
 
 LABEL = "label"  # target column of the ML layer (0/1)
 
@@ -154,6 +154,41 @@ def out_of_time(xy: DataFrame, split: DataFrame, features: Sequence[str], model:
     return r
 
 
+#: the reference's estimators, in its order
+ESTIMATORS = ("forest", "adaboost", "boosted", "nb", "mlp")
+
+
+def refit(xy: DataFrame, features: Sequence[str], model: str, resampling: str | None = None,
+          weight_mode: str | None = None, seed: int = 42) -> dict:
+    """Scale, resample and fit on all rows; the model and its scaler table go to the shared folder.
+
+    AdaBoost is saved as its stumps (``stump-0``, ...) and a table of their weights.
+    """
+    import uuid
+    spark = xy.sparkSession
+    path = shared_path(spark, f"models/{model}-{uuid.uuid4().hex[:12]}")
+    scaled, _, params = SC.fit_transform(xy)
+    SC.save_params(params, f"{path}/scaler")
+    train = RS.resample(scaled, resampling, LABEL, features, seed)
+    if weight_mode == "balanced":
+        train = V.with_weights(train, LABEL, "balanced")
+    elif weight_mode == "positive":
+        train = V.with_weights(train, LABEL, None, POS_WEIGHT)
+    train = assemble(train, features).persist()
+    n = train.count()
+    if model == "adaboost":
+        stumps = fit_adaboost(train, ADABOOST_ROUNDS, seed)
+        for i, (stump, _) in enumerate(stumps):
+            stump.write().overwrite().save(f"{path}/stump-{i}")
+        spark.createDataFrame([(i, float(alpha)) for i, (_, alpha) in enumerate(stumps)], "stump int, alpha double"
+                              ).write.mode("overwrite").parquet(f"{path}/alphas")
+    else:
+        weighted = weight_mode is not None and model in ("forest", "boosted", "nb")
+        make_model(model, None, seed, weighted, len(features)).fit(train).write().overwrite().save(f"{path}/model")
+    train.unpersist()
+    return {"fitted_rows": n, "all_rows": xy.count(), "path": path}
+
+
 # M19 search space of the reference's forest tuning: 4 x 5 x 3 x 3 x 2 x 3 = 1080 combinations.
 # Fixed values; an unlimited depth maps to Spark's cap of 30.
 SEARCH_SPACE = {
