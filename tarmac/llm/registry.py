@@ -13,7 +13,7 @@ from ..session import ensure_checkpoint_dir, ship_package
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 MODULES = ["exact_dedup", "embedding_dedup", "line_dedup", "minhash_dedup", "toxicity", "language", "html_text",
-           "lm_score", "bpe", "mixing", "warc", "prefix_trie"]
+           "lm_score", "bpe", "mixing", "warc", "prefix_trie", "phrases"]
 
 
 def query(name: str, sql: str | None = None):
