@@ -36,7 +36,9 @@ from .registry import query
 
 MIN_COUNT, INSIDE, TOP = 10, 50, 2000
 #: bytes of text that are worked on at once
-SLICE = 1 << 21
+SLICE = 1 << 20
+#: buckets that a task sums before it passes them on
+KEYS_HELD = 1 << 21
 #: bit sets take 16 bits per entry, within these bounds (8 MB at most)
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 SHARD = 1 << 16
@@ -193,7 +195,7 @@ def _buckets(seed: int, word_bits, pair_bits=None):
             pair, triple = _alive(w, p, s1, s2, s3)
             held.append(pair_key(s1[pair], s2[pair]) if p is None else triple_key(s1[triple], s2[triple], s3[triple]))
             size += len(held[-1])
-            if size > 1 << 22:
+            if size > KEYS_HELD:
                 yield summed()
                 held, size = [], 0
         if size:
@@ -295,10 +297,9 @@ def _built(pdf: pd.DataFrame) -> pd.DataFrame:
     symbols = symbols[symbols != 0]
     codes = np.where(s == 0, 0, np.searchsorted(symbols, s) + 1)
     base, check, state = double_array(*(codes[:, i] for i in range(3)))
-    accept = [dict(zip(("state", "s1", "s2", "s3"), map(int, (t, *row)))) for t, row in
-              zip(state, s.view(np.int64))]
     return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "symbols": [symbols.tobytes()], "base": [base.tobytes()],
-                         "check": [check.tobytes()], "accept": [accept]})
+                         "check": [check.tobytes()], "states": [state],
+                         **{c: [pdf[c].to_numpy()] for c in ("s1", "s2", "s3")}})
 
 
 def step(base: np.ndarray, check: np.ndarray, state: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -412,14 +413,14 @@ def counts_of(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COUNT,
     shard = ((high % shards) * ((1 << 32) % shards) + low % shards) % shards
     tries = scratch.keep(candidates.withColumn("shard", shard).groupBy("shard").applyInPandas(
         _built, "shard long, symbols binary, base binary, check binary, "
-                "accept array<struct<state: long, s1: long, s2: long, s3: long>>"), "tries")
+                "states array<long>, s1 array<long>, s2 array<long>, s3 array<long>"), "tries")
     size = tries.agg(F.sum(F.octet_length("symbols") + F.octet_length("base") + F.octet_length("check"))).first()[0] or 0
     if size <= trie_bytes:
         held = {r["shard"]: (bytes(r["symbols"]), bytes(r["base"]), bytes(r["check"]))
                 for r in tries.select("shard", "symbols", "base", "check").collect()}
         states = texts.mapInArrow(_advanced(seed, shards, sc.broadcast(held), pair_bits), "shard long, state long, n long")
         summed = states.groupBy("shard", "state").agg(F.sum("n").alias("a"))
-        accept = tries.select("shard", F.inline("accept"))
+        accept = tries.select("shard", F.inline(F.arrays_zip(F.col("states").alias("state"), "s1", "s2", "s3")))
         counted = summed.join(accept, ["shard", "state"])
     else:
         met = texts.mapInArrow(_occurrences(seed, pair_bits, triple_bits), "s1 long, s2 long, s3 long, n long")
