@@ -195,48 +195,45 @@ def out_of_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cv_frame(spark, [{"fold": 0, **r}], {"scheme": "time_oot"})
 
 
+def _search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search's table, computed once per session and data version and kept in the shared folder."""
+    from ..session import materialised
+
+    def build() -> DataFrame:
+        rows = ML.run_search(documents_xy(spark, sf_dir), DOC_FEATURES, k=5, seed=42)
+        return spark.createDataFrame(
+            [(r["candidate"], r["params"], r["mean_test_f1"], r["std_test_f1"], r["mean_test_balanced_accuracy"]) for r in rows],
+            "candidate int, params map<string,string>, mean_test_f1 double, std_test_f1 double, "
+            "mean_test_balanced_accuracy double")
+
+    return materialised(spark, "search", [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("documents", "labels")], build)
+
+
 @register("search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random search over the forest space, the reference's 40 candidates, 5-fold, ranked by F1."""
-    xy = documents_xy(spark, sf_dir).persist()
-    rows = ML.run_search(xy, DOC_FEATURES, k=5, seed=42)
-    xy.unpersist()
-    df = spark.createDataFrame(
-        [(r["candidate"], r["params"], r["mean_test_f1"], r["std_test_f1"], r["mean_test_balanced_accuracy"]) for r in rows],
-        "candidate int, params map<string,string>, mean_test_f1 double, std_test_f1 double, "
-        "mean_test_balanced_accuracy double")
     from ..operators.windows import competition_rank
-    df = df.withColumn("label", C.label_from_params("params", list(ML.SEARCH_SPACE)))   # P31
+    df = _search_rows(spark, sf_dir).withColumn("label", C.label_from_params("params", list(ML.SEARCH_SPACE)))   # P31
     return competition_rank(df, "mean_test_f1", "rank_test_f1")
 
 
 @register("sweep")
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven imbalance strategies x (5-fold, out-of-time) with the forest.
+    """Seven imbalance strategies x (5-fold, later ids) with the search winner's forest settings.
 
-    Out of time, rows up to the 80 % point of the document ids train and later
-    ones test.  ``rank_f1`` ranks a scheme's strategies by their mean F1.
+    The documents have no time: scheme ``later_ids`` trains up to the 80 % point of the document ids and tests on the
+    later ones.  ``rank_f1`` ranks a scheme's strategies by their mean F1.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     from ..operators.windows import competition_rank
-    xy = documents_xy(spark, sf_dir).persist()
+    xy = documents_xy(spark, sf_dir)
+    base = ML.best_params([r.asDict() for r in _search_rows(spark, sf_dir).collect()])
     cut = xy.agg(F.percentile_approx("row_id", 0.8, 10000).alias("cut")).first()["cut"]
     split = xy.select("row_id", (F.col("row_id") > F.lit(cut)).cast("int").alias("is_test"))
-
-    def one(strategy):
-        name, resampling, weight = strategy
-        rows = ML.cross_validate(xy, DOC_FEATURES, "forest", resampling, weight, 5, 42, parallel=1)
-        late = ML.out_of_time(xy, split, DOC_FEATURES, "forest", resampling, weight, 42)
-        return [{"strategy": name, "scheme": "stratified_kfold", **r} for r in rows] + [
-            {"strategy": name, "scheme": "time_oot", "fold": 0, **late}]
-
-    with ThreadPoolExecutor(max_workers=len(ML.STRATEGIES)) as ex:
-        out = [r for rows in ex.map(one, ML.STRATEGIES) for r in rows]
-    xy.unpersist()
+    out = ML.run_sweep(xy, split, DOC_FEATURES, base)
     scores = spark.createDataFrame([tuple(r[c] for c in ("strategy", "scheme", "fold", "tp", "fp", "fn", "tn", "f1",
                                                          "balanced_accuracy")) for r in out],
                                    "strategy string, scheme string, " + FOLD_SCHEMA)
+    scores = scores.replace({"split": "later_ids"}, subset=["scheme"])
     mean = scores.groupBy("scheme", "strategy").agg(F.avg("f1").alias("mean_f1"),
                                                     F.avg("balanced_accuracy").alias("mean_balanced_accuracy"))
     return scores.join(competition_rank(mean, "mean_f1", "rank_f1", ["scheme"]), ["scheme", "strategy"])
@@ -247,18 +244,15 @@ def final_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best of the five estimators by k-fold F1, resampled with SMOTE-ENN, fitted on all rows and saved.
 
     The winner's scores on the held-out folds come with the rows it was fitted
-    on and the shared folder that holds its model(s) and scaler table.
+    on and the shared folder that holds its model and scaler table.
     """
-    xy = documents_xy(spark, sf_dir).persist()
-    best, best_f1, scores = None, -1.0, []
-    for m in ML.ESTIMATORS:
-        rows = ML.cross_validate(xy, DOC_FEATURES, m, "smoteenn", None, 5, 42)
-        f1 = sum(r["f1"] for r in rows) / len(rows)
-        if f1 > best_f1:
-            best, best_f1, scores = m, f1, rows
+    xy = documents_xy(spark, sf_dir)
+    folds = ML.Folds(ML._union(ML.prepare_folds(xy, DOC_FEATURES, "smoteenn", 5, 42)), DOC_FEATURES)
+    scores = {m: ML.evaluate(folds, m, None, 42) for m in ML.ESTIMATORS}
+    folds.release()
+    best = max(ML.ESTIMATORS, key=lambda m: sum(r["f1"] for r in scores[m]))
     facts = ML.refit(xy, DOC_FEATURES, best, "smoteenn", None, 42)
-    xy.unpersist()
-    return _cv_frame(spark, scores, {"model": best}).withColumns({k: F.lit(v) for k, v in facts.items()})
+    return _cv_frame(spark, scores[best], {"model": best}).withColumns({k: F.lit(v) for k, v in facts.items()})
 
 
 @register("pca_2d")

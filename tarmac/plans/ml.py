@@ -1,9 +1,10 @@
 """Estimators, cross-validation, out-of-time evaluation, search, sweep, refit, PCA.
 
-The driver loop only submits jobs: every fold is a filter of one cached
-feature table, the scaler is fitted on the training fold (one aggregate),
-resampling touches the training fold only, and each estimator is a
-distributed Spark ML fit.  Scores are confusion counts from one aggregate.
+Folds are prepared once (scaler fitted on the training rows, which alone are
+resampled) and written to the shared folder as numbered datasets.  Tree models
+of all folds, candidates and strategies grow together from sufficient
+statistics (``operators.trees``); naive Bayes and the perceptron are Spark ML
+fits.  Scores are confusion counts, summed where the rows are.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, MultilayerPerceptronClassifier,
-                                       NaiveBayes, RandomForestClassifier)
+from pyspark.ml.classification import MultilayerPerceptronClassifier, NaiveBayes
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import resample as RS
 from ..operators import scaling as SC
+from ..operators import trees as TR
 from ..operators import validation as V
 from ..session import checkpoint, shared_path
 
@@ -28,14 +29,13 @@ LABEL = "label"  # target column of the ML layer (0/1)
 
 # Default model settings of the reference's comparison grid.
 FOREST = dict(numTrees=300, maxDepth=15, minInstancesPerNode=2)
-BOOSTED = dict(maxIter=200, maxDepth=6, stepSize=0.1)
+BOOSTED = dict(rounds=200, depth=6, rate=0.1)
 ADABOOST_ROUNDS = 150
 MLP_LAYERS = (64, 32)
 MLP_MAX_ITER = 500
 MLP_TOL = 1e-4  # stands in for early stopping (no validation split in Spark ML)
 POS_WEIGHT = 2.4
-# Independent fits (folds, candidates) submitted concurrently from driver
-# threads, like the reference's n_jobs=-1; Spark schedules their tasks.
+# Independent preparations and Spark ML fits submitted concurrently from driver threads.
 PARALLEL_FITS = 8
 
 
@@ -43,17 +43,11 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
 
 
-def make_model(name: str, params: dict | None = None, seed: int = 42, weighted: bool = False, n_features: int = 0):
+def make_model(name: str, params: dict | None = None, seed: int = 42, n_features: int = 0):
+    """The estimators that Spark ML has as they are needed; tree models are ``operators.trees``."""
     p = dict(params or {})
-    wc = {"weightCol": "weight"} if weighted else {}
-    if name == "forest":
-        q = {**FOREST, **p}
-        return RandomForestClassifier(labelCol=LABEL, featuresCol="features", seed=seed, maxMemoryInMB=1024,
-                                      featureSubsetStrategy=str(q.pop("featureSubsetStrategy", "sqrt")), **q, **wc)
-    if name == "boosted":
-        return GBTClassifier(labelCol=LABEL, featuresCol="features", seed=seed, maxMemoryInMB=1024, **{**BOOSTED, **p}, **wc)
     if name == "nb":
-        return NaiveBayes(labelCol=LABEL, featuresCol="features", modelType="gaussian", **wc)
+        return NaiveBayes(labelCol=LABEL, featuresCol="features", modelType="gaussian")
     if name == "mlp":
         layers = [n_features, *MLP_LAYERS, 2]
         return MultilayerPerceptronClassifier(labelCol=LABEL, featuresCol="features", layers=layers,
@@ -62,96 +56,152 @@ def make_model(name: str, params: dict | None = None, seed: int = 42, weighted:
     raise ValueError(f"unknown model {name!r}")
 
 
-def fit_adaboost(train: DataFrame, rounds: int = ADABOOST_ROUNDS, seed: int = 42):
-    """SAMME boosting of depth-1 trees; weights updated as a column each round.
+def _scores(counts) -> dict:
+    """M16 from one fold's [tp, fp, fn, tn]."""
+    tp, fp, fn, tn = (int(c) for c in counts)
+    f1 = 2.0 * tp / (2.0 * tp + fp + fn) if tp else 0.0
+    ba = ((tp / (tp + fn) if tp + fn else 0.0) + (tn / (tn + fp) if tn + fp else 0.0)) / 2.0
+    return {"tp": tp, "fp": fp, "fn": fn, "tn": tn, "f1": f1, "balanced_accuracy": ba}
 
-    The weighted table is checkpointed every 10 rounds (shared checkpoint dir)
-    so the lineage stays short and a lost executor recomputes little.
+
+class Folds:
+    """Numbered datasets, each scaled on its training rows and resampled there, written once for all fits.
+
+    ``rows(data, is_test, row_id, label, features)`` lie in the shared folder; tree models share one set of binned
+    blocks, Spark ML models one cached table of vectors.
     """
-    import math
-    d = train.withColumn("_w", F.lit(1.0)).persist()
-    stumps = []
-    for t in range(rounds):
-        m = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", maxDepth=1, weightCol="_w", seed=seed + t)
-        model = m.fit(d)
-        p = model.transform(d).select("*", (F.col("prediction") != F.col(LABEL)).cast("double").alias("_miss"))
-        err_row = p.agg((F.sum(F.col("_w") * F.col("_miss")) / F.sum("_w")).alias("e")).first()
-        err = float(err_row["e"] or 0.0)
-        if err >= 0.5:
-            break
-        err = max(err, 1e-10)
-        alpha = math.log((1 - err) / err)
-        stumps.append((model, alpha))
-        prev = d
-        d = p.select(*train.columns, (F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss"))).alias("_w"))
-        d = checkpoint(d) if (t + 1) % 10 == 0 else d.persist()
-        prev.unpersist()
-        if err <= 1e-10:
-            break
-    return stumps
-
-
-def predict_adaboost(stumps, df: DataFrame) -> DataFrame:
-    score = F.lit(0.0)
-    out = df
-    for i, (model, alpha) in enumerate(stumps):
-        out = model.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}").transform(out)
-        score = score + F.lit(alpha) * (F.col(f"_p{i}") * 2 - 1)
-    keep = [c for c in df.columns]
-    return out.select(*keep, (score > 0).cast("double").alias("prediction"))
-
-
-def evaluate_fold(train: DataFrame, test: DataFrame, features: Sequence[str], model: str, resampling: str | None,
-                  weight_mode: str | None, params: dict | None = None, seed: int = 42) -> dict:
-    """One fold: scale (fit on train), resample train, fit, score test."""
+
+    def __init__(self, rows: DataFrame, features: Sequence[str], name: str = "folds"):
+        import uuid
+        self.spark, self.features = rows.sparkSession, list(features)
+        path = shared_path(self.spark, f"{name}/{uuid.uuid4().hex[:12]}")
+        rows.hint("rebalance").write.parquet(path)
+        self.rows = self.spark.read.parquet(path)
+        self.data = sorted(r["data"] for r in self.rows.select("data").distinct().collect())
+        self._blocks = self._vectors = None
+
+    @property
+    def blocks(self) -> TR.Blocks:
+        if self._blocks is None:
+            self._blocks = TR.Blocks(self.rows, len(self.features))
+        return self._blocks
+
+    @property
+    def vectors(self) -> DataFrame:
+        if self._vectors is None:
+            from pyspark.ml.functions import array_to_vector
+            v = self.rows.select("data", "is_test", F.col("label").alias(LABEL), array_to_vector("features").alias("features"))
+            self._vectors = v.persist()
+        return self._vectors
+
+    def release(self) -> None:
+        if self._blocks is not None:
+            self._blocks.release()
+        if self._vectors is not None:
+            self._vectors.unpersist()
+
+
+def dataset(train: DataFrame, test: DataFrame | None, features: Sequence[str], resampling: str | None, number: int,
+            seed: int = 42) -> DataFrame:
+    """One dataset: the scaler is fitted on ``train``, which alone is resampled."""
     tr, te, _ = SC.fit_transform(train, test)
     tr = RS.resample(tr, resampling, LABEL, features, seed)
-    if weight_mode == "balanced":
-        tr = V.with_weights(tr, LABEL, "balanced")
-    elif weight_mode == "positive":
-        tr = V.with_weights(tr, LABEL, None, POS_WEIGHT)
-    weighted = weight_mode is not None and model in ("forest", "boosted", "nb")
-    tr_v, te_v = assemble(tr, features), assemble(te, features)
-    if model == "adaboost":
-        stumps = fit_adaboost(tr_v, params.get("rounds", ADABOOST_ROUNDS) if params else ADABOOST_ROUNDS, seed)
-        pred = predict_adaboost(stumps, te_v)
-    else:
-        m = make_model(model, params, seed, weighted, len(features)).fit(tr_v)
-        pred = m.transform(te_v)
-    c = V.confusion(pred.select(F.col(LABEL).alias("label"), "prediction")).first()
-    return {k: c[k] for k in ("tp", "fp", "fn", "tn", "f1", "balanced_accuracy")}
 
+    def rows(df, is_test):
+        return df.select(F.lit(number).alias("data"), F.lit(is_test).alias("is_test"), F.col("row_id").cast("long"),
+                         F.col(LABEL).cast("int").alias("label"),
+                         F.array(*[F.col(c).cast("double") for c in features]).alias("features"))
 
-def cross_validate(xy: DataFrame, features: Sequence[str], model: str, resampling: str | None = None,
-                   weight_mode: str | None = None, k: int = 5, seed: int = 42, params: dict | None = None,
-                   parallel: int = PARALLEL_FITS) -> list[dict]:
-    """Stratified k-fold CV; rows stay on the executors, one dict per fold returns.
+    return rows(tr, False) if te is None else rows(tr, False).unionByName(rows(te, True))
 
-    The fold-assigned table is persisted once; the k fold jobs run
-    concurrently (``parallel`` driver threads).
-    """
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def prepare_folds(xy: DataFrame, features: Sequence[str], resampling: str | None = None, k: int = 5, seed: int = 42,
+                  first: int = 0) -> list[DataFrame]:
+    """Datasets ``first`` to ``first + k - 1``: the folds of a stratified k-fold, prepared concurrently."""
     from ..functions.columns import require_columns
     require_columns(xy, [LABEL, "row_id", *features], forbidden=["carrier", "text"], numeric=features)   # P32
-    folds = V.stratified_folds(xy, LABEL, k, seed).persist()
+    folds = checkpoint(V.stratified_folds(xy, LABEL, k, seed))
+
+    def one(f: int) -> DataFrame:
+        return dataset(folds.filter(F.col("fold") != f).drop("fold"), folds.filter(F.col("fold") == f).drop("fold"),
+                       features, resampling, first + f, seed)
+
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as ex:
+        return list(ex.map(one, range(k)))
+
+
+def forest_fit(data: int, params: dict | None = None, weight_mode: str | None = None, seed: int = 42) -> TR.Fit:
+    p = {**FOREST, **(params or {})}
+    weight = POS_WEIGHT if weight_mode == "positive" else weight_mode
+    return TR.Fit(data, seed, int(p["numTrees"]), int(p["maxDepth"]), int(p["minInstancesPerNode"]),
+                  str(p.get("featureSubsetStrategy", "sqrt")), str(p.get("impurity", "gini")), weight)
+
+
+def forest_scores(folds: Folds, fits: Sequence[TR.Fit]) -> list[dict]:
+    """Scores of each forest on its dataset's test rows; all of them grow in the same jobs."""
+    found = TR.forest_confusion(folds.blocks, list(fits), TR.grow_forests(folds.blocks, list(fits)))
+    return [_scores(found.get(i, (0, 0, 0, 0))) for i in range(len(fits))]
+
+
+def evaluate(folds: Folds, model: str, weight_mode: str | None = None, seed: int = 42, params: dict | None = None,
+             data: Sequence[int] | None = None) -> list[dict]:
+    """One dict of scores per dataset."""
+    data = list(folds.data if data is None else data)
+    p = params or {}
+    if model == "forest":
+        scores = forest_scores(folds, [forest_fit(k, params, weight_mode, seed) for k in data])
+    elif model == "boosted":
+        spec = TR.Boosted(**{**BOOSTED, **p}, positive_weight=POS_WEIGHT if weight_mode == "positive" else 1.0)
+        found = TR.boosted_confusion(folds.blocks, TR.grow_boosted(folds.blocks, data, spec), spec)
+        scores = [_scores(found.get(k, (0, 0, 0, 0))) for k in data]
+    elif model == "adaboost":
+        found = TR.stump_confusion(folds.blocks, TR.grow_stumps(folds.blocks, data, p.get("rounds", ADABOOST_ROUNDS)))
+        scores = [_scores(found.get(k, (0, 0, 0, 0))) for k in data]
+    else:
+        def one(k: int) -> dict:
+            rows = folds.vectors.filter(F.col("data") == k)
+            fitted = make_model(model, params, seed, len(folds.features)).fit(rows.filter("not is_test"))
+            c = V.confusion(fitted.transform(rows.filter("is_test")).select(F.col(LABEL).alias("label"), "prediction")).first()
+            return _scores((c["tp"], c["fp"], c["fn"], c["tn"]))
 
-    def one(f: int) -> dict:
-        r = evaluate_fold(folds.filter(F.col("fold") != f).drop("fold"), folds.filter(F.col("fold") == f).drop("fold"),
-                          features, model, resampling, weight_mode, params, seed)
-        return {"fold": f, **r}
+        with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as ex:
+            scores = list(ex.map(one, data))
+    return [{"fold": k, **s} for k, s in zip(data, scores)]
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, k))) as ex:
-        out = list(ex.map(one, range(k)))
-    folds.unpersist()
-    return out
+
+def cross_validate(xy: DataFrame, features: Sequence[str], model: str, resampling: str | None = None,
+                   weight_mode: str | None = None, k: int = 5, seed: int = 42, params: dict | None = None) -> list[dict]:
+    """Stratified k-fold CV; one dict per fold returns, rows stay on the executors."""
+    folds = Folds(_union(prepare_folds(xy, features, resampling, k, seed)), features)
+    try:
+        return evaluate(folds, model, weight_mode, seed, params)
+    finally:
+        folds.release()
+
+
+def split_dataset(xy: DataFrame, split: DataFrame, features: Sequence[str], resampling: str | None = None, number: int = 0,
+                  seed: int = 42) -> DataFrame:
+    """The dataset of a split (row_id, is_test): the past trains, the future tests."""
+    d = xy.join(split.select("row_id", "is_test"), "row_id")
+    return dataset(d.filter("is_test = 0").drop("is_test"), d.filter("is_test = 1").drop("is_test"), features, resampling,
+                   number, seed)
 
 
 def out_of_time(xy: DataFrame, split: DataFrame, features: Sequence[str], model: str, resampling: str | None = None,
                 weight_mode: str | None = None, seed: int = 42, params: dict | None = None) -> dict:
     """Train on the past, score the future (``split`` = row_id, is_test)."""
-    d = xy.join(split.select("row_id", "is_test"), "row_id")
-    r = evaluate_fold(d.filter("is_test = 0").drop("is_test"), d.filter("is_test = 1").drop("is_test"),
-                      features, model, resampling, weight_mode, params, seed)
-    return r
+    folds = Folds(split_dataset(xy, split, features, resampling, 0, seed), features)
+    try:
+        return evaluate(folds, model, weight_mode, seed, params)[0]
+    finally:
+        folds.release()
 
 
 #: the reference's estimators, in its order
@@ -159,33 +209,32 @@ ESTIMATORS = ("forest", "adaboost", "boosted", "nb", "mlp")
 
 
 def refit(xy: DataFrame, features: Sequence[str], model: str, resampling: str | None = None,
-          weight_mode: str | None = None, seed: int = 42) -> dict:
+          weight_mode: str | None = None, seed: int = 42, params: dict | None = None) -> dict:
     """Scale, resample and fit on all rows; the model and its scaler table go to the shared folder.
 
-    AdaBoost is saved as its stumps (``stump-0``, ...) and a table of their weights.
+    Tree models are saved as a table of their nodes (``trees.score_rows`` applies it), the others as Spark ML models.
     """
     import uuid
     spark = xy.sparkSession
     path = shared_path(spark, f"models/{model}-{uuid.uuid4().hex[:12]}")
-    scaled, _, params = SC.fit_transform(xy)
-    SC.save_params(params, f"{path}/scaler")
-    train = RS.resample(scaled, resampling, LABEL, features, seed)
-    if weight_mode == "balanced":
-        train = V.with_weights(train, LABEL, "balanced")
-    elif weight_mode == "positive":
-        train = V.with_weights(train, LABEL, None, POS_WEIGHT)
-    train = assemble(train, features).persist()
-    n = train.count()
-    if model == "adaboost":
-        stumps = fit_adaboost(train, ADABOOST_ROUNDS, seed)
-        for i, (stump, _) in enumerate(stumps):
-            stump.write().overwrite().save(f"{path}/stump-{i}")
-        spark.createDataFrame([(i, float(alpha)) for i, (_, alpha) in enumerate(stumps)], "stump int, alpha double"
-                              ).write.mode("overwrite").parquet(f"{path}/alphas")
+    SC.save_params(SC.fit(xy), f"{path}/scaler")
+    folds = Folds(dataset(xy, None, features, resampling, 0, seed), features)
+    n = folds.rows.count()
+    if model in ("forest", "boosted", "adaboost"):
+        b, p = folds.blocks, params or {}
+        if model == "forest":
+            fit = forest_fit(0, params, weight_mode, seed)
+            [(trees, roots)] = TR.grow_forests(b, [fit])
+            rows = TR.node_rows(trees, roots, b.edges[0], 1.0 / len(roots))
+        elif model == "boosted":
+            spec = TR.Boosted(**{**BOOSTED, **p}, positive_weight=POS_WEIGHT if weight_mode == "positive" else 1.0)
+            rows = [r for i, t in enumerate(TR.grow_boosted(b, [0], spec)[0]) for r in TR.node_rows(t, [0], b.edges[0], 1.0, i)]
+        else:
+            rows = TR.stump_rows(TR.grow_stumps(b, [0], p.get("rounds", ADABOOST_ROUNDS))[0], b.edges[0])
+        spark.createDataFrame(rows, TR.NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
     else:
-        weighted = weight_mode is not None and model in ("forest", "boosted", "nb")
-        make_model(model, None, seed, weighted, len(features)).fit(train).write().overwrite().save(f"{path}/model")
-    train.unpersist()
+        make_model(model, params, seed, len(features)).fit(folds.vectors).write().overwrite().save(f"{path}/model")
+    folds.release()
     return {"fitted_rows": n, "all_rows": xy.count(), "path": path}
 
 
@@ -209,31 +258,64 @@ def search_candidates(n: int = 40, seed: int = 42, grid: bool = False) -> list[d
     return random.Random(seed).sample(combos, min(n, len(combos)))
 
 
-def run_search(xy: DataFrame, features: Sequence[str], n: int = 40, k: int = 5, seed: int = 42,
-               parallel: int = PARALLEL_FITS) -> list[dict]:
-    """Random search; each candidate scored by k-fold F1 and balanced accuracy.
+def _weight_mode(value: str) -> str | None:
+    return None if value == "none" else value
+
+
+def run_search(xy: DataFrame, features: Sequence[str], n: int = 40, k: int = 5, seed: int = 42) -> list[dict]:
+    """Random search; every candidate is scored by k-fold F1 and balanced accuracy.
+
+    The folds are prepared once; the forests of all candidates and folds grow together.
+    """
+    candidates = search_candidates(n, seed)
+    folds = Folds(_union(prepare_folds(xy, features, None, k, seed)), features)
+    fits = [forest_fit(f, {x: v for x, v in c.items() if x != "weight"}, _weight_mode(c["weight"]), seed)
+            for c in candidates for f in range(k)]
+    scores = forest_scores(folds, fits)
+    folds.release()
+    out = []
+    for i, cand in enumerate(candidates):
+        f1s, bas = ([s[m] for s in scores[i * k:(i + 1) * k]] for m in ("f1", "balanced_accuracy"))
+        mean = sum(f1s) / k
+        std = (sum((x - mean) ** 2 for x in f1s) / k) ** 0.5
+        out.append({"candidate": i, "params": {x: str(v) for x, v in cand.items()}, "mean_test_f1": mean,
+                    "std_test_f1": std, "mean_test_balanced_accuracy": sum(bas) / k})
+    return out
+
+
+def best_params(results: Sequence[dict]) -> dict:
+    """Forest settings of the search's F1 winner (the first of equals), without its class weight."""
+    best = max(results, key=lambda r: (r["mean_test_f1"], -r["candidate"]))
+    kinds = {"numTrees": int, "maxDepth": int, "minInstancesPerNode": int}
+    return {x: kinds.get(x, str)(v) for x, v in best["params"].items() if x != "weight"}
+
+
+#: (name, resampling, class weight)
+STRATEGIES = [("cw_none", None, None), ("cw_balanced", None, "balanced"),
+              ("cw_balanced_subsample", None, "balanced_subsample"), ("undersample", "undersample", None),
+              ("smote", "smote", None), ("smoteenn", "smoteenn", None), ("smotetomek", "smotetomek", None)]
+
+
+def run_sweep(xy: DataFrame, split: DataFrame, features: Sequence[str], base: dict | None = None, k: int = 5,
+              seed: int = 42) -> list[dict]:
+    """Every strategy under k-fold and under the given split (row_id, is_test), with forest settings ``base``.
 
-    Candidates are evaluated concurrently; each candidate's folds run in turn.
+    A resampling's folds are prepared once; all strategies' forests grow together.
     """
-    def one(item):
-        i, cand = item
-        p = {kk: v for kk, v in cand.items() if kk != "weight"}
-        wm = None if cand["weight"] == "none" else "balanced"   # per-bootstrap weights: no Spark knob -> balanced
-        folds = cross_validate(xy, features, "forest", None, wm, k, seed, p, parallel=1)
-        f1s = [f["f1"] for f in folds]
-        bas = [f["balanced_accuracy"] for f in folds]
-        mean = sum(f1s) / len(f1s)
-        std = (sum((x - mean) ** 2 for x in f1s) / len(f1s)) ** 0.5
-        return {"candidate": i, "params": {kk: str(v) for kk, v in cand.items()}, "mean_test_f1": mean,
-                "std_test_f1": std, "mean_test_balanced_accuracy": sum(bas) / len(bas)}
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-        return list(ex.map(one, enumerate(search_candidates(n, seed))))
-
-
-STRATEGIES = [("cw_none", None, None), ("cw_balanced", None, "balanced"), ("cw_balanced_subsample", None, "balanced"),
-              ("undersample", "undersample", None), ("smote", "smote", None), ("smoteenn", "smoteenn", None),
-              ("smotetomek", "smotetomek", None)]
+    kinds = list(dict.fromkeys(r for _, r, _ in STRATEGIES))
+
+    def prepared(i: int) -> list[DataFrame]:
+        at = i * (k + 1)
+        return [*prepare_folds(xy, features, kinds[i], k, seed, at), split_dataset(xy, split, features, kinds[i], at + k, seed)]
+
+    with ThreadPoolExecutor(max_workers=len(kinds)) as ex:
+        parts = [p for group in ex.map(prepared, range(len(kinds))) for p in group]
+    folds = Folds(_union(parts), features)
+    plan = [(name, f, forest_fit(kinds.index(r) * (k + 1) + f, base, w, seed)) for name, r, w in STRATEGIES for f in range(k + 1)]
+    scores = forest_scores(folds, [fit for _, _, fit in plan])
+    folds.release()
+    return [{"strategy": name, "scheme": "split" if f == k else "stratified_kfold", "fold": 0 if f == k else f, **s}
+            for (name, f, _), s in zip(plan, scores)]
 
 
 def pca_2d(df: DataFrame, features: Sequence[str], label: str = LABEL, k: int = 2):
