@@ -11,7 +11,7 @@ level by level, and a level reads the texts once:
    and triples passed is told to the tasks by bit sets of bounded size: wrong
    bits let more phrases through, never fewer.
 3. The candidates, met once more in the texts, are built into double-array tries
-   (one per shard of some 2^16 candidates, in parallel) and broadcast, if all of
+   (one per shard of some 2^18 candidates, in parallel) and broadcast, if all of
    them together stay below ``TRIE_BYTES``.  Numpy advances the states of all
    text positions at once, one word per level, and counts accepting states by
    ``bincount``; shards and tasks are summed.
@@ -36,12 +36,12 @@ from .registry import query
 
 MIN_COUNT, INSIDE, TOP = 10, 50, 2000
 #: bytes of text that are worked on at once
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: buckets that a task sums before it passes them on
 KEYS_HELD = 1 << 21
 #: bit sets take 16 bits per entry, within these bounds (8 MB at most)
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
-SHARD = 1 << 16
+SHARD = 1 << 18
 #: bytes of tries that are broadcast at most
 TRIE_BYTES = 64 << 20
 
@@ -226,30 +226,50 @@ class _Slots:
 
     def __init__(self, size: int):
         self.check = np.full(size, -1, dtype=np.int32)
-        self.low = 1
+        self.at, self.top, self.misses = 1, 0, 0   # where free places are sought; the last place taken
 
     def place(self, parent: int, codes: np.ndarray) -> int:
-        """First fit: the base at which all of a node's codes fall on free places."""
-        while True:
-            free = np.flatnonzero(self.check[self.low:self.low + 8192] < 0)[:max(1, (1 << 16) // len(codes))] + self.low
-            bases = free - codes[0]
-            there = bases[:, None] + codes[None, :]
-            if len(free) and there.max() < len(self.check):
-                fits = np.flatnonzero((self.check[there] < 0).all(axis=1))
-                if len(fits):
-                    base = int(bases[fits[0]])
-                    break
-            if len(free) and there.max() < len(self.check):
-                base = int(np.flatnonzero(self.check >= 0)[-1]) + 1 - int(codes[0])   # behind all that is taken
-                if base + int(codes[-1]) < len(self.check):
-                    break
-            self.check = np.concatenate((self.check, np.full(len(self.check) + int(codes[-1]) + 1, -1, dtype=np.int32)))
+        """A base at which all of a node's codes fall on free places: near ``at``, else anywhere tried, else behind all."""
+        tries = max(1, min(1 << 9, (1 << 15) // len(codes)))
+        free = np.flatnonzero(self.check[self.at:self.at + 4096] < 0)[:tries] + (self.at - codes[0])
+        spread = (np.arange(tries) + parent) * 0x9E3779B1 % max(1, self.top) - codes[0] + 1   # and anywhere below the top
+        bases = np.concatenate((free, spread))
+        there = bases[:, None] + codes[None, :]
+        ok = there[:, -1] < len(self.check)
+        fits = np.flatnonzero(ok & (self.check[np.minimum(there, len(self.check) - 1)] < 0).all(axis=1))
+        if len(fits):
+            base = int(bases[fits[0]])
+            self.misses += int(fits[0]) >= len(free)
+        else:
+            base, self.misses = self.top + 1 - int(codes[0]), self.misses + 1
+            need = base + int(codes[-1]) + 1 - len(self.check)
+            if need > 0:
+                self.check = np.concatenate((self.check, np.full(need + len(self.check) // 2, -1, dtype=np.int32)))
+        if self.misses > 8 and self.at + 2048 < self.top:   # too few places left here
+            self.at, self.misses = self.at + 2048, 0
         self.check[base + codes] = parent
-        while self.low < len(self.check) and self.check[self.low] >= 0:
-            step = np.flatnonzero(self.check[self.low:self.low + 8192] < 0)
-            self.low += int(step[0]) if len(step) else min(8192, len(self.check) - self.low)
+        self.top = max(self.top, base + int(codes[-1]))
         return base
 
+    def place_all(self, parents: np.ndarray, lo: np.ndarray, hi: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Bases of nodes whose codes are codes[lo:hi]; nodes with one code take the free places in order, at once."""
+        bases = np.empty(len(parents), dtype=np.int64)
+        one = hi - lo == 1
+        several = np.flatnonzero(~one)
+        for i in several[np.argsort(lo[several] - hi[several], kind="stable")]:   # many codes first
+            bases[i] = self.place(int(parents[i]), codes[lo[i]:hi[i]])
+        one = np.flatnonzero(one)
+        free = np.flatnonzero(self.check < 0)[:len(one)]
+        if len(free) < len(one):
+            size = len(self.check)
+            self.check = np.concatenate((self.check, np.full(len(one) + 16, -1, dtype=np.int32)))
+            free = np.concatenate((free, size + np.arange(len(one) - len(free))))
+        if len(one):
+            self.check[free] = parents[one]
+            bases[one] = free - codes[lo[one]]
+            self.top = max(self.top, int(free[-1]))
+        return bases
+
 
 _LEAF = -(1 << 30)
 
@@ -263,28 +283,26 @@ def double_array(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray) -> tuple[np.nda
     slots = _Slots(2 * len(c1) + 2 * top + 16)
     slots.check[0] = 0
     slots.check[np.unique(c1)] = 0   # the root's children stand at their codes
-    while slots.check[slots.low] >= 0:
-        slots.low += 1
-    bases = {}
+    slots.top = int(c1.max())
     order = np.lexsort((c3, c2, c1))
     a, b, c = c1[order], c2[order], c3[order]
     second = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-    state2 = np.empty(len(second), dtype=np.int64)
     heads = np.flatnonzero(np.concatenate(([True], a[second][1:] != a[second][:-1])))
-    for lo, hi in zip(heads, np.append(heads[1:], len(second))):
-        node = int(a[second[lo]])
-        bases[node] = slots.place(node, b[second[lo:hi]])
-        state2[lo:hi] = bases[node] + b[second[lo:hi]]
-    state = np.repeat(state2, np.diff(np.append(second, len(a))))
-    for node, lo, hi in zip(state2, second, np.append(second[1:], len(a))):
-        lo += c[lo] == 0
-        if lo < hi:
-            bases[int(node)] = slots.place(int(node), c[lo:hi])
-            state[lo:hi] = bases[int(node)] + c[lo:hi]
+    ends = np.append(heads[1:], len(second))
+    node1 = a[second[heads]]
+    base1 = slots.place_all(node1, heads, ends, b[second])
+    state2 = np.repeat(base1, ends - heads) + b[second]
+    stop = np.append(second[1:], len(a))
+    state = np.repeat(state2, stop - second)
+    third = second + (c[second] == 0)
+    more = third < stop
+    base2 = slots.place_all(state2[more], third[more], stop[more], c)
+    long = c != 0
+    state[long] = np.repeat(base2, (stop - third)[more]) + c[long]
     used = int(np.flatnonzero(slots.check >= 0)[-1]) + 1
     base = np.full(used, _LEAF, dtype=np.int32)
     base[0] = 0
-    base[list(bases)] = list(bases.values())
+    base[node1], base[state2[more]] = base1, base2
     out = np.empty(len(c1), dtype=np.int64)
     out[order] = state
     return base, slots.check[:used], out
