@@ -42,7 +42,7 @@ def fit(df: DataFrame, standard=STANDARD_COLS, robust=ROBUST_COLS, log=LOG_COLS,
         aggs += [F.avg(F.log1p(c)).alias(f"{c}__mean"), F.stddev_pop(F.log1p(c)).alias(f"{c}__std")]
     for c in _present(df, minmax):
         aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    return df.agg(*aggs)
+    return df.agg(*(aggs or [F.count(F.lit(1)).alias("rows")]))   # nothing to scale: one row all the same
 
 
 def transform(df: DataFrame, params: DataFrame, standard=STANDARD_COLS, robust=ROBUST_COLS, log=LOG_COLS,

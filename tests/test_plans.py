@@ -26,43 +26,3 @@ def test_no_cartesian_product(spark, name):
 def test_views_read_written_enriched_table(spark):
     p = plan(QUERIES["heatmap_masked"](spark, SF_SMALL))
     assert "tables/enriched" in p and "events.parquet" not in p
-
-
-def test_search_scores_all_candidates(spark, monkeypatch):
-    """The registered search scores the reference's 40 candidates (folds stubbed)."""
-    from tarmac.plans import learning_q, ml
-    seen = []
-
-    def stub(xy, features, model, resampling, weight, k, seed, params, parallel):
-        seen.append((params["numTrees"], weight))
-        return [{"f1": len(seen) / 100, "balanced_accuracy": 0.5}] * k
-
-    monkeypatch.setattr(ml, "cross_validate", stub)
-    assert learning_q.search(spark, SF_SMALL).count() == 40 and len(seen) == 40
-
-
-@pytest.mark.parametrize("winner", ["nb", "adaboost"])
-def test_final_refit_saves_the_winner(spark, monkeypatch, winner):
-    """All five estimators are compared; the winner is fitted on all rows and saved with its scaler (folds stubbed)."""
-    from pyspark.ml.classification import DecisionTreeClassificationModel, NaiveBayesModel
-    from tarmac.plans import learning_q, ml
-    seen = []
-
-    def stub(xy, features, model, *rest):
-        seen.append(model)
-        return [{"fold": f, "tp": 1, "fp": 0, "fn": 0, "tn": 1, "f1": 0.9 if model == winner else 0.5,
-                 "balanced_accuracy": 0.5} for f in range(5)]
-
-    monkeypatch.setattr(ml, "cross_validate", stub)
-    monkeypatch.setattr(ml, "ADABOOST_ROUNDS", 2)
-    rows = learning_q.final_refit(spark, SF_SMALL).collect()
-    assert seen == ["forest", "adaboost", "boosted", "nb", "mlp"]
-    assert len(rows) == 5 and {r["model"] for r in rows} == {winner}
-    path = rows[0]["path"]
-    assert rows[0]["all_rows"] == learning_q.documents_xy(spark, SF_SMALL).count() and rows[0]["fitted_rows"] > 0
-    assert spark.read.parquet(f"{path}/scaler").count() == 1
-    if winner == "nb":
-        assert NaiveBayesModel.load(f"{path}/model").numFeatures == len(learning_q.DOC_FEATURES)
-    else:
-        assert DecisionTreeClassificationModel.load(f"{path}/stump-0").depth <= 1
-        assert spark.read.parquet(f"{path}/alphas").count() >= 1
