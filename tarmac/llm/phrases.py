@@ -5,7 +5,7 @@ shows that no two share one, otherwise another seed is taken).  Candidates grow
 level by level, and a level reads the texts once:
 
 1. Word counts by shuffle.  Only phrases of frequent words can be frequent.
-2. Buckets of a 64-bit digest count pairs of two frequent words, then triples of
+2. Buckets of a digest count pairs of two frequent words, then triples of
    two frequent pairs.  A bucket's count is never below a phrase's, so phrases
    in rare buckets are out and all others are candidates.  Which symbols, pairs
    and triples passed is told to the tasks by bit sets of bounded size: wrong
@@ -181,7 +181,7 @@ def _alive(word_bits, pair_bits, s1, s2, s3):
     return first, first & (s3 != 0) & among(pair_bits, pair_key(s2, s3))
 
 
-def _buckets(seed: int, word_bits, pair_bits=None):
+def _buckets(seed: int, mask: np.uint64, word_bits, pair_bits=None):
     """Counted buckets of pairs of frequent words, or of triples of two frequent pairs."""
     def run(batches):
         w, p = word_bits.value, pair_bits.value if pair_bits else None
@@ -193,7 +193,7 @@ def _buckets(seed: int, word_bits, pair_bits=None):
 
         for s1, s2, s3 in windows(batches, seed):
             pair, triple = _alive(w, p, s1, s2, s3)
-            held.append(pair_key(s1[pair], s2[pair]) if p is None else triple_key(s1[triple], s2[triple], s3[triple]))
+            held.append((pair_key(s1[pair], s2[pair]) if p is None else triple_key(s1[triple], s2[triple], s3[triple])) & mask)
             size += len(held[-1])
             if size > KEYS_HELD:
                 yield summed()
@@ -203,7 +203,7 @@ def _buckets(seed: int, word_bits, pair_bits=None):
     return run
 
 
-def _candidates(seed: int, pair_bits, triple_bits):
+def _candidates(seed: int, mask: np.uint64, pair_bits, triple_bits):
     """Pairs and triples in buckets that passed, with their bucket and the bucket of their first pair."""
     def run(batches):
         p, t = pair_bits.value, triple_bits.value
@@ -214,7 +214,7 @@ def _candidates(seed: int, pair_bits, triple_bits):
             for some, key, third in ((pair, key2, np.zeros_like(s3)), (triple, key3, s3)):
                 k, first = np.unique(key[some], return_index=True)
                 at = np.flatnonzero(some)[first]
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (k, key2[at], s1[at], s2[at], third[at])],
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (k & mask, key2[at], s1[at], s2[at], third[at])],
                                                  ["k", "k2", "s1", "s2", "s3"])
     return run
 
@@ -411,6 +411,9 @@ def counts_of(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COUNT,
         if vocabulary.groupBy("s").count().filter("count > 1").isEmpty():
             break
         seed += 1   # two words share a symbol
+    # buckets are so many that few of them are shared, and no wider than that needs: they are what is shuffled most
+    size = vocabulary.agg(F.sum("f")).first()[0] or 0
+    mask = np.uint64((1 << min(62, max(32, int(size).bit_length() + 8))) - 1)
     frequent = vocabulary.filter(F.col("f") >= min_count)
     word_bits = sc.broadcast(bit_set(frequent, "s", frequent.count()))
     texts = texts.drop("lang")
@@ -420,9 +423,9 @@ def counts_of(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COUNT,
                             .filter(F.col("n") >= min_count).select("k"), name)
         return kept, sc.broadcast(bit_set(kept, "k", kept.count()))
 
-    pairs, pair_bits = passed(_buckets(seed, word_bits), "pairs")
-    triples, triple_bits = passed(_buckets(seed, word_bits, pair_bits), "triples")
-    met = texts.mapInArrow(_candidates(seed, pair_bits, triple_bits), "k long, k2 long, s1 long, s2 long, s3 long").distinct()
+    pairs, pair_bits = passed(_buckets(seed, mask, word_bits), "pairs")
+    triples, triple_bits = passed(_buckets(seed, mask, word_bits, pair_bits), "triples")
+    met = texts.mapInArrow(_candidates(seed, mask, pair_bits, triple_bits), "k long, k2 long, s1 long, s2 long, s3 long").distinct()
     candidates = scratch.keep(met.join(pairs.unionByName(triples), "k", "left_semi"), "candidates")
     n = candidates.count()
     shards = max(1, math.ceil(n / SHARD))
