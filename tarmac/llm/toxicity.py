@@ -42,6 +42,8 @@ ORDER, DECAY, FLOOR = 4, 0.8, 0.25
 SIMILAR = 0.45
 #: log likelihood ratio that a landmark needs: millions of strings are tried
 EVIDENCE = 30.0
+#: strings among which landmarks are chosen, and toxic texts that a landmark has to cover for the first time
+CANDIDATES, FRESH = 1500, 3
 #: marks the start of a word, as one more character
 START = "\x02"
 #: a segment's longer rest is compared in overlapping windows of this length
@@ -191,18 +193,23 @@ class Matcher:
         return out
 
 
+def _parts(s: str) -> set[str]:
+    """Character strings of one marked segment that may become landmarks."""
+    return {s[i:i + n] for n in LENGTHS for i in range(len(s) - n + 1) if s[i:i + n].lstrip(START).isalpha()}
+
+
 def pick_landmarks(sample: DataFrame) -> list[str]:
     """Character strings that tell toxic sentences of ``sample(text, toxic)`` from others, best first.
 
     Per string, document frequencies in both classes; their log likelihood
-    ratio ranks them, longer strings first among near equals.  A string that the kernel finds similar to a better one adds nothing.
+    ratio makes candidates.  They are taken by the number of toxic texts in
+    which they stand in a word without a landmark, while there are ``FRESH``
+    of these: forms of one word don't crowd out other words.  A string that the kernel finds similar to a landmark adds nothing.
     """
     def strings(frames):
         for pdf in frames:
             for text, toxic in zip(pdf["text"], pdf["toxic"]):
-                marked = [START + s for s in segments((text or "").lower())]
-                found = {s[i:i + n] for s in marked for n in LENGTHS for i in range(len(s) - n + 1)
-                         if s[i:i + n].lstrip(START).isalpha()}
+                found = set().union(*(_parts(START + x) for x in segments((text or "").lower())))
                 yield pd.DataFrame({"s": list(found), "toxic": int(toxic)}) if found else pd.DataFrame(
                     {"s": pd.Series([], dtype=str), "toxic": pd.Series([], dtype=int)})
 
@@ -212,6 +219,7 @@ def pick_landmarks(sample: DataFrame) -> list[str]:
         return []
     counts = sample.mapInPandas(strings, "s string, toxic int").groupBy("s").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
@@ -219,16 +227,44 @@ def pick_landmarks(sample: DataFrame) -> list[str]:
     ratio = 2 * (part(a, (a + b) * bad / n) + part(b, (a + b) * good / n)
                  + part(bad - a, (n - a - b) * bad / n) + part(good - b, (n - a - b) * good / n))
     best = (counts.filter((a >= 3) & (a * good > b * bad)).withColumn("g", F.round(ratio * F.log(F.length("s")), 6))
-            .filter(ratio > EVIDENCE).orderBy(F.col("g").desc(), "s").limit(40 * LANDMARKS).collect())
+            .filter(ratio > EVIDENCE).orderBy(F.col("g").desc(), "s").limit(CANDIDATES).collect())
+    number = {r["s"]: i for i, r in enumerate(best)}
+
+    def found(text):
+        """(segment, numbers of the candidates that it holds) of a text."""
+        hits = ((x, sorted({number[s] for s in _parts(START + x) if s in number})) for x in sorted(segments((text or "").lower())))
+        return [(x, at) for x, at in hits if at]
+
+    # bounded by the sample: its toxic texts' segments that hold a candidate
+    words = (sample.filter("toxic = 1").select(F.monotonically_increasing_id().alias("row"), "text").mapInPandas(
+        lambda frames: ((pd.DataFrame({"row": r, "seg": [x for x, _ in hits], "at": [y for _, y in hits]})
+                         for pdf in frames for r, hits in zip(pdf["row"], map(found, pdf["text"])) if hits)),
+        "row long, seg string, at array<int>").collect() if best else [])
+    segs = {x: i for i, x in enumerate(dict.fromkeys(r["seg"] for r in words))}
+    rows = {x: i for i, x in enumerate(dict.fromkeys(r["row"] for r in words))}
+    holds, stands = np.zeros((len(best), len(segs)), dtype=np.float32), np.zeros((len(segs), len(rows)), dtype=np.float32)
+    for r in words:
+        holds[r["at"], segs[r["seg"]]] = 1
+        stands[segs[r["seg"]], rows[r["row"]]] = 1
+    others = np.array([r["b"] for r in best], dtype=float)
+    size = np.log(np.array([len(r["s"]) for r in best], dtype=float)) if best else others
+    free, left = np.ones(len(segs), dtype=bool), np.ones(len(best), dtype=bool)
     chosen: list[str] = []
     own: list[float] = []
-    for r in best:
-        if len(chosen) == LANDMARKS:
+    fresh = (holds @ stands > 0).sum(axis=1)
+    while len(chosen) < LANDMARKS and left.any():
+        gain = np.where(left & (fresh >= FRESH), fresh * np.log(np.maximum(fresh, 1) / bad * good / (others + 0.5)) * size, 0.0)
+        i = int(gain.argmax())
+        if gain[i] <= 0:
             break
-        k = kernel(r["s"], [*chosen, r["s"]])
+        left[i] = False
+        s = best[i]["s"]
+        k = kernel(s, [*chosen, s])
         if not any(x > SIMILAR * min(o, k[-1]) for x, o in zip(k, own)):
-            chosen.append(r["s"])
+            chosen.append(s)
             own.append(k[-1])
+            free &= holds[i] == 0
+            fresh = (holds[:, free] @ stands[free] > 0).sum(axis=1)
     return chosen
 
 
