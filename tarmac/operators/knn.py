@@ -1,33 +1,38 @@
-"""Exact k-nearest-neighbour join without all pairs.
-
-Pivot-based pruning (triangle inequality):
-
-1. Identical vectors are collapsed to one row with a multiplicity, so a
-   vector repeated by a third of all rows is one row, not a quadratic group.
-2. ``m`` pivots (a seeded sample of at most ``m`` vectors — a fixed, small
-   broadcast) give every vector its pivot distances ``pd_j``.
-3. Upper bound ``r`` per query: the exact distances to its ``2k`` neighbours
-   in ``pd_1`` order (a band join on a global row number — bounded per query)
-   give the k-th smallest distance, a valid radius.
-4. Candidates: rows with ``|pd_j(x) - pd_j(q)| <= r`` for every pivot; found
-   with an equi-join on ``pd_1`` buckets of a data-derived width, then exact
-   distances, then the k nearest (ties by vector order).
-
-No candidate cap: every point that can be within the radius is examined, so
-the result is exact.
+"""Exact k-nearest-neighbour join over Voronoi cells.
+
+1. Identical vectors are one row with a multiplicity, so a vector repeated by a
+   third of all rows is one point.
+2. About sqrt(N) pivots (a seeded sample of the points, ``MOST_PIVOTS`` at most)
+   cut the points into cells: each point belongs to its nearest pivot.  Cells
+   are stored as blocks of at most ``BLOCK`` points.
+3. Each point's distance to its k-th neighbour inside its own block bounds its
+   search.  A pair of cells is looked at only if the distance of their pivots
+   less both cells' radii is within the largest bound in the first; the same
+   holds for their blocks, and each point is tried against the other cell's
+   pivot, radius and the plane between both pivots.
+4. Distances are computed between the blocks that are left, and the k nearest
+   of all are kept (ties by the neighbour's key).
+
+No candidate is capped: whatever can be within a point's bound is examined, so
+the result is exact.  How many pairs of points are left depends on the data:
+few where they lie in clusters, nearly all where all distances are alike.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from .ranks import global_row_number
 
-
-#: half of the most bands that one query covers
-BANDS = 64
+#: pivots of a group, and of all groups together (they go to every task)
+MOST_PIVOTS, ALL_PIVOTS = 1024, 1 << 15
+#: points of a block at most, on average
+BLOCK = 1024
+#: relative room for rounding in bounds
+ROOM = 1e-9
 
 
 def sqdist(a: Column, b: Column) -> Column:
@@ -44,72 +49,190 @@ def _identity(payload: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct("vec", *payload)), 256)
 
 
-def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None = None,
-        pivots: int = 4, seed: int = 7, payload: tuple[str, ...] = ()) -> DataFrame:
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All distances by one matrix product, good to about 1e-7 of the vectors' length."""
+    d = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2.0 * (x @ y.T)
+    return np.sqrt(np.maximum(d, 0.0))
+
+
+def _nearest(x, no, y, other, tie, mult, k: int, bound):
+    """Rows (query, neighbour, distance, tie, copies) of each query's k nearest of y within its bound.
+
+    The matrix product only rules out what is clearly too far; the rest is measured exactly.
+    """
+    rough = _distances(x, y)
+    slack = 1e-6 * (np.abs(x).max(initial=0.0) + np.abs(y).max(initial=0.0) + 1.0)
+    copies = np.where(no[:, None] == other[None, :], mult - 1, np.broadcast_to(mult, (len(no), len(mult))))
+    rough = np.where(copies > 0, rough, np.inf)
+    m = min(k, len(y)) - 1
+    kth = np.partition(rough, m, axis=1)[:, m] if len(y) >= k else np.full(len(x), np.inf)
+    limit = np.minimum(bound * (1 + ROOM), kth) + slack
+    q, s = np.nonzero((rough <= limit[:, None]) & (copies > 0))
+    d = np.sqrt(((x[q] - y[s]) ** 2).sum(1))
+    order = np.lexsort((tie[s], d, q))
+    q, s, d = q[order], s[order], d[order]
+    c = copies[q, s]
+    before = np.cumsum(c) - c
+    first = np.searchsorted(q, np.arange(len(x)))
+    before -= before[np.minimum(first, max(len(q) - 1, 0))][q] if len(q) else 0
+    keep = (before < k) & (d <= bound[q] * (1 + ROOM) + 1e-300)
+    return q[keep], s[keep], d[keep], c[keep], before[keep] + c[keep]
+
+
+def _unpack(row, side: str, d: int):
+    n = row[f"{side}n"]
+    return (np.frombuffer(row[f"{side}vec"]).reshape(n, d), np.frombuffer(row[f"{side}no"], dtype=np.int64),
+            np.frombuffer(row[f"{side}tie"], dtype=np.int64), np.frombuffer(row[f"{side}mult"], dtype=np.int64),
+            np.frombuffer(row[f"{side}r"]))
+
+
+_BLOCKS = "g string, cell int, sub int, n int, no binary, tie binary, mult binary, vec binary, r binary, radius double, reach double"
+
+
+class Cells:
+    """Points of a k-NN join in blocks: ``blocks`` and ``pairs`` (g, cell, sub, cell2, sub2) that have to be compared."""
+
+    def __init__(self, dv: DataFrame, k: int, seed: int = 7):
+        spark = dv.sparkSession
+        counts = dv.groupBy("g").agg(F.count("*").alias("n"))
+        sized = counts.collect()   # one row per group
+        if len(sized) > ALL_PIVOTS:
+            raise ValueError(f"{len(sized)} groups; at most {ALL_PIVOTS}")
+        wanted = {r["g"]: min(MOST_PIVOTS, int(np.ceil(np.sqrt(r["n"])))) for r in sized}
+        scale = min(1.0, ALL_PIVOTS / max(1, sum(wanted.values())))
+        share = {r["g"]: max(1.0, wanted[r["g"]] * scale) / r["n"] for r in sized}
+        rates = spark.createDataFrame([(g, float(x)) for g, x in share.items()], "g string, share double")
+        draw = F.pmod(F.xxhash64("tie", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+        some = dv.join(F.broadcast(rates), "g").filter(draw < F.col("share")).select("g", "tie", "vec")
+        lone = dv.groupBy("g").agg(F.min("tie").alias("tie")).join(dv, ["g", "tie"]).select("g", "tie", "vec")
+        got = some.unionByName(lone).dropDuplicates(["g", "tie"]).orderBy("g", "tie").collect()   # about ALL_PIVOTS rows
+        pivots: dict[str, list] = {}
+        for r in got:
+            pivots.setdefault(r["g"], []).append(r["vec"])
+        self.pivots = {g: np.array(v) for g, v in pivots.items()}
+        self.d = len(got[0]["vec"]) if got else 0
+        sent = spark.sparkContext.broadcast(self.pivots)
+
+        def assign(frames):
+            for pdf in frames:
+                out = []
+                for g, part in pdf.groupby("g", sort=False):
+                    x, p = np.stack(part["vec"].to_numpy()), sent.value[g]
+                    cell = np.concatenate([_distances(x[i:i + 2048], p).argmin(axis=1) for i in range(0, len(x), 2048)])
+                    out.append(part.assign(cell=cell.astype(np.int32), dp=np.sqrt(((x - p[cell]) ** 2).sum(1))))
+                yield pd.concat(out) if out else pdf.assign(cell=[], dp=[])
+
+        placed = checkpoint(dv.select("g", "no", "tie", "mult", "vec").mapInPandas(
+            assign, "g string, no long, tie long, mult long, vec array<double>, cell int, dp double"))
+        sizes = placed.groupBy("g", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("subs"))
+
+        def build(pdf):
+            x, dp = np.stack(pdf["vec"].to_numpy()), pdf["dp"].to_numpy()
+            no, tie, mult = (pdf[c].to_numpy(dtype=np.int64) for c in ("no", "tie", "mult"))
+            r = np.full(len(x), np.inf)
+            for at in range(0, len(x), 512):
+                q, _, dd, _, upto = _nearest(x[at:at + 512], no[at:at + 512], x, no, tie, mult, k, np.full(len(x[at:at + 512]), np.inf))
+                full = upto >= k
+                np.minimum.at(r, at + q[full], dd[full])
+            return pd.DataFrame({"g": pdf["g"].iloc[:1], "cell": pdf["cell"].iloc[:1], "sub": pdf["sub"].iloc[:1], "n": [len(x)],
+                                 "no": [no.tobytes()], "tie": [tie.tobytes()], "mult": [mult.tobytes()], "vec": [x.tobytes()],
+                                 "r": [r.tobytes()], "radius": [dp.max()], "reach": [r.max()]})
+
+        dealt = placed.join(F.broadcast(sizes), ["g", "cell"]).withColumn("sub", F.pmod(F.xxhash64("no"), F.col("subs")).cast("int"))
+        self.blocks = checkpoint(dealt.drop("subs").groupBy("g", "cell", "sub").applyInPandas(build, _BLOCKS))
+        cells = self.blocks.groupBy("g", "cell").agg(F.max("radius").alias("radius"), F.max("reach").alias("reach"))
+
+        def near(pdf):
+            g = pdf["g"].iloc[0]
+            p, rad, reach = sent.value[g][pdf["cell"]], pdf["radius"].to_numpy(), pdf["reach"].to_numpy()
+            gap = _distances(p, p)
+            a, b = np.nonzero(gap * (1 - ROOM) - 1e-6 - rad[:, None] - rad[None, :] <= reach[:, None])
+            return pd.DataFrame({"g": g, "cell": pdf["cell"].to_numpy()[a], "cell2": pdf["cell"].to_numpy()[b], "gap": gap[a, b]})
+
+        near_cells = cells.groupBy("g").applyInPandas(near, "g string, cell int, cell2 int, gap double")   # MOST_PIVOTS squared a group
+        meta = self.blocks.select("g", "cell", "sub", "n", "radius", "reach")
+        other = meta.select("g", F.col("cell").alias("cell2"), F.col("sub").alias("sub2"), F.col("n").alias("n2"),
+                            F.col("radius").alias("radius2"))
+        self.pairs = near_cells.join(meta, ["g", "cell"]).join(other, ["g", "cell2"]).filter(
+            F.col("gap") * (1 - ROOM) - 1e-6 - F.col("radius") - F.col("radius2") <= F.col("reach"))
+
+    def _met(self) -> DataFrame:
+        cols = ("n", "no", "tie", "mult", "vec", "r")
+        queries = self.blocks.select("g", "cell", "sub", *[F.col(c).alias(f"a{c}") for c in cols])
+        others = self.blocks.select("g", F.col("cell").alias("cell2"), F.col("sub").alias("sub2"),
+                                    *[F.col(c).alias(f"b{c}") for c in cols])
+        return self.pairs.select("g", "cell", "sub", "cell2", "sub2", "radius2").join(others, ["g", "cell2", "sub2"]).join(
+            queries, ["g", "cell", "sub"])
+
+    def _searches(self):
+        """Function that names a block's points which have to be compared with another block."""
+        d, pivots = self.d, self.blocks.sparkSession.sparkContext.broadcast(self.pivots)
+
+        def live(row) -> np.ndarray:
+            x, _, _, _, r = _unpack(row, "a", d)
+            p = pivots.value[row["g"]]
+            far = np.sqrt(((x - p[row["cell2"]]) ** 2).sum(1))
+            least = far * (1 - ROOM) - row["radius2"]
+            if row["cell"] != row["cell2"]:   # what lies nearer to the other pivot lies behind the middle of both
+                gap = np.sqrt(((p[row["cell"]] - p[row["cell2"]]) ** 2).sum())
+                own = ((x - p[row["cell"]]) ** 2).sum(1)
+                least = np.maximum(least, (far ** 2 - own) / (2 * max(gap, 1e-300)) * (1 - ROOM) - 1e-6)
+            return np.flatnonzero(least <= r * (1 + ROOM) + 1e-9)
+
+        return live
+
+    def candidates(self) -> int:
+        """Pairs of points that the bounds leave to be compared."""
+        live = self._searches()
+        return self._met().rdd.map(lambda row: len(live(row)) * row["bn"]).sum()
+
+    def nearest(self, k: int) -> DataFrame:
+        """(no, no2, distance, tie, copies): for each point at least its k nearest, found block by block."""
+        d, live = self.d, self._searches()
+
+        def compare(rows):
+            for row in rows:
+                x, no, _, _, r = _unpack(row, "a", d)
+                y, other, tie, mult, _ = _unpack(row, "b", d)
+                todo = live(row)
+                for at in range(0, len(todo), 512):
+                    some = todo[at:at + 512]
+                    q, s, dd, c, _ = _nearest(x[some], no[some], y, other, tie, mult, k, r[some])
+                    yield from zip(no[some][q].tolist(), other[s].tolist(), dd.tolist(), tie[s].tolist(), c.tolist())
+
+        return self.blocks.sparkSession.createDataFrame(
+            self._met().rdd.mapPartitions(compare), "no long, no2 long, distance double, tie long, copies long")
+
+
+def distinct_points(points: DataFrame, vec_col: str, group: str | None, payload: list[str]) -> DataFrame:
+    """(g, vec, payload, mult, vkey, no, tie): one row per distinct point, numbered, written to the checkpoint folder."""
+    g = F.col(group).cast("string") if group else F.lit("")
+    pts = points.select(F.coalesce(g, F.lit("\0")).alias("g"), *payload, F.col(vec_col).cast("array<double>").alias("vec"))
+    dv = pts.groupBy("g", "vec", *payload).agg(F.count(F.lit(1)).alias("mult")).withColumn("vkey", _identity(payload))
+    return checkpoint(dv.withColumns({"no": F.monotonically_increasing_id(), "tie": F.xxhash64("vkey")}))
+
+
+def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None = None, seed: int = 7,
+        payload: tuple[str, ...] = ()) -> DataFrame:
     """k nearest other points of every point (within ``group`` when given).
 
-    Returns ``(id, j, nn_vec, [nn_<payload>], distance)`` with ``j = 1..k``
-    ordered by distance (ties broken by the neighbour's key).  Neighbours are
-    identified by (vector, payload): duplicates are interchangeable.
+    Returns ``(id, [group], vkey, j, nn_vec, nn_key, [nn_<payload>], distance)`` with ``j = 1..k`` ordered by distance
+    (ties by the neighbour's key).  Neighbours are identified by (vector, payload): duplicates are interchangeable.
     """
-    g = [group] if group else []
     pl = list(payload)
-    pts = points.select(id_col, *g, *pl, F.col(vec_col).cast("array<double>").alias("vec"))
-    dv = pts.groupBy(*g, "vec", *pl).agg(F.count(F.lit(1)).alias("mult"))
-    dv = dv.withColumn("vkey", _identity(pl))
-
-    # pivots: a seeded sample of distinct vectors (at most ``pivots`` rows reach the driver)
-    piv = [r["vec"] for r in dv.select("vec").orderBy(F.xxhash64(F.col("vec"), F.lit(seed))).limit(pivots).collect()]
-    if not piv:
-        return points.sparkSession.createDataFrame([], f"{id_col} long, j int, nn_vec array<double>, distance double")
-    pd = F.array(*[dist(F.col("vec"), F.array(*[F.lit(float(x)) for x in p])) for p in piv])
-    # The distinct-vector table feeds several branches below: materialise it
-    # once in the shared checkpoint folder instead of recomputing its lineage.
-    dv = checkpoint(dv.withColumn("pd", pd))
-
-    # 3. radius from the 2k neighbours in pd_1 order
-    rn = global_row_number(dv.withColumn("_p1", F.col("pd")[0]), ["_p1", "vkey"], keys=g, out="rn").drop("total")
-    offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1)])).alias("_off")
-    q = rn.select(*g, "vkey", "vec", "mult", "rn", offs).withColumn("_rn2", F.col("rn") + F.col("_off"))
-    nb = rn.select(*g, F.col("rn").alias("_rn2"), F.col("vec").alias("_v2"), F.col("mult").alias("_m2"))
-    cand = q.join(nb, [*g, "_rn2"])
-    cand = cand.withColumn("_d", dist(F.col("vec"), F.col("_v2")))
-    # own duplicates count (mult - 1) at distance 0; others with their multiplicity
-    cand = cand.withColumn("_m", F.when(F.col("_off") == 0, F.col("mult") - 1).otherwise(F.col("_m2")))
-    wq = Window.partitionBy(*g, "vkey").orderBy("_d", "_off")    # <= 2k+1 rows per query
-    cand = cand.withColumn("_cum", F.sum("_m").over(wq.rowsBetween(Window.unboundedPreceding, 0)))
-    rad = cand.groupBy(*g, "vkey").agg(F.min(F.when(F.col("_cum") >= k, F.col("_d"))).alias("r"))
-    qq = rn.join(rad, [*g, "vkey"])
-    # a group with <= k points has no finite radius: every point is a candidate
-    ext = dv.groupBy(*g).agg((F.max(F.col("pd")[0]) - F.min(F.col("pd")[0])).alias("_span"))
-    qq = qq.join(ext, g, "left") if g else qq.crossJoin(ext)
-    qq = qq.withColumn("r", F.coalesce(F.col("r"), F.col("_span") + 1.0))
-
-    # 4. band join on pd_1 buckets (a 1-row aggregate gives the width): the median of the radii above 0, as
-    # repeated vectors have radius 0, and so wide that the largest radius spans at most 2 * BANDS bands
-    r = F.when(F.col("r") > 0, F.col("r"))
-    w = qq.agg(F.coalesce(F.greatest(F.percentile_approx(r, 0.5), F.max(r) / BANDS), F.lit(1.0)).alias("_w"))
-    qq = qq.crossJoin(F.broadcast(w))
-    lo = F.floor((F.col("pd")[0] - F.col("r")) / F.col("_w")).cast("long")
-    hi = F.floor((F.col("pd")[0] + F.col("r")) / F.col("_w")).cast("long")
-    qb = qq.select(*g, "vkey", "vec", "mult", "pd", "r", "_w", F.explode(F.sequence(lo, hi)).alias("_b"))
-    data = dv.crossJoin(F.broadcast(w)).select(
-        *g, F.col("vkey").alias("_k2"), F.col("vec").alias("_v2"), F.col("mult").alias("_m2"),
-        *[F.col(c).alias(f"nn_{c}") for c in pl],
-        F.col("pd").alias("_pd2"), F.floor(F.col("pd")[0] / F.col("_w")).cast("long").alias("_b"))
-    j = qb.join(data.drop("_w"), [*g, "_b"])
-    prune = F.forall(F.zip_with(F.col("pd"), F.col("_pd2"), lambda a, b: F.abs(a - b)), lambda x: x <= F.col("r"))
-    j = j.filter(prune).withColumn("_d", dist(F.col("vec"), F.col("_v2"))).filter(F.col("_d") <= F.col("r"))
-    self_ = F.col("vkey") == F.col("_k2")
-    j = j.withColumn("_m", F.when(self_, F.col("mult") - 1).otherwise(F.col("_m2"))).filter(F.col("_m") > 0)
-    wk = Window.partitionBy(*g, "vkey").orderBy("_d", "_k2")
-    j = j.withColumn("_before", F.coalesce(F.sum("_m").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = j.filter(F.col("_before") < k).withColumn("_take", F.least(F.col("_m"), F.lit(k) - F.col("_before")))
-    j = j.select(*g, "vkey", "_v2", "_k2", *[f"nn_{c}" for c in pl], "_d", "_before",
-                 F.explode(F.sequence(F.lit(1), F.col("_take"))).alias("_i"))
-    nn = j.select(*g, "vkey", (F.col("_before") + F.col("_i")).cast("int").alias("j"),
-                  F.col("_v2").alias("nn_vec"), F.col("_k2").alias("nn_key"), *[f"nn_{c}" for c in pl],
-                  F.col("_d").alias("distance"))
-    back = pts.withColumn("vkey", _identity(pl)).select(id_col, *g, "vkey")
-    return back.join(nn, [*g, "vkey"]).select(id_col, *g, "vkey", "j", "nn_vec", "nn_key",
-                                              *[f"nn_{c}" for c in pl], "distance")
+    dv = distinct_points(points, vec_col, group, pl)
+    found = Cells(dv, k, seed).nearest(k)
+    order = Window.partitionBy("no").orderBy("distance", "tie", "no2")
+    ranked = found.withColumn("before", F.coalesce(F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = ranked.filter(F.col("before") < k).withColumn("take", F.least("copies", F.lit(k) - F.col("before")))
+    nn = ranked.select("no", "no2", "distance", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("take"))).alias("j"))
+    other = dv.select(F.col("no").alias("no2"), F.col("vec").alias("nn_vec"), F.col("vkey").alias("nn_key"),
+                      *[F.col(c).alias(f"nn_{c}") for c in pl])
+    own = dv.select("no", "g", "vkey")
+    named = nn.join(other, "no2").join(own, "no").drop("no", "no2")
+    g = F.coalesce(F.col(group).cast("string"), F.lit("\0")) if group else F.lit("")
+    rows = points.withColumn("vec", F.col(vec_col).cast("array<double>")).select(
+        id_col, *([group] if group else []), g.alias("g"), _identity(pl).alias("vkey"))
+    return rows.join(named, ["g", "vkey"]).select(
+        id_col, *([group] if group else []), "vkey", F.col("j").cast("int").alias("j"), "nn_vec", "nn_key",
+        *[f"nn_{c}" for c in pl], "distance")

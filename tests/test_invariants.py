@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 from tarmac.functions import special as SP
 from tarmac.operators import knn as KNN
 from tarmac.operators import ranks as RK
@@ -153,3 +153,58 @@ def test_knn_with_many_copies_and_one_outlier(spark):
     out = knn(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 3).collect()
     assert len(out) == 3 * 201
     assert all(r["distance"] == 0 for r in out if r["id"] < 200)
+
+
+def _brute_neighbours(x, y, k):
+    """Per distinct (vector, label) the k nearest others with copies, and whether a tie makes the k-th ambiguous."""
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    return np.argsort(d, axis=1, kind="stable")[:, :k], np.sort(d, axis=1)
+
+
+def _points(spark, n=260, seed=4):
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(c, 0.4, (n // 4, 3)) for c in (0.0, 1.0, 4.0, 9.0)])
+    y = (rng.random(len(x)) < np.where(x[:, 0] > 0.6, 0.8, 0.2)).astype(int)
+    df = spark.createDataFrame([(i, int(t), *map(float, r)) for i, (r, t) in enumerate(zip(x, y))],
+                               "row_id long, label int, a double, b double, c double")
+    return x, y, df
+
+
+def test_enn_equals_brute_force(spark):
+    x, y, df = _points(spark)
+    near, _ = _brute_neighbours(x, y, 3)
+    want = {i for i in range(len(x)) if (y[near[i]] == y[i]).all()}
+    assert {r["row_id"] for r in RS.enn_clean(df, "label", ["a", "b", "c"]).collect()} == want and 0 < len(want) < len(x)
+
+
+def test_tomek_equals_brute_force(spark):
+    x, y, df = _points(spark, seed=5)
+    one = _brute_neighbours(x, y, 1)[0][:, 0]
+    want = {i for i in range(len(x)) if not (one[one[i]] == i and y[one[i]] != y[i])}
+    assert {r["row_id"] for r in RS.tomek_clean(df, "label", ["a", "b", "c"]).collect()} == want and 0 < len(want) < len(x)
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_knn_cells_are_exact_and_prune(spark, monkeypatch, block):
+    """Clustered points: the same neighbours as all pairs, from few of them, whatever the size of a block."""
+    monkeypatch.setattr(KNN, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(c, 0.05, (60, 4)) for c in range(20)])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>")
+    cells = KNN.Cells(KNN.distinct_points(df, "v", None, []), 4)
+    assert cells.candidates() < 0.2 * len(x) ** 2
+    _, d = _brute_neighbours(x, None, 4)
+    got = np.full((len(x), 4), np.nan)
+    for r in KNN.knn(df, "id", "v", 4).collect():
+        got[r["id"], r["j"] - 1] = r["distance"]
+    assert np.allclose(got, d[:, :4])
+
+
+def test_knn_prunes_departure_features(spark):
+    x = L.departures_xy(spark, SF_CHECK, 15, "label")
+    feats = [c for c in x.columns if c not in ("row_id", "label")]
+    scaled, _, _ = SC.fit_transform(x)
+    df = scaled.select("row_id", F.array(*[F.col(c).cast("double") for c in feats]).alias("v"))
+    dv = KNN.distinct_points(df, "v", None, [])
+    assert KNN.Cells(dv, 5).candidates() < 0.1 * dv.count() ** 2
