@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import columns as C
 from ..operators import aggregates as A
+from ..operators import bootstrap as BS
 from ..operators import joins as J
 from ..operators import stats as ST
 from ..sources import tables as TB
 from . import sql as Q
 from .enrich import enriched
 from .registry import register
-from .views import R, completed, rnd
+from .views import R, completed, rnd, top_carrier_rows, top_sql
 
 CARRIER_VS_REST = "C07"   # the "one carrier vs all the others" comparison
 
@@ -338,7 +339,24 @@ def anova_day_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- H13 median CI --------------------------------------------------------------------------------
-@register("median_ci_ranks")
+def _median_ci_sql(rows: str, group: str, value: str) -> str:
+    """Ends of the median's percentile bootstrap interval in SQL: binomial tails summed term by term."""
+    return f"""
+v AS (SELECT {group} AS g, {value} AS x, row_number() OVER (PARTITION BY {group} ORDER BY {value}) AS r
+      FROM {rows} WHERE {value} IS NOT NULL),
+ns AS (SELECT g, count(*) AS n FROM v GROUP BY g),
+ms AS (SELECT DISTINCT n, unnest([(n + 1) // 2, n // 2 + 1]) AS m FROM ns WHERE n > 1),
+ks AS (SELECT n, m, unnest(range(1, n + 1)) AS k FROM ms),
+ps AS (SELECT n, m, k, CASE WHEN k = n THEN 1.0 ELSE list_sum(list_transform(range(m, n + 1), lambda j:
+         exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(k * 1.0 / n) + (n - j) * ln(1 - k * 1.0 / n)))) END AS p
+       FROM ks),
+ends AS (SELECT n, m, min(k) FILTER (p >= 0.025) AS lo, min(k) FILTER (p >= 0.975) AS hi FROM ps GROUP BY n, m),
+ci AS (SELECT ns.g, ns.n, avg(a.x) AS ci_lo, avg(b.x) AS ci_hi FROM ns JOIN ends USING (n)
+       JOIN v a ON a.g = ns.g AND a.r = ends.lo JOIN v b ON b.g = ns.g AND b.r = ends.hi GROUP BY ns.g, ns.n)"""
+
+
+@register("median_ci_ranks", Q.q_enriched("SELECT g AS carrier, n, ci_lo, ci_hi FROM ci",
+                                          extra=_BIG + "," + _median_ci_sql("big", "carrier", "delay_min")))
 def median_ci_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H13 per carrier with >= 30 delays (closed-form percentile bootstrap)."""
     return ST.median_ci(_big_carriers(enriched(spark, sf_dir)), "carrier", "delay_min")
@@ -425,8 +443,38 @@ def stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.unionByName(dl)
 
 
-@register("late_share_ci_day_part")
+@register("late_share_ci_day_part", Q.q_enriched(f"""
+SELECT day_part, k, n, round(k * 100.0 / n, {R}) AS pct,
+       round(min(j) FILTER (cdf >= 0.025) * 100.0 / n, {R}) AS ci_lo, round(min(j) FILTER (cdf >= 0.975) * 100.0 / n, {R}) AS ci_hi
+FROM (SELECT day_part, k, n, j, sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(k * 1.0 / n)
+             + (n - j) * ln(1 - k * 1.0 / n))) OVER (PARTITION BY day_part ORDER BY j) AS cdf
+      FROM (SELECT day_part, k, n, unnest(range(0, n + 1)) AS j FROM (
+              SELECT day_part, sum(is_late)::BIGINT AS k, count(*) AS n FROM cd WHERE is_late IS NOT NULL GROUP BY day_part)))
+GROUP BY day_part, k, n""", extra=_CD))
 def late_share_ci_day_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E06 interval: percentile-bootstrap CI of the late share per day part, in closed
     form (a resampled count of late flights is Binomial(n, k/n))."""
-    return ST.share_ci(completed(enriched(spark, sf_dir)), "day_part", "is_late")
+    c = ST.share_ci(completed(enriched(spark, sf_dir)), "day_part", "is_late")
+    return c.select("day_part", "k", "n", *[rnd(x) for x in ("pct", "ci_lo", "ci_hi")])
+
+
+@register("median_by_carrier_ci", Q.q_enriched("""
+SELECT g AS carrier, ci.n, quantile_cont(delay_min, 0.5) AS median_delay, ci_lo, ci_hi
+FROM ci JOIN tc ON tc.carrier = ci.g GROUP BY ALL""", extra=top_sql() + "," + _median_ci_sql("tc", "carrier", "delay_min")))
+def median_by_carrier_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E03 with its interval: median delay per top carrier and the limit of its percentile bootstrap interval."""
+    d = top_carrier_rows(enriched(spark, sf_dir))
+    m = d.groupBy("carrier").agg(A.median("delay_min").alias("median_delay"))
+    return m.join(ST.median_ci(d, "carrier", "delay_min"), "carrier").select("carrier", "n", "median_delay", "ci_lo", "ci_hi")
+
+
+@register("median_ci_bootstrap")
+def median_ci_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H13 by drawing: 2000 seeded resamples of every top carrier's median."""
+    return BS.bootstrap_ci(top_carrier_rows(enriched(spark, sf_dir)), "carrier", "delay_min", BS.Quantile(0.5))
+
+
+@register("mean_ci_bootstrap")
+def mean_ci_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the bootstrap with another statistic passed to it, the mean delay of every top carrier."""
+    return BS.bootstrap_ci(top_carrier_rows(enriched(spark, sf_dir)), "carrier", "delay_min", BS.MEAN)
