@@ -50,6 +50,10 @@ START = "\x02"
 WINDOW = 24
 #: words whose matches a task remembers before it starts anew
 HELD_WORDS = 400_000
+#: pairs of a segment and a landmark that are compared at once
+PAIRS = 8192
+#: no character
+_NO_CODE = 0xFFFFFFFF
 #: a word's letters with something else between them
 _BETWEEN = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -75,25 +79,38 @@ def kernel(a: str, landmarks: list[str]) -> np.ndarray:
     return total
 
 
-def kernel_many(strings: list[str], m: str) -> np.ndarray:
-    """Kernel of many strings with one landmark (all strings at once)."""
-    width, n = max(map(len, strings)), len(m)
-    joined = "".join(x.ljust(width, "\0") for x in strings)
-    s = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(strings), width)
-    codes = np.array([ord(c) for c in m], dtype=np.uint32)
+def _codes(strings: list[str], pad: int) -> np.ndarray:
+    """Code points of strings, one row each, filled up with ``pad``."""
+    width = max(map(len, strings))
+    out = np.full((len(strings), width), pad, dtype=np.uint32)
+    raw = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    size = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+    out[np.arange(width)[None, :] < size[:, None]] = raw
+    return out
+
+
+def kernel_pairs(s: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Kernel of strings and landmarks, row by row, given by their code points (different filling)."""
+    n = m.shape[1]
     # a subsequence that ends at the landmark's place i reaches place j > i with one decay for each place between
-    reach = np.array([[DECAY ** (j - 1 - i) if j > i else 0.0 for j in range(n + 1)] for i in range(n)])
-    inner = [np.ones((len(strings), n + 1))] + [np.zeros((len(strings), n + 1)) for _ in range(ORDER - 1)]
-    total = np.zeros(len(strings))
-    for i in range(width):
-        same = s[:, i:i + 1] == codes
+    reach = np.array([[DECAY ** (j + 1 - i) if j > i else 0.0 for j in range(n + 1)] for i in range(n)], dtype=np.float32)
+    inner = [np.ones((len(s), n + 1), dtype=np.float32)]
+    inner += [np.zeros((len(s), n + 1), dtype=np.float32) for _ in range(ORDER - 1)]
+    total = np.zeros(len(s))
+    for i in range(s.shape[1]):
+        same = s[:, i:i + 1] == m
         total += (inner[ORDER - 1][:, :-1] * same).sum(1)
         for p in range(ORDER - 1, 0, -1):
-            inner[p] *= DECAY
-            inner[p] += (inner[p - 1][:, :-1] * same) @ (reach * DECAY ** 2)
+            inner[p] *= np.float32(DECAY)
+            inner[p] += (inner[p - 1][:, :-1] * same) @ reach
     return total * DECAY ** 2
 
 
+def kernel_many(strings: list[str], m: str) -> np.ndarray:
+    """Kernel of many strings with one landmark (all strings at once)."""
+    return kernel_pairs(_codes(strings, 0), np.repeat(_codes([m], _NO_CODE), len(strings), axis=0))
+
+
 def segments(text: str) -> set[str]:
     """Distinct words of three or more characters, also without what stands between their letters, and runs of shorter
     scraps joined together: three or more alone, any with the word before and with the word after."""
@@ -155,6 +172,7 @@ class Matcher:
         self.letters = np.bitwise_count(self.mask)
         self.pairs = _pairs(landmarks, 1) if landmarks else np.empty(0, dtype=np.uint64)
         self.half = np.bitwise_count(self.pairs) // 2
+        self.codes = _codes(landmarks, _NO_CODE) if landmarks else np.empty((0, 0), dtype=np.uint32)
         self.known: set[str] = set()        # segments that were compared
         self.matched: dict[str, list] = {}   # those that match: (landmark, value) pairs
 
@@ -162,16 +180,22 @@ class Matcher:
         """Compare new segments with the landmarks."""
         marked = [START + x for x in names]
         masks, pairs = _masks(marked), _pairs(marked, 3)
-        sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
-        for j, m in enumerate(self.landmarks):
-            likely = np.flatnonzero((np.bitwise_count(masks & self.mask[j]) >= self.letters[j] - 1)
-                                    & (np.bitwise_count(pairs & self.pairs[j]) > self.half[j]))
-            likely = likely[np.argsort(sizes[likely], kind="stable")]
-            for at in range(0, len(likely), 2048):   # of similar length
-                some = likely[at:at + 2048]
-                near = np.minimum(kernel_many([marked[k] for k in some], m) / self.own[j], 1)
-                for k, x in zip(some[near > FLOOR].tolist(), near[near > FLOOR].tolist()):
-                    self.matched.setdefault(names[k], []).append((j, (x - FLOOR) / (1 - FLOOR)))
+        at = [np.flatnonzero((np.bitwise_count(masks & self.mask[j]) >= self.letters[j] - 1)
+                             & (np.bitwise_count(pairs & self.pairs[j]) > self.half[j])) for j in range(len(self.landmarks))]
+        seg = np.concatenate(at)
+        landmark = np.repeat(np.arange(len(at)), [len(x) for x in at])
+        size = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+        start = np.cumsum(size) - size
+        raw = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        order = np.argsort(size[seg], kind="stable")   # pairs of similar length together
+        seg, landmark = seg[order], landmark[order]
+        for lo in range(0, len(seg), PAIRS):
+            k, j = seg[lo:lo + PAIRS], landmark[lo:lo + PAIRS]
+            place = np.arange(size[k].max())[None, :]
+            s = np.where(place < size[k][:, None], raw[np.minimum(start[k][:, None] + place, len(raw) - 1)], 0)
+            near = np.minimum(kernel_pairs(s, self.codes[j]) / self.own[j], 1)
+            for x, y, v in zip(k[near > FLOOR].tolist(), j[near > FLOOR].tolist(), near[near > FLOOR].tolist()):
+                self.matched.setdefault(names[x], []).append((y, (v - FLOOR) / (1 - FLOOR)))
         self.known.update(names)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
@@ -357,8 +381,8 @@ def score(docs: DataFrame, sample: DataFrame, keep: list[str], score_col: str =
         slope, offset = m["fit"]
         for pdf in frames:
             margins = []
-            for at in range(0, len(pdf), 256):   # a few texts at a time: memory does not follow the batch
-                x = match.features(list(pdf["text"].iloc[at:at + 256])) @ m["map"]
+            for at in range(0, len(pdf), 512):   # a few texts at a time: memory does not follow the batch
+                x = match.features(list(pdf["text"].iloc[at:at + 512])) @ m["map"]
                 margins.append(x @ m["w"][:-1] + m["w"][-1])
             z = slope * np.concatenate(margins) + offset if margins else np.empty(0)
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
