@@ -25,6 +25,17 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many more underscores as make it unlike any column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def n_words(c: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` words; null counts as 0."""
     trimmed = F.regexp_replace(F.coalesce(c, F.lit("")), f"^{SPACES}|{SPACES}$", "")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_words, table
+from .common import Scratch, free_names, n_words, table
 from .registry import query
 
 WEIGHTS = (5, 2, 1)
@@ -161,17 +161,19 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
 
     Rows that share doc_id, source and size are told apart by their order only.
     """
-    size = n_words(F.col("text"))
-    plan = mixed.groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("copies")).alias("__copies"))
-    plan = plan.select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size")), "__copies")
-    met = docs.withColumn("__n", size).join(
-        plan, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source"))
-        & (F.col("__n") == F.col("__size")))
-    single = met.filter(F.size("__copies") == 1).withColumn("__k", F.col("__copies")[0])
-    nth = F.row_number().over(Window.partitionBy("__doc_id", "__source", "__size").orderBy("text"))
-    several = met.filter(F.size("__copies") > 1).withColumn("__k", F.element_at("__copies", nth))
-    taken = single.unionByName(several).filter("__k > 0")
-    return taken.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), "__k"))).select(*docs.columns)
+    row, n, doc, source, size, copies, k, i = free_names(docs, *"row n doc source size copies k i".split())
+    plan = mixed.groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("copies")).alias(copies)).select(
+        F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(size), copies)
+    # the row is carried whole, so that no column of it meets a name of these steps
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), n_words(F.col("text")).alias(n))
+    met = held.join(plan, F.col(f"{row}.doc_id").eqNullSafe(F.col(doc)) & F.col(f"{row}.source").eqNullSafe(F.col(source))
+                    & (F.col(n) == F.col(size)))
+    single = met.filter(F.size(copies) == 1).withColumn(k, F.col(copies)[0])
+    nth = F.row_number().over(Window.partitionBy(doc, source, size).orderBy(f"{row}.text"))
+    several = met.filter(F.size(copies) > 1).withColumn(k, F.element_at(copies, nth))
+    taken = single.unionByName(several).filter(F.col(k) > 0)
+    return taken.withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), k))).select(
+        *(F.col(row)[c].alias(c) for c in docs.columns))
 
 
 @query("op10_pivotal_mixing")

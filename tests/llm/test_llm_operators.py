@@ -510,3 +510,19 @@ def test_pipeline(spark):
     whole = P.run(spark, SF_SMALL).collect()
     assert Counter(r["doc_id"] for r in whole) == Counter(r["doc_id"] for r in mixed)
     assert all(r["n_tokens"] == len(bpe.library.encode(text[r["doc_id"]], add_special_tokens=False).ids) for r in whole)
+
+
+# ---- the pipeline's stages with columns of any name
+
+def test_pipeline_stages_keep_columns_with_their_own_names(spark):
+    import corpus_pipeline as cp
+    names = ["__n", "__k", "__score", "__toxic", "row", "n", "k", "copies", "score", "predicted", "doc", "size"]
+    rows = [(i, f"text number {i} of this source with words {i}", "en", f"s{i % 3}", *[100 * i + j for j in range(len(names))])
+            for i in range(60)]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` long" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for stage in ("toxicity", "exact_dedup", "near_dedup", "mixing"):
+        out = dict(cp.STAGES)[stage](spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        got = {tuple(r) for r in out.collect()}
+        assert got and got <= set(rows), stage
