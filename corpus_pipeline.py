@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.bpe import token_digests
-from tarmac.llm.common import Scratch, table
+from tarmac.llm.common import Scratch, free_names, table
 from tarmac.llm.exact_dedup import drop_copies
 from tarmac.llm.minhash_dedup import drop_near_duplicates
 from tarmac.llm.mixing import mix, repeat_rows
@@ -28,8 +28,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on labelled rows of ``docs``, does not call toxic."""
     _ready(spark)
     sample = training_rows(docs, table(spark, sf_dir, "labels"))
-    scored = score(docs, sample, docs.columns, score_col="__score", predicted_col="__toxic")
-    return scored.filter(F.col("__toxic") == 0).select(*docs.columns)
+    value, toxic = free_names(docs, "score", "toxic")
+    scored = score(docs, sample, docs.columns, score_col=value, predicted_col=toxic)
+    return scored.filter(F.col(toxic) == 0).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
