@@ -19,6 +19,7 @@ from ..operators import scaling as SC
 from ..operators import validation as V
 from ..operators.knn import knn
 from ..sources import tables as TB
+from . import grid as GR
 from . import ml as ML
 from . import sql as Q
 from .enrich import BASE_FEATURES, load_xy
@@ -217,26 +218,63 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return competition_rank(df, "mean_test_f1", "rank_test_f1")
 
 
+def _sweep_log(spark: SparkSession, sf_dir: str) -> GR.RunLog:
+    """The sweep's run log, one document per (strategy, scheme); strategies without documents are run."""
+    import hashlib
+
+    from ..session import _source_stamp
+    xy = documents_xy(spark, sf_dir)
+    base = ML.best_params([r.asDict() for r in _search_rows(spark, sf_dir).collect()])
+    stamp = _source_stamp(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("documents", "labels")])
+    facts = hashlib.sha256(repr((stamp, sorted(base.items()), ML.SEARCH_SPACE)).encode()).hexdigest()[:16]
+    log = GR.RunLog(spark, f"sweep-{facts}")
+    schemes = ("stratified_kfold", "later_ids")
+
+    def config(name: str, scheme: str) -> dict:
+        return {"experiment": "imbalance", "encoding": "onehot", "resampling": name, "strategy": name, "scheme": scheme, "run": 1}
+
+    done = log.finished()
+    todo = [s for s in ML.STRATEGIES if any(GR.run_key(config(s[0], x)) not in done for x in schemes)]
+    if todo:
+        cut = xy.agg(F.percentile_approx("row_id", 0.8, 10000).alias("cut")).first()["cut"]
+        split = xy.select("row_id", (F.col("row_id") > F.lit(cut)).cast("int").alias("is_test"))
+        rows = ML.run_sweep(xy, split, DOC_FEATURES, base, strategies=todo)
+        for name, _, _ in todo:
+            for scheme, own in zip(schemes, ("stratified_kfold", "split")):
+                log.record(config(name, scheme), {"forest": [r for r in rows if (r["strategy"], r["scheme"]) == (name, own)]})
+    return log
+
+
 @register("sweep")
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven imbalance strategies x (5-fold, later ids) with the search winner's forest settings.
+    """Seven imbalance strategies x (5-fold, later ids) with the search winner's forest settings, from the run log.
 
     The documents have no time: scheme ``later_ids`` trains up to the 80 % point of the document ids and tests on the
-    later ones.  ``rank_f1`` ranks a scheme's strategies by their mean F1.
+    later ones.  ``rank_f1`` ranks a scheme's strategies by their mean F1; strategies with one fit share a rank.
     """
-    from ..operators.windows import competition_rank
-    xy = documents_xy(spark, sf_dir)
-    base = ML.best_params([r.asDict() for r in _search_rows(spark, sf_dir).collect()])
-    cut = xy.agg(F.percentile_approx("row_id", 0.8, 10000).alias("cut")).first()["cut"]
-    split = xy.select("row_id", (F.col("row_id") > F.lit(cut)).cast("int").alias("is_test"))
-    out = ML.run_sweep(xy, split, DOC_FEATURES, base)
-    scores = spark.createDataFrame([tuple(r[c] for c in ("strategy", "scheme", "fold", "tp", "fp", "fn", "tn", "f1",
-                                                         "balanced_accuracy")) for r in out],
-                                   "strategy string, scheme string, " + FOLD_SCHEMA)
-    scores = scores.replace({"split": "later_ids"}, subset=["scheme"])
-    mean = scores.groupBy("scheme", "strategy").agg(F.avg("f1").alias("mean_f1"),
-                                                    F.avg("balanced_accuracy").alias("mean_balanced_accuracy"))
-    return scores.join(competition_rank(mean, "mean_f1", "rank_f1", ["scheme"]), ["scheme", "strategy"])
+    docs = _sweep_log(spark, sf_dir).documents()
+    folds = docs.select(F.col("validation_scheme").alias("scheme"), "strategy", F.explode("models").alias("model", "m")).select(
+        "scheme", "strategy", F.explode("m.folds").alias("f")).select("scheme", "strategy", "f.fold", "f.f1", "f.balanced_accuracy")
+    return folds.join(GR.strategy_ranking(docs), ["scheme", "strategy"])
+
+
+@register("sweep_summary")
+def sweep_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A18, A19 and T6 over the sweep's documents, with strategy and scheme columns (files by name only)."""
+    s = GR.summary(_sweep_log(spark, sf_dir).documents())
+    return s.withColumn("files", F.size("files"))
+
+
+@register("sweep_gap")
+def sweep_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: k-fold against later-ids F1 of every strategy."""
+    return GR.gap(_sweep_log(spark, sf_dir).documents(), "stratified_kfold", "later_ids")
+
+
+@register("search_effects")
+def search_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 / A20 over the search's candidates: score per value of every forest setting."""
+    return GR.parameter_effects(_search_rows(spark, sf_dir))
 
 
 @register("final_refit")

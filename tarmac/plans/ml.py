@@ -297,12 +297,13 @@ STRATEGIES = [("cw_none", None, None), ("cw_balanced", None, "balanced"),
 
 
 def run_sweep(xy: DataFrame, split: DataFrame, features: Sequence[str], base: dict | None = None, k: int = 5,
-              seed: int = 42) -> list[dict]:
+              seed: int = 42, strategies: Sequence[tuple] | None = None) -> list[dict]:
     """Every strategy under k-fold and under the given split (row_id, is_test), with forest settings ``base``.
 
     A resampling's folds are prepared once; all strategies' forests grow together.
     """
-    kinds = list(dict.fromkeys(r for _, r, _ in STRATEGIES))
+    strategies = STRATEGIES if strategies is None else strategies
+    kinds = list(dict.fromkeys(r for _, r, _ in strategies))
 
     def prepared(i: int) -> list[DataFrame]:
         at = i * (k + 1)
@@ -311,7 +312,7 @@ def run_sweep(xy: DataFrame, split: DataFrame, features: Sequence[str], base: di
     with ThreadPoolExecutor(max_workers=len(kinds)) as ex:
         parts = [p for group in ex.map(prepared, range(len(kinds))) for p in group]
     folds = Folds(_union(parts), features)
-    plan = [(name, f, forest_fit(kinds.index(r) * (k + 1) + f, base, w, seed)) for name, r, w in STRATEGIES for f in range(k + 1)]
+    plan = [(name, f, forest_fit(kinds.index(r) * (k + 1) + f, base, w, seed)) for name, r, w in strategies for f in range(k + 1)]
     scores = forest_scores(folds, [fit for _, _, fit in plan])
     folds.release()
     return [{"strategy": name, "scheme": "split" if f == k else "stratified_kfold", "fold": 0 if f == k else f, **s}

@@ -187,14 +187,53 @@ def test_search_scores_all_candidates(spark, small):
     assert "weight" not in base and base["numTrees"] in (2, 3, 4, 5)
 
 
-def test_sweep_ranks_seven_strategies_in_both_schemes(spark, small):
+def test_sweep_log_resumes_and_feeds_the_summaries(spark, small, monkeypatch):
+    real, asked = ML.run_sweep, []
+
+    def counted(*args, strategies, **kw):
+        asked.append([s[0] for s in strategies])
+        return real(*args, strategies=strategies, **kw)
+
+    monkeypatch.setattr(ML, "run_sweep", counted)
+    every = list(ML.STRATEGIES)
+    monkeypatch.setattr(ML, "STRATEGIES", every[:3])
+    assert L.sweep(spark, SF_SMALL).count() == 3 * 6
+    monkeypatch.setattr(ML, "STRATEGIES", every)   # the run goes on where it was stopped
     rows = L.sweep(spark, SF_SMALL).collect()
+    assert asked == [[s[0] for s in every[:3]], [s[0] for s in every[3:]]]
     assert len(rows) == 7 * 6 and {r["scheme"] for r in rows} == {"stratified_kfold", "later_ids"}
-    total = {(r["strategy"], r["scheme"]): 0 for r in rows}
-    for r in rows:
-        total[r["strategy"], r["scheme"]] += r["tp"] + r["fp"] + r["fn"] + r["tn"]
-    n = L.documents_xy(spark, SF_SMALL).count()
-    assert all(v == n for (_, scheme), v in total.items() if scheme == "stratified_kfold")
+    s = L.sweep_summary(spark, SF_SMALL).collect()
+    assert len(s) == 14 and all(r["runs"] == r["files"] == 1 and r["run_ids"] == [1] for r in s) and len(asked) == 2
+    by = {(r["strategy"], r["scheme"]): r["mean_f1"] for r in s}
+    for r in L.sweep_gap(spark, SF_SMALL).collect():
+        assert math.isclose(r["gap"], by[r["strategy"], "stratified_kfold"] - by[r["strategy"], "later_ids"], abs_tol=2e-6)
+    effects = L.search_effects(spark, SF_SMALL).collect()
+    assert sum(r["n"] for r in effects) == 40 * len(ML.SEARCH_SPACE)
+
+
+def test_grid_writes_a_document_per_configuration_and_resumes(spark, small, monkeypatch):
+    from tarmac.plans import grid as GR
+    assert len(GR.grid_configs()) == 120 and len({GR.run_key(c) for c in GR.grid_configs()}) == 120
+    configs = GR.grid_configs((5, 15), ("label",), ("undersample",), (1, 2))
+    run = GR.departure_runs(spark, SF_SMALL, ("forest", "nb"), {"forest": {"numTrees": 3}}, k=2)
+    log, seen = GR.RunLog(spark, f"grid-{id(configs)}"), []
+
+    def stopped(c):
+        if len(seen) == 2:
+            raise RuntimeError("stopped")
+        seen.append(c)
+        return run(c)
+
+    with pytest.raises(RuntimeError):
+        GR.run_grid(log, configs, stopped)
+    assert len(log.finished()) == 2
+    assert GR.run_grid(GR.RunLog(spark, f"grid-{id(configs)}"), configs, run) == 2 and GR.run_grid(log, configs, run) == 0
+    docs = log.documents()
+    assert docs.count() == 4 and docs.filter("dataset.row_count > 0 and dataset.feature_count > 0").count() == 4
+    s = GR.summary(docs).collect()
+    assert len(s) == 4 and {(r["threshold"], r["encoding"], r["resampling"], r["model"]) for r in s} == {
+        (t, "label", "undersample", m) for t in (5, 15) for m in ("forest", "nb")}
+    assert all(r["runs"] == 2 and r["run_ids"] == [1, 2] and len(r["files"]) == 2 for r in s)
 
 
 def test_final_refit_compares_five_and_saves_the_winner(spark, small):
