@@ -5,8 +5,8 @@ value repeated by a third of all rows is one row here, so hot values do not
 pile up in one task.  Cumulative counts come from a two-pass prefix sum over
 a range-partitioned copy of that table:
 
-1. A seeded sample gives split points of ``(keys, value)``; each row gets the
-   index of its contiguous range as a plain column (deterministic).
+1. Spark's range partitioning deals the table by ``(keys, value)``; it is
+   written once with the range's number as a column.
 2. Per partition (and key) totals — at most ``partitions x keys`` rows — give
    each partition its offset through a small window.
 3. A window inside ``(partition, key)`` gives the local running count.
@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from .aggregates import value_counts_table
 
 
@@ -33,44 +34,21 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def range_bounds(df: DataFrame, cols: Sequence[str], parts: int, per_part: int = 64,
-                 seed: int = 17) -> list[tuple]:
-    """``parts - 1`` split points of ``cols`` (lexicographic) from a seeded sample.
+def ranged(df: DataFrame, cols: Sequence[str], hashed: tuple[int, int] | None = None, parts: int | None = None) -> DataFrame:
+    """``df`` with ``_pid``, the number of its contiguous range of ``cols``.
 
-    Like Spark's range partitioner, only a bounded sample (about
-    ``per_part * parts`` rows) reaches the driver.  The points become literals
-    of the plan, so every branch and every recomputation after an executor
-    loss buckets rows identically (``spark_partition_id`` after a range
-    shuffle does not guarantee that across re-planned branches).
+    The rows are dealt by Spark's range partitioning and written once to the
+    checkpoint folder with their range's number, so every later branch, and
+    every task that is run again, sees the same ranges.  ``hashed``: the first
+    column is uniform from the given start over the given span, and the range
+    follows by arithmetic, in place.
     """
-    if parts <= 1:
-        return []
-    n = df.count()
-    if n == 0:
-        return []
-    frac = min(1.0, per_part * parts / n)
-    rows = df.select(*cols).sample(False, frac, seed).orderBy(*cols).collect()
-    if not rows:
-        return []
-    step = len(rows) / parts
-    out = []
-    for i in range(1, parts):
-        t = tuple(rows[min(len(rows) - 1, int(i * step))])
-        if not out or t != out[-1]:
-            out.append(t)
-    return out
-
-
-def bucket_column(df: DataFrame, cols: Sequence[str], bounds: list[tuple]):
-    """Bucket index = number of split points <= struct(cols) (lexicographic)."""
-    if not bounds:
-        return F.lit(0)
-    types = dict(df.dtypes)
-    names = [f"c{i}" for i in range(len(cols))]
-    row = F.struct(*[F.col(c).alias(n) for c, n in zip(cols, names)])
-    lits = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(n) for v, c, n in zip(b, cols, names)])
-                     for b in bounds])
-    return F.size(F.filter(lits, lambda x: x <= row))
+    p = parts or _parts(df)
+    if hashed:
+        start, span = hashed
+        place = (F.col(cols[0]).cast("double") - float(start)) / float(span)
+        return df.withColumn("_pid", F.least(F.floor(place * p), F.lit(p - 1)).cast("int"))
+    return checkpoint(df.repartitionByRange(p, *cols).withColumn("_pid", F.spark_partition_id()))
 
 
 def prefix_counts(vc: DataFrame, value: str | Sequence[str], keys: Sequence[str] = (), cnt: str = "cnt",
@@ -88,14 +66,7 @@ def prefix_counts(vc: DataFrame, value: str | Sequence[str], keys: Sequence[str]
     """
     keys = list(keys)
     vals = [value] if isinstance(value, str) else list(value)
-    p = partitions or _parts(vc)
-    if hashed:
-        start, span = hashed
-        place = (F.col(vals[0]).cast("double") - float(start)) / float(span)
-        pid = F.least(F.floor(place * p), F.lit(p - 1)).cast("int")
-    else:
-        pid = bucket_column(vc, [*keys, *vals], range_bounds(vc, [*keys, *vals], p))
-    r = vc.withColumn("_pid", pid)
+    r = ranged(vc, vals if hashed else [*keys, *vals], hashed, partitions)
     tot = r.groupBy("_pid", *keys).agg(F.sum(cnt).alias("_ptot"))
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid")
     off = tot.select("_pid", *keys,
@@ -172,16 +143,14 @@ def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] =
 
 
 def prefix_sums(df: DataFrame, order: Sequence[str], cols: Sequence[str], keys: Sequence[str] = (),
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, hashed: tuple[int, int] | None = None) -> DataFrame:
     """Running sums of several columns in one ordering: adds ``before_<c>`` (sum of ``c``
     over rows strictly earlier in ``order`` within ``keys``) for every ``c``.
 
     Same range-bucket scheme as ``prefix_counts``; one sort serves all columns.
     """
     keys, vals = list(keys), list(order)
-    p = partitions or _parts(df)
-    bounds = range_bounds(df, [*keys, *vals], p)
-    r = df.withColumn("_pid", bucket_column(df, [*keys, *vals], bounds))
+    r = ranged(df, vals if hashed else [*keys, *vals], hashed, partitions)
     tot = r.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid") \
         .rowsBetween(Window.unboundedPreceding, -1)

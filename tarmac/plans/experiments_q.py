@@ -52,7 +52,7 @@ def _labelled_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
         y = C.late_flag_strict(F.col("_d"), t)
         x = x.withColumn(f"y{t}", y).withColumn(f"n{t}", 1 - y)
         ys += [f"y{t}", f"n{t}"]
-    p = RK.prefix_sums(x, ["_h", "row_id"], ys, keys=["_seed"])
+    p = RK.prefix_sums(x, ["_h", "row_id"], ys, keys=["_seed"], hashed=(0, 1 << 31))
     per_t = F.explode(F.array(*[
         F.struct(F.lit(t).alias("threshold"), F.col(f"y{t}").alias("y"),
                  F.pmod(F.when(F.col(f"y{t}") == 1, F.col(f"before_y{t}")).otherwise(F.col(f"before_n{t}")),
