@@ -15,6 +15,7 @@ from . import joins as J
 from ..session import checkpoint
 from .knn import knn
 from .ranks import HASH64, global_row_number
+from .windows import hash_key
 
 
 def _u01(*cols, seed: int) -> F.Column:
@@ -22,33 +23,55 @@ def _u01(*cols, seed: int) -> F.Column:
     return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(2 ** 31)).cast("double") / float(2 ** 31)
 
 
+#: span of ``hash_key``, the seeded order of sampling; SQL has the same function
+SPAN = 1 << 31
+
+
+def _least_hashes(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int, key: str) -> DataFrame:
+    """Per group the ``_quota`` rows that come first by (hash, key); ``quotas(keys, _n, _quota)`` has the groups' sizes.
+
+    Only rows below a group's hash threshold, which its quota and size give with room to spare, are shuffled and
+    ranked; should one fall short, the thresholds are raised.
+    """
+    quotas = quotas.dropna(subset=keys) if keys else quotas   # rows without a class are in no class
+    room, spare = 1, F.col("_quota") + 6 * F.sqrt("_quota") + 16
+    rows = df.withColumn("_h", hash_key(key, seed))
+    while True:
+        q = quotas.withColumn("_below", F.least(F.lit(float(SPAN)), F.ceil(spare * room / F.col("_n") * SPAN).cast("double")))
+        near = (J.with_global(rows, q) if not keys else rows.join(F.broadcast(q), keys)).filter(F.col("_h") < F.col("_below"))
+        got = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("_got"))
+        met = q.join(got, keys, "left") if keys else J.with_global(q, got)
+        if met.filter(F.coalesce("_got", F.lit(0)) < F.least("_quota", "_n")).isEmpty():
+            break
+        room *= 4
+    placed = near.withColumn("_u", F.col("_h") / F.col("_below"))   # uniform in every group
+    r = global_row_number(placed, ["_u", key], keys=keys, out="_rn", hashed=(0, 1))
+    return r.filter(F.col("_rn") <= F.col("_quota")).select(*df.columns)
+
+
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """B1: min(n, N) rows without replacement, seeded (hash order, range-partitioned)."""
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], out="_rn", hashed=HASH64)
-    return r.filter(F.col("_rn") <= n).drop("_h", "_rn", "total")
+    """B1: min(n, N) rows without replacement: the first by a seeded hash of their key."""
+    quota = df.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0").withColumn("_quota", F.least(F.lit(n), F.col("_n")))
+    return _least_hashes(df, quota, [], seed, key)
 
 
 def stratified_sample(df: DataFrame, label: str, max_samples: int, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """B2: per class max(1, round(n_c * fraction)) rows, fraction = max_samples / N (capped at N)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_N"))
-    q = J.with_global(counts, tot).withColumn(
-        "_quota", F.greatest(F.lit(1), F.round(F.col("_nc") * F.least(F.lit(1.0), F.lit(float(max_samples)) / F.col("_N")))
-                             .cast("long")))
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], keys=[label], out="_rn", hashed=HASH64)
-    return r.join(F.broadcast(q.select(label, "_quota")), label).filter(F.col("_rn") <= F.col("_quota")) \
-        .drop("_h", "_rn", "total", "_quota")
+    """B2: per class max(1, round(n_c * max_samples / N)) rows, cut to ``max_samples`` in all; a table of no more rows
+    than that stays whole."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    if (total.first()["_all"] or 0) <= max_samples:
+        return df
+    quota = F.least("_n", F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(float(max_samples)) / F.col("_all")).cast("long")))
+    q = J.with_global(counts, total).withColumn("_quota", quota).drop("_all")
+    return sample_n(_least_hashes(df, q, [label], seed, key), max_samples, seed, key)
 
 
 def undersample(df: DataFrame, label: str, seed: int = 42, key: str = "row_id") -> DataFrame:
     """M7: every class cut to the minority size (seeded hash order within class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    m = counts.agg(F.min("_nc").alias("_min"))
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], keys=[label], out="_rn", hashed=HASH64)
-    return J.with_global(r, m).filter(F.col("_rn") <= F.col("_min")).drop("_h", "_rn", "total", "_min")
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    q = J.with_global(counts, counts.agg(F.min("_n").alias("_quota")))
+    return _least_hashes(df, q, [label], seed, key)
 
 
 def smote(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,

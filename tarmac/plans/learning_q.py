@@ -18,6 +18,7 @@ from ..operators import resample as RS
 from ..operators import scaling as SC
 from ..operators import validation as V
 from ..operators.knn import knn
+from ..operators.windows import hash_key_sql
 from ..sources import tables as TB
 from . import grid as GR
 from . import ml as ML
@@ -124,21 +125,34 @@ def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # sampling / resampling (rows only: invariants are in the tests)
 # ---------------------------------------------------------------------------
-@register("sample_n")
+_LABELLED_SQL = f"""
+WITH x AS (SELECT doc_id AS row_id, CAST(n_chars AS DOUBLE) AS n_chars, CAST(1 - quality AS INTEGER) AS label,
+                  {hash_key_sql('doc_id', 42)} AS h FROM labels JOIN documents USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, row_id) AS nth, count(*) OVER (PARTITION BY label) AS n_c,
+             count(*) OVER () AS n FROM x)"""
+
+
+@register("sample_n", Q.q_raw(f"""
+SELECT row_id, carrier, route FROM departures ORDER BY {hash_key_sql('row_id', 42)}, row_id LIMIT 1000"""))
 def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: 1000 departures without replacement (seed 42) — a sampling operator."""
-    return RS.sample_n(TB.scan_departures(spark, sf_dir), 1000, 42)
+    return RS.sample_n(TB.scan_departures(spark, sf_dir).select("row_id", "carrier", "route"), 1000, 42)
 
 
-@register("stratified_sample")
+@register("stratified_sample", f"""{_LABELLED_SQL},
+s AS (SELECT *, row_number() OVER (ORDER BY h, row_id) AS pos FROM r
+      WHERE n <= 100 OR nth <= least(n_c, greatest(1, CAST(round_even(n_c * 100.0 / n, 0) AS BIGINT))))
+SELECT row_id, label, n_chars FROM s WHERE pos <= 100""")
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: class-proportional sample of 100 labelled documents."""
-    return RS.stratified_sample(documents_xy(spark, sf_dir), ML.LABEL, 100, 42)
+    return RS.stratified_sample(documents_xy(spark, sf_dir).select("row_id", ML.LABEL, "n_chars"), ML.LABEL, 100, 42)
 
 
-@register("undersample")
+@register("undersample", f"""{_LABELLED_SQL}
+SELECT row_id, label, n_chars FROM r WHERE nth <= (SELECT min(n_c) FROM r)""")
 def undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RS.undersample(documents_xy(spark, sf_dir), ML.LABEL, 42)
+    """M7: every class of the labelled documents cut to the smallest one's size."""
+    return RS.undersample(documents_xy(spark, sf_dir).select("row_id", ML.LABEL, "n_chars"), ML.LABEL, 42)
 
 
 @register("smote")

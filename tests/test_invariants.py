@@ -208,3 +208,20 @@ def test_knn_prunes_departure_features(spark):
     df = scaled.select("row_id", F.array(*[F.col(c).cast("double") for c in feats]).alias("v"))
     dv = KNN.distinct_points(df, "v", None, [])
     assert KNN.Cells(dv, 5).candidates() < 0.1 * dv.count() ** 2
+
+
+def test_samples_are_the_first_by_hash(spark):
+    from tarmac.operators.windows import hash_key
+    df = spark.range(5000).selectExpr("id * 7 as row_id", "cast(id % 10 = 0 as int) as label", "id").repartition(6)
+    order = [r["row_id"] for r in df.withColumn("h", hash_key("row_id", 3)).orderBy("h", "row_id").collect()]
+    label = {r["row_id"]: r["label"] for r in df.collect()}
+    for n in (1, 40, 4999, 9000):
+        assert {r["row_id"] for r in RS.sample_n(df, n, 3).collect()} == set(order[:n])
+    got = {r["row_id"] for r in RS.undersample(df, "label", 3).collect()}
+    assert got == {x for c in (0, 1) for x in [y for y in order if label[y] == c][:500]}
+    s = RS.stratified_sample(df, "label", 37, 3)
+    assert s.columns == df.columns and s.count() == 37 and RS.stratified_sample(df, "label", 6000, 3).count() == 5000
+    assert RS.undersample(df.selectExpr("row_id", "if(id < 9, null, label) as label", "id"), "label", 3).count() == 2 * 499
+    assert RS.sample_n(df.limit(0), 5).collect() == [] and RS.undersample(df.limit(0), "label").collect() == []
+    late = df.join(spark.createDataFrame([(x,) for x in order[-600:]], "row_id long"), "row_id")
+    assert {r["row_id"] for r in RS.sample_n(late, 40, 3).collect()} == set(order[-600:][:40])   # thresholds had to be raised
