@@ -33,7 +33,6 @@ def _least_hashes(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int,
     Only rows below a group's hash threshold, which its quota and size give with room to spare, are shuffled and
     ranked; should one fall short, the thresholds are raised.
     """
-    quotas = quotas.dropna(subset=keys) if keys else quotas   # rows without a class are in no class
     room, spare = 1, F.col("_quota") + 6 * F.sqrt("_quota") + 16
     rows = df.withColumn("_h", hash_key(key, seed))
     while True:
@@ -57,7 +56,8 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "row_id") -> Data
 
 def stratified_sample(df: DataFrame, label: str, max_samples: int, seed: int = 42, key: str = "row_id") -> DataFrame:
     """B2: per class max(1, round(n_c * max_samples / N)) rows, cut to ``max_samples`` in all; a table of no more rows
-    than that stays whole."""
+    than that stays whole.  Rows without a class are left out."""
+    df = df.filter(F.col(label).isNotNull())
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_all"))
     if (total.first()["_all"] or 0) <= max_samples:
@@ -68,7 +68,8 @@ def stratified_sample(df: DataFrame, label: str, max_samples: int, seed: int = 4
 
 
 def undersample(df: DataFrame, label: str, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """M7: every class cut to the minority size (seeded hash order within class)."""
+    """M7: every class cut to the minority size (seeded hash order within class); rows without a class are left out."""
+    df = df.filter(F.col(label).isNotNull())
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     q = J.with_global(counts, counts.agg(F.min("_n").alias("_quota")))
     return _least_hashes(df, q, [label], seed, key)
