@@ -1,7 +1,8 @@
 """Feature scalers M3-M6 with an explicit, storable fit table.
 
-``fit`` is one aggregate over the training rows (one row of parameters);
-``transform`` joins that row (broadcast, size 1) and applies column math.
+``fit`` is one aggregate over the training rows (one row of parameters), with
+exact quartiles by selection (``selection.py``: no buffer of a column's
+values); ``transform`` joins that row (broadcast, size 1) and applies column math.
 Fitting on the training fold only and transforming both folds is what
 keeps cross-validation leakage-free.  Spark ML's scalers differ on the
 details that matter here (sample vs population std, approximate
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import joins as J
+from . import selection as SEL
 
 # Column groups of the reference's column transformer (present columns only).
 STANDARD_COLS = ["lat"]
@@ -28,21 +30,21 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
-def fit(df: DataFrame, standard=STANDARD_COLS, robust=ROBUST_COLS, log=LOG_COLS, minmax=MINMAX_COLS,
-        exact: bool = True) -> DataFrame:
-    """One-row parameter table: mean/std (population), median/IQR, log mean/std, min/max."""
+def fit(df: DataFrame, standard=STANDARD_COLS, robust=ROBUST_COLS, log=LOG_COLS, minmax=MINMAX_COLS) -> DataFrame:
+    """One-row parameter table: mean/std (population), quartiles, log mean/std, min/max.
+
+    With robust columns ``df`` is read several times, those columns only.
+    """
     aggs = []
     for c in _present(df, standard):
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
-    for c in _present(df, robust):
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact else \
-            F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
-        aggs += [q.alias(f"{c}__q")]
+    quartiles = SEL.quantiles(df, {c: (c, [0.25, 0.5, 0.75]) for c in _present(df, robust)})
     for c in _present(df, log):
         aggs += [F.avg(F.log1p(c)).alias(f"{c}__mean"), F.stddev_pop(F.log1p(c)).alias(f"{c}__std")]
     for c in _present(df, minmax):
         aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    return df.agg(*(aggs or [F.count(F.lit(1)).alias("rows")]))   # nothing to scale: one row all the same
+    out = df.agg(*(aggs or [F.count(F.lit(1)).alias("rows")]))   # nothing to scale: one row all the same
+    return out.select("*", *[F.array(*[F.lit(v).cast("double") for v in q]).alias(f"{c}__q") for c, q in quartiles.items()])
 
 
 def transform(df: DataFrame, params: DataFrame, standard=STANDARD_COLS, robust=ROBUST_COLS, log=LOG_COLS,

@@ -1,8 +1,10 @@
 """Raw departures -> enriched ("analysis-ready") table, and ML features.
 
-One lazy plan, written once per session and data version to Parquet under
-the shared checkpoint folder (``session.materialised``); every view reads
-that table instead of re-running scan, dedup and the fence aggregate.
+One plan, written once per session and data version to Parquet under the
+shared checkpoint folder (``session.materialised``); every view reads that
+table instead of re-running scan and dedup.  The outlier fence is selected
+from the written table's delay column, and the flag is a comparison with it
+on reading, so that the table is neither built nor written twice.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import columns as C
 from ..operators import joins as J
+from ..operators import selection as SEL
 from ..operators.windows import latest_per_key
 from ..sources import tables as TB
 
@@ -33,19 +36,22 @@ def with_location(df: DataFrame, locs: DataFrame, code_col: str = "dest_code") -
     return j.withColumn("distance_km", C.haversine_km("lat", "lon"))
 
 
-def outlier_fence(df: DataFrame, col: str = "delay_min") -> DataFrame:
-    """One-row table with the Tukey upper fence Q3 + 1.5 IQR of ``col``.
+def outlier_fence(df: DataFrame, col: str = "delay_min") -> float | None:
+    """The Tukey upper fence Q3 + 1.5 IQR of ``col``, by exact selection; None without values.
 
-    ``percentile`` keeps one count per distinct value, so with minute-level
-    delays its buffer is bounded.
+    Reads ``df`` some times, one column each: give it a written table.
     """
-    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75)))
-    return (df.agg(q.alias("_q"))
-            .select((F.col("_q")[1] + F.lit(1.5) * (F.col("_q")[1] - F.col("_q")[0])).alias("_fence")))
+    q1, q3 = SEL.quantiles(df, {col: (col, [0.25, 0.75])})[col]
+    return None if q1 is None else q3 + 1.5 * (q3 - q1)
 
 
-def enrich(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool = True) -> DataFrame:
-    """Clean and enrich departures (dedup, delays, calendar, geography, bands, flags)."""
+def flag_outliers(df: DataFrame, fence: float | None, col: str = "delay_min") -> DataFrame:
+    """``is_outlier`` is 1 above the fence; null values, and all without a fence, are 0."""
+    return df.withColumn("is_outlier", F.coalesce(F.col(col) > F.lit(fence).cast("double"), F.lit(False)).cast("int"))
+
+
+def cleaned(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool = True) -> DataFrame:
+    """Clean and enrich departures (dedup, delays, calendar, geography, bands, late flag)."""
     df = latest_per_key(raw, DEDUP_KEY, "updated_at", "row_id") if dedup else raw
     d = C.rollover_minutes(C.delay_raw("planned_ts", "actual_ts"))
     df = df.select(
@@ -72,20 +78,17 @@ def enrich(raw: DataFrame, locs: DataFrame, threshold: float = 15, dedup: bool =
         C.day_part("planned_hour").alias("day_part"),
         C.late_flag_nullable("delay_min", threshold).alias("is_late"),
     )
-    df = with_location(df, locs)
-    fence = outlier_fence(df, "delay_min")
-    df = J.with_global(df, fence).withColumn(
-        "is_outlier", F.coalesce(F.col("delay_min") > F.col("_fence"), F.lit(False)).cast("int"))
-    return df.select(*ENRICHED_COLUMNS)
+    return with_location(df, locs).select(*[c for c in ENRICHED_COLUMNS if c != "is_outlier"])
 
 
 def enriched(spark: SparkSession, sf_dir: str, threshold: float = 15) -> DataFrame:
     """The enriched table, written once per session and data version (see ``materialised``)."""
-    from ..session import materialised
+    from ..session import materialised, remembered
     inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
     df = materialised(spark, f"enriched-t{threshold:g}", inputs,
-                      lambda: enrich(TB.scan_departures(spark, sf_dir), TB.locations(spark, sf_dir), threshold))
-    return df.select(*ENRICHED_COLUMNS)
+                      lambda: cleaned(TB.scan_departures(spark, sf_dir), TB.locations(spark, sf_dir), threshold))
+    fence = remembered(spark, f"fence-t{threshold:g}", inputs, lambda: outlier_fence(df))
+    return flag_outliers(df, fence).select(*ENRICHED_COLUMNS)
 
 
 # ---------------------------------------------------------------------------

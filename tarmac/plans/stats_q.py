@@ -15,6 +15,7 @@ from ..functions import columns as C
 from ..operators import aggregates as A
 from ..operators import bootstrap as BS
 from ..operators import joins as J
+from ..operators import selection as SEL
 from ..operators import stats as ST
 from ..sources import tables as TB
 from . import sql as Q
@@ -111,8 +112,8 @@ def overall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-null n, median, mean of completed delays, plus row / cancellation / outlier counts."""
     df = enriched(spark, sf_dir)
     cm = F.col("is_cancelled") == 0
-    a = df.agg(F.count(F.when(cm, F.col("delay_min"))).alias("n"),
-               F.percentile(F.when(cm, F.col("delay_min")), F.lit(0.5)).alias("median"),
+    median = SEL.quantiles(df, {"d": (F.when(cm, F.col("delay_min")), [0.5])})["d"][0]
+    a = df.agg(F.count(F.when(cm, F.col("delay_min"))).alias("n"), F.lit(median).cast("double").alias("median"),
                F.avg(F.when(cm, F.col("delay_min"))).alias("mean"),
                F.count_if(cm).alias("n_rows"), F.count_if(~cm).alias("n_cancelled"),
                F.count_if(F.col("is_outlier") == 1).alias("n_outliers"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ranks as RK
+from ..operators import selection as SEL
 from ..operators import upsert as UP
 from ..operators.windows import hash_key_sql, latest_per_key
 from ..sources import tables as TB
@@ -95,15 +96,9 @@ SELECT row_id, planned_ts, CAST(rn > n - greatest(1, CAST(round_even(0.2 * n, 0)
 FROM (SELECT row_id, planned_ts, row_number() OVER (ORDER BY planned_ts, row_id) AS rn, count(*) OVER () AS n
       FROM departures)"""))
 def chronological_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stable time order; the last max(1, round_half_even(0.2 n)) rows are the test set.
-
-    The global row number comes from range-partitioned prefix counts on
-    (planned_ts, row_id), so no single task sees every row.
-    """
+    """Stable time order; the last max(1, round_half_even(0.2 n)) rows are the test set."""
     d = TB.scan_departures(spark, sf_dir).select("row_id", "planned_ts")
-    rn = RK.global_row_number(d, ["planned_ts", "row_id"])
-    k = F.greatest(F.lit(1), F.bround(F.col("total") * 0.2, 0).cast("long"))
-    return rn.select("row_id", "planned_ts", (F.col("rn") > F.col("total") - k).cast("int").alias("is_test"))
+    return d.withColumn("is_test", SEL.last_share(d, ["planned_ts", "row_id"], 0.2).cast("int"))
 
 
 @register("folds", Q.q_raw(f"""

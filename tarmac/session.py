@@ -118,6 +118,20 @@ def materialised(spark: SparkSession, name: str, inputs, build, partition_by=Non
     return spark.read.parquet(path)
 
 
+_REMEMBERED: dict[tuple, object] = {}
+
+
+def remembered(spark: SparkSession, name: str, inputs, compute):
+    """A number (or a few) derived from the inputs, computed once per session and data version."""
+    try:
+        key = (spark.sparkContext.applicationId, name, _source_stamp(spark, inputs))
+    except Exception:  # noqa: BLE001 - no JVM handle (remote session): computed each time
+        return compute()
+    if key not in _REMEMBERED:
+        _REMEMBERED[key] = compute()
+    return _REMEMBERED[key]
+
+
 _SHIPPED: set = set()
 
 
