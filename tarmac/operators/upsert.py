@@ -1,18 +1,18 @@
 """S8 keyed upsert and U1-U3 set operations.
 
 The reference keeps a unique index and runs ``INSERT ... ON CONFLICT DO
-UPDATE`` row by row.  Here a whole batch is merged at once: the stored
-table and the batch are unioned and reduced per key with ``min_by`` /
-``max_by`` over an arrival order, which Spark aggregates map-side before the
-shuffle — a key repeated by a third of all rows costs one partial row per
-map task.
+UPDATE`` row by row.  Here a whole batch is merged at once: rows are reduced
+per key with ``min_by`` / ``max_by`` over an arrival order, which Spark
+aggregates map-side before the shuffle — a key repeated by a third of all
+rows costs one partial row per map task.  ``KeyedTable`` keeps the result on
+shared storage, cut into buckets, and a merge rewrites touched buckets only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,22 +22,15 @@ def _order(order: Sequence[str] | Column) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def upsert(base: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str] | Column,
-           first_cols: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
-    """Merge ``batch`` into ``base``.
+def merge_rows(rows: DataFrame, key: Sequence[str], order: Sequence[str] | Column,
+               first_cols: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
+    """Reduce every key's arrivals to one row.
 
     ``first_cols`` keep the value of the first arrival of a key (never
     refreshed on conflict); ``update_cols`` take the latest arrival's value,
     null included (the newest row overwrites, as ``DO UPDATE SET x =
     excluded.x`` does).
     """
-    u = base.unionByName(batch, allowMissingColumns=True) if batch is not None else base
-    return merge_rows(u, key, order, first_cols, update_cols)
-
-
-def merge_rows(rows: DataFrame, key: Sequence[str], order: Sequence[str] | Column,
-               first_cols: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
-    """Reduce every key's arrivals to one row (see ``upsert``)."""
     o = _order(order)
     first = F.min_by(F.struct(*[F.col(c) for c in first_cols]), o).alias("_first")
     last = F.max_by(F.struct(*[F.col(c) for c in update_cols]), o).alias("_last")
@@ -46,6 +39,129 @@ def merge_rows(rows: DataFrame, key: Sequence[str], order: Sequence[str] | Colum
                       *[F.col(f"_last.{c}").alias(c) for c in update_cols])
 
 
+class KeyedTable:
+    """A table with one row per key under ``path``, changed by merging batches.
+
+    Layout: ``v=<version>/_bucket=<n>/`` holds the buckets that the merge of
+    that version touched; an empty file ``commits/<version>`` commits it.  A
+    bucket's rows are those of its largest committed version, so a merge reads
+    and writes only the buckets its batch touches, a failed merge leaves the
+    table as it was, and any later process goes on from the files.  Versions
+    are given by the caller (a stream's batch ids) and must rise; a version
+    at or below the last committed one is not merged again.
+
+    ``bucket``: an integer column over ``key``, by default ``key``'s hash over
+    ``buckets``; with keys that begin with a date, buckets by date keep the
+    bytes written near the batch's own.  It must stay the same for a path, as
+    must ``buckets``: at most so many folders are listed and named on the
+    driver.  A bucket is written by up to ``spread`` tasks (raise it where few
+    buckets are large).  ``first_cols``
+    and ``update_cols`` as in ``merge_rows``; rows with equal ``order`` in one
+    key are alike.  Null keys are a key.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
+                 first_cols: Sequence[str] = (), update_cols: Sequence[str] = (), buckets: int = 64,
+                 bucket: Column | None = None, spread: int = 1):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.key, self.order, self.first_cols, self.update_cols = list(key), list(order), list(first_cols), list(update_cols)
+        hashed = F.xxhash64(*self.key)
+        self.bucket = (F.pmod(hashed, F.lit(buckets)) if bucket is None else bucket).cast("int")
+        self.part = F.pmod(F.shiftright(hashed, 32), F.lit(spread)).cast("int")
+
+    # -- files ---------------------------------------------------------------
+    def _fs(self, name: str = ""):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _names(self, folder: str) -> list[str]:
+        fs, p = self._fs(folder)
+        return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+    def version(self) -> int | None:
+        """The last committed version."""
+        return max((int(n) for n in self._names("commits")), default=None)
+
+    def _held(self) -> dict[str, list[int]]:
+        """Per bucket folder the committed versions that hold it, rising."""
+        last, held = self.version(), {}
+        for v in (int(n[2:]) for n in self._names("") if n.startswith("v=")):
+            if last is not None and v <= last:
+                for n in self._names(f"v={v:08d}"):
+                    if n.startswith("_bucket="):
+                        held.setdefault(n, []).append(v)
+        return {n: sorted(vs) for n, vs in held.items()}
+
+    def _read(self, folders: dict[str, list[int]]) -> DataFrame | None:
+        paths = [f"{self.path}/v={vs[-1]:08d}/{n}" for n, vs in sorted(folders.items())]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    # -- rows ----------------------------------------------------------------
+    def _reduced(self, rows: DataFrame) -> DataFrame:
+        o = _order(self.order)
+        keep = lambda cols: F.struct(o.alias("o"), F.struct(F.lit(0).alias("_"), *[F.col(c) for c in cols]).alias("x"))
+        return rows.groupBy(*self.key).agg(F.min_by(keep(self.first_cols), o).alias("_first"),
+                                           F.max_by(keep(self.update_cols), o).alias("_last"))
+
+    def _placed(self, state: DataFrame) -> DataFrame:
+        return state.select(self.bucket.alias("_bucket"), self.part.alias("_part"), *self.key, "_first", "_last")
+
+    def merge(self, batch: DataFrame, version: int) -> bool:
+        """Merge ``batch``; False if ``version`` was merged before.
+
+        The batch, a row per key, is persisted (lost parts are computed
+        again), so that a stream's source and state are run through once.
+        """
+        last = self.version()
+        if last is not None and version <= last:
+            return False
+        new = self._placed(self._reduced(batch)).persist()
+        try:
+            self._write(new, version)
+        finally:
+            new.unpersist()
+        fs, marker = self._fs(f"commits/{version:08d}")
+        fs.create(marker, True).close()
+        self._clean()
+        return True
+
+    def _write(self, rows: DataFrame, version: int) -> None:
+        touched = {f"_bucket={r[0]}" for r in rows.select("_bucket").distinct().collect()}
+        old = self._read({n: vs for n, vs in self._held().items() if n in touched})
+        if old is not None:
+            rows = self._placed(old).unionByName(rows)
+        merged = (rows.repartition("_bucket", "_part").groupBy("_bucket", "_part", *self.key)
+                  .agg(F.min_by("_first", "_first.o").alias("_first"), F.max_by("_last", "_last.o").alias("_last")))
+        merged.drop("_part").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v={version:08d}")
+
+    def _clean(self, keep: int = 2) -> None:
+        """Remove what newer versions replace; the last ``keep`` of a bucket stay for readers that began before."""
+        held = self._held()
+        for name, versions in held.items():
+            for v in versions[:-keep]:
+                fs, p = self._fs(f"v={v:08d}/{name}")
+                fs.delete(p, True)
+        used = {v for vs in held.values() for v in vs[-keep:]}
+        for v in [int(n) for n in self._names("commits")][:-1]:
+            if v not in used:
+                for name in (f"v={v:08d}", f"commits/{v:08d}"):
+                    fs, p = self._fs(name)
+                    fs.delete(p, True)
+
+    def read(self) -> DataFrame | None:
+        """The table's rows as of now (key, first and updated columns); None before the first row."""
+        state = self._read(self._held())
+        return None if state is None else state.select(
+            *self.key, *[F.col(f"_first.x.{c}").alias(c) for c in self.first_cols],
+            *[F.col(f"_last.x.{c}").alias(c) for c in self.update_cols])
+
+    def read_or_empty(self, rows: DataFrame) -> DataFrame:
+        """``read``, or an empty table with the types of ``rows``."""
+        found = self.read()
+        return rows.select(*self.key, *self.first_cols, *self.update_cols).limit(0) if found is None else found
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by column name."""
     out = frames[0]

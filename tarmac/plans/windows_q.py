@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..operators import ranks as RK
 from ..operators import selection as SEL
 from ..operators import upsert as UP
 from ..operators.windows import hash_key_sql, latest_per_key
+from ..session import shared_path
 from ..sources import tables as TB
 from . import sql as Q
 from .registry import register
@@ -36,27 +39,15 @@ FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_NK} ORDER BY {_
 JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_NK} ORDER BY {_NO_DESC}) AS rn FROM lineitem) WHERE rn = 1) l
 USING ({_NK})""")
 def upsert_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 + U2: the notices arrive in batches (one per ship year); each batch is
-    upserted into the table built from the earlier ones.  The result equals
-    replaying every notice in arrival order."""
-    n = TB.notices(spark, sf_dir)
-    year = F.year("l_shipdate")
-    cols = TB.NOTICE_KEY + TB.NOTICE_FIRST + TB.NOTICE_UPDATED
-    # Stored state carries its own arrival order so later merges stay exact.
-    def state(rows: DataFrame) -> DataFrame:
-        o = F.struct(*TB.NOTICE_ORDER)
-        return rows.groupBy(*TB.NOTICE_KEY).agg(
-            F.min_by(F.struct(*TB.NOTICE_FIRST), o).alias("_f"), F.min(o).alias("_fo"),
-            F.max_by(F.struct(*TB.NOTICE_UPDATED), o).alias("_u"), F.max(o).alias("_uo"))
-    # Batch 1: rows shipped up to the median year; batch 2: the rest.
-    b1 = n.filter(year <= 1995)
-    b2 = n.filter((year > 1995) | year.isNull())
-    s1 = state(b1)
-    s2 = state(b2)
-    both = s1.unionByName(s2)
-    merged = both.groupBy(*TB.NOTICE_KEY).agg(F.min_by("_f", "_fo").alias("_f"), F.max_by("_u", "_uo").alias("_u"))
-    return merged.select(*TB.NOTICE_KEY, *[F.col(f"_f.{c}").alias(c) for c in TB.NOTICE_FIRST],
-                         *[F.col(f"_u.{c}").alias(c) for c in TB.NOTICE_UPDATED]).select(*cols)
+    """S8 + U2: the notices arrive year by year; each year's batch is upserted into the
+    stored table of the earlier ones.  The result equals replaying every notice in arrival order."""
+    n = TB.notices(spark, sf_dir).withColumn("_year", F.year("l_shipdate"))
+    table = UP.KeyedTable(spark, shared_path(spark, f"upsert/notices-{uuid.uuid4().hex[:12]}"), TB.NOTICE_KEY,
+                          TB.NOTICE_ORDER, TB.NOTICE_FIRST, TB.NOTICE_UPDATED, buckets=8)
+    years = n.select("_year").distinct().orderBy("_year").collect()   # a few calendar years
+    for i, r in enumerate(years):
+        table.merge(n.filter(F.col("_year").eqNullSafe(F.lit(r["_year"]))).drop("_year"), i)
+    return table.read_or_empty(n)
 
 
 @register("upsert_notices_single", f"""

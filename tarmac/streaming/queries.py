@@ -1,44 +1,53 @@
 """Structured Streaming versions of ingest, upsert, daily trend and dedup.
 
 The reference refreshes its table by a daily batch run.  Here the same work
-runs as streaming queries over a landing folder: Spark stages the driver
-tables into the shared checkpoint folder as a sequence of files in
-event-time order (one file per arrival), and each query consumes them with
-``maxFilesPerTrigger=1`` and ``Trigger.AvailableNow``.  Sinks, checkpoints
-and table versions all live under ``spark.checkpoint.dir``, so a restarted
-query resumes where it stopped; upsert versions are keyed by batch id, so a
-replayed micro-batch rewrites the same version (idempotent).
+runs as streaming jobs over a landing folder.  A job (``Ingest``, ``Upsert``,
+``Daily``, ``Dedup``) lives in a named folder with its stream checkpoint and
+its table; ``run()`` takes all that landed since the last run
+(``Trigger.AvailableNow``) and ends, so any later process goes on by making
+the same job over the same folder.  Tables are ``KeyedTable``s merged by
+``foreachBatch`` with the batch id as version: a micro-batch writes the
+buckets it touches, and a replayed one changes nothing.
+
+The registered queries let the given tables arrive in ``CHUNKS`` parts in
+event-time order and run the job anew after each, in a fresh folder.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import columns as C
+from ..operators.upsert import KeyedTable
 from ..plans import sql as Q
 from ..plans.registry import register
 from ..session import shared_path
 from ..sources import tables as TB
 
-CHUNKS = 6   # arrival files staged per source
+CHUNKS = 6   # arrivals per source
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
     return shared_path(spark, f"stream/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stage_landing(df: DataFrame, order_col: str, path: str, chunks: int = CHUNKS) -> str:
-    """Write ``df`` as ``chunks`` files in ascending ``order_col`` ranges, one write per file,
-    so file arrival order follows event time (the file source reads oldest first)."""
+def arrivals(df: DataFrame, order_col: str, landing: str, chunks: int = CHUNKS) -> Iterator[int]:
+    """Let ``df`` arrive in ``landing`` in ascending ``order_col`` ranges; yields after each arrival.
+
+    Ranges are of equal width (the filter is pushed to the scan) and written by
+    as many tasks as the scan has; rows without a time come first.
+    """
     bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
-        df.limit(0).write.mode("overwrite").parquet(f"{path}/part=0")
-        return path
+        df.write.mode("append").parquet(landing)
+        yield 0
+        return
     span = (hi - lo) / chunks
     typ = dict(df.dtypes)[order_col]
 
@@ -48,66 +57,75 @@ def stage_landing(df: DataFrame, order_col: str, path: str, chunks: int = CHUNKS
     for i in range(chunks):
         cond = F.col(order_col) >= edge(i) if i > 0 else F.lit(True)
         if i < chunks - 1:
-            cond = cond & (F.col(order_col) < edge(i + 1))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    return path
+            below = F.col(order_col) < edge(i + 1)
+            cond = cond & (below if i > 0 else below | F.col(order_col).isNull())
+        df.filter(cond).write.mode("append").parquet(landing)
+        yield i
 
 
-def _stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+class Job:
+    """A streaming job in the folder ``base`` over the files of ``landing``."""
 
+    def __init__(self, spark: SparkSession, base: str, landing: str, schema):
+        self.spark, self.base, self.landing, self.schema = spark, base.rstrip("/"), landing, schema
+        self.progress: list[dict] = []
 
-def _events_landing(spark: SparkSession, sf_dir: str, base: str):
-    ev = TB.table(spark, sf_dir, "events")
-    path = stage_landing(ev, "ts", f"{base}/landing")
-    return _stream(spark, path, ev.schema), TB.table(spark, sf_dir, "nation")
+    def plan(self, source: DataFrame) -> DataStreamWriter:
+        raise NotImplementedError
 
+    def run(self) -> None:
+        """Take all that landed since the last run."""
+        source = self.spark.readStream.schema(self.schema).parquet(self.landing)
+        q = self.plan(source).option("checkpointLocation", f"{self.base}/ckpt").trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        self.progress += q.recentProgress
 
-def _notices_landing(spark: SparkSession, sf_dir: str, base: str):
-    n = TB.notices(spark, sf_dir)
-    path = stage_landing(n, "l_shipdate", f"{base}/landing")
-    return _stream(spark, path, n.schema)
+    def follow(self, df: DataFrame, order_col: str) -> None:
+        """Run after each arrival of ``df``."""
+        for _ in arrivals(df, order_col, self.landing):
+            self.run()
 
 
-def _await(q):
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+# --- X1 incremental ingest ---------------------------------------------------------
+class Ingest(Job):
+    """Events become departures; those that left or were cancelled are appended to ``out`` (each file once)."""
+
+    def __init__(self, spark, base, landing, schema, nation: DataFrame):
+        super().__init__(spark, base, landing, schema)
+        self.nation = nation
+
+    def plan(self, source):
+        dep = TB.status_filter(TB.departures_from(source, self.nation))
+        return dep.writeStream.format("parquet").option("path", f"{self.base}/out")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/out")
 
 
-# --- X1 incremental ingest ---------------------------------------------------------
 @register("stream_ingest", Q.q_raw("""
 SELECT row_id, status FROM departures_raw
 WHERE lower(status) LIKE 'departed%' OR lower(status) LIKE 'cancelled%'"""))
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files -> departures (stream-static broadcast join) -> S1 filter -> Parquet sink."""
-    base = _run_dir(spark, "ingest")
-    ev, nation = _events_landing(spark, sf_dir, base)
-    dep = TB.status_filter(TB.departures_from(ev, nation))
-    q = (dep.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    _await(q)
-    return spark.read.parquet(f"{base}/out").select("row_id", "status")
-
-
-def _version_before(spark: SparkSession, table: str, batch_id: float) -> int | None:
-    """Largest committed version below ``batch_id``, read from storage, so that a restarted query goes on from it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    found = [int(f.getPath().getName()[2:]) for f in fs.listStatus(path)
-             if fs.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
-    return max((v for v in found if v < batch_id), default=None)
+    ev, base = TB.table(spark, sf_dir, "events"), _run_dir(spark, "ingest")
+    job = Ingest(spark, base, f"{base}/landing", ev.schema, TB.table(spark, sf_dir, "nation"))
+    job.follow(ev, "ts")
+    return job.read().select("row_id", "status")
 
 
 # --- X2 streaming upsert ------------------------------------------------------------
-def _state(rows: DataFrame) -> DataFrame:
-    o = F.struct(*TB.NOTICE_ORDER)
-    return rows.groupBy(*TB.NOTICE_KEY).agg(
-        F.min_by(F.struct(*TB.NOTICE_FIRST), o).alias("_f"), F.min(o).alias("_fo"),
-        F.max_by(F.struct(*TB.NOTICE_UPDATED), o).alias("_u"), F.max(o).alias("_uo"))
+class Upsert(Job):
+    """Every micro-batch of notices is merged into the keyed table."""
+
+    def __init__(self, spark, base, landing, schema, buckets: int = 8):
+        super().__init__(spark, base, landing, schema)
+        self.table = KeyedTable(spark, f"{self.base}/table", TB.NOTICE_KEY, TB.NOTICE_ORDER, TB.NOTICE_FIRST,
+                                TB.NOTICE_UPDATED, buckets)
+
+    def plan(self, source):
+        return source.writeStream.foreachBatch(lambda batch, i: self.table.merge(batch, i))
 
 
 @register("stream_upsert", f"""
@@ -118,87 +136,106 @@ JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_lin
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1) l
 USING (l_orderkey, l_linenumber)""")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch is merged into the stored table (S8) by ``foreachBatch``.
+    """X2 over the notices, arriving by ship date."""
+    n, base = TB.notices(spark, sf_dir), _run_dir(spark, "upsert")
+    job = Upsert(spark, base, f"{base}/landing", n.schema)
+    job.follow(n, "l_shipdate")
+    return job.table.read_or_empty(n)
 
-    Version ``v=<batch_id>`` is written from version ``batch_id - 1`` plus the
-    batch, so replaying a batch after a failure rewrites the same version.
+
+# --- X3 daily tumbling trend with late data ----------------------------------------------
+class Daily(Job):
+    """Per event-time day: flights, cancellations, late departures (decomposable aggregates).
+
+    ``update`` mode with a watermark: a day's state goes once the latest event
+    time is ``watermark`` past its end, and rows that come later than that are
+    not counted.  A micro-batch's days replace their former values in the
+    keyed table, whose buckets are months.
     """
-    base = _run_dir(spark, "upsert")
-    src = _notices_landing(spark, sf_dir, base)
-    table = f"{base}/table"
-
-    def merge(batch: DataFrame, batch_id: int):
-        prev = _version_before(spark, table, batch_id)
-        cur = _state(batch)
-        if prev is not None:
-            cur = spark.read.parquet(f"{table}/v={prev:08d}").unionByName(cur)
-            cur = cur.groupBy(*TB.NOTICE_KEY).agg(F.min_by("_f", "_fo").alias("_f"), F.min("_fo").alias("_fo"),
-                                                  F.max_by("_u", "_uo").alias("_u"), F.max("_uo").alias("_uo"))
-        cur.write.mode("overwrite").parquet(f"{table}/v={batch_id:08d}")
-
-    q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/ckpt")
-         .trigger(availableNow=True).start())
-    _await(q)
-    last = _version_before(spark, table, math.inf)
-    out = spark.read.parquet(f"{table}/v={last:08d}") if last is not None else _state(TB.notices(spark, sf_dir))
-    return out.select(*TB.NOTICE_KEY, *[F.col(f"_f.{c}").alias(c) for c in TB.NOTICE_FIRST],
-                      *[F.col(f"_u.{c}").alias(c) for c in TB.NOTICE_UPDATED])
+
+    COLUMNS = ["flights", "cancelled", "late"]
+
+    def __init__(self, spark, base, landing, schema, nation: DataFrame, watermark: str = "7 days"):
+        super().__init__(spark, base, landing, schema)
+        self.nation, self.watermark = nation, watermark
+        self.table = KeyedTable(spark, f"{self.base}/table", ["day"], ["batch"], [], self.COLUMNS,
+                                bucket=F.year("day") * 12 + F.month("day"))
+
+    def plan(self, source):
+        dep = TB.status_filter(TB.departures_from(source, self.nation))
+        d = C.delay_raw("planned_ts", "actual_ts")
+        # Watermarks need an instant: the wall-clock time is read as UTC, and days are windows of that instant, so
+        # that the watermark closes them and late rows are dropped.
+        instant = F.from_utc_timestamp(F.col("planned_ts").cast("timestamp"), F.current_timezone())
+        agg = (dep.withColumn("_et", instant).withWatermark("_et", self.watermark)
+               .groupBy(F.window("_et", "1 day").alias("w"))
+               .agg(F.count(F.lit(1)).alias("flights"),
+                    F.count_if(F.col("status") == "Cancelled").alias("cancelled"),
+                    F.count_if(d > 15).alias("late")))
+        day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
+        return agg.writeStream.outputMode("update").foreachBatch(
+            lambda batch, i: self.table.merge(batch.select(day.alias("day"), F.lit(i).alias("batch"), *self.COLUMNS), i))
+
+    def read(self) -> DataFrame:
+        found = self.table.read()
+        return self.spark.createDataFrame([], "day date, flights long, cancelled long, late long") if found is None else found
 
 
-# --- X3 daily tumbling trend with late data ----------------------------------------------
 @register("stream_daily", Q.q_raw("""
 SELECT CAST(planned_ts AS DATE) AS day, count(*) AS flights, CAST(sum(CASE WHEN status = 'Cancelled' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled,
        CAST(sum(CASE WHEN date_diff('second', planned_ts, actual_ts) / 60.0 > 15 THEN 1 ELSE 0 END) AS BIGINT) AS late
 FROM departures GROUP BY 1"""))
-def stream_daily(spark: SparkSession, sf_dir: str, watermark: str = "7 days") -> DataFrame:
-    """Per event-time day: flights, cancellations, late departures (decomposable aggregates).
+def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 over the departures, arriving by time."""
+    ev, base = TB.table(spark, sf_dir, "events"), _run_dir(spark, "daily")
+    job = Daily(spark, base, f"{base}/landing", ev.schema, TB.table(spark, sf_dir, "nation"))
+    job.follow(ev, "ts")
+    return job.read()
 
-    ``update`` mode with a watermark: rows more than ``watermark`` behind the
-    latest event time are dropped as too late; each micro-batch's updated
-    windows replace their previous values in the result table.
+
+# --- X4 streaming dedup --------------------------------------------------------------------
+class Dedup(Job):
+    """One row per notice key, the last one (``keep="last"``) or the first.
+
+    ``dropDuplicatesWithinWatermark`` would need state for ever to know a key
+    that comes again after years.  Here the state is the keyed table: a
+    micro-batch looks only at the buckets of its own keys, executors hold no
+    state between batches, and rows may come as late as they like.
     """
-    base = _run_dir(spark, "daily")
-    ev, nation = _events_landing(spark, sf_dir, base)
-    dep = TB.status_filter(TB.departures_from(ev, nation))
-    d = C.delay_raw("planned_ts", "actual_ts")
-    # Watermarks need an instant: the wall-clock time is read as UTC, and days are windows of that instant, so that
-    # the watermark closes them and late rows are dropped.
-    instant = F.from_utc_timestamp(F.col("planned_ts").cast("timestamp"), F.current_timezone())
-    agg = (dep.withColumn("_et", instant).withWatermark("_et", watermark)
-           .groupBy(F.window("_et", "1 day").alias("w"))
-           .agg(F.count(F.lit(1)).alias("flights"),
-                F.count_if(F.col("status") == "Cancelled").alias("cancelled"),
-                F.count_if(d > 15).alias("late")))
-    table = f"{base}/table"
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
-
-    def merge(batch: DataFrame, batch_id: int):
-        cur = batch.select(day.alias("day"), "flights", "cancelled", "late")
-        prev = _version_before(spark, table, batch_id)
-        if prev is not None:
-            old = spark.read.parquet(f"{table}/v={prev:08d}")
-            cur = old.join(cur.select("day"), "day", "left_anti").unionByName(cur)
-        cur.write.mode("overwrite").parquet(f"{table}/v={batch_id:08d}")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(merge)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    _await(q)
-    last = _version_before(spark, table, math.inf)
-    if last is None:   # no landing file, so no day
-        return spark.createDataFrame([], "day date, flights long, cancelled long, late long")
-    return spark.read.parquet(f"{table}/v={last:08d}")
+
+    def __init__(self, spark, base, landing, schema, keep: str = "last", buckets: int = 8):
+        super().__init__(spark, base, landing, schema)
+        if keep not in ("first", "last"):
+            raise ValueError(f"keep is 'first' or 'last', not {keep!r}")
+        rest = [f.name for f in schema.fields if f.name not in TB.NOTICE_KEY]
+        self.table = KeyedTable(spark, f"{self.base}/table", TB.NOTICE_KEY, TB.NOTICE_ORDER,
+                                rest if keep == "first" else [], rest if keep == "last" else [], buckets)
+
+    def plan(self, source):
+        return source.writeStream.foreachBatch(lambda batch, i: self.table.merge(batch, i))
+
+
+def _dedup(spark: SparkSession, sf_dir: str, keep: str) -> DataFrame:
+    n, base = TB.notices(spark, sf_dir), _run_dir(spark, "dedup")
+    job = Dedup(spark, base, f"{base}/landing", n.schema, keep)
+    job.follow(n, "l_shipdate")
+    return job.table.read_or_empty(n).select(*n.columns)
+
+
+def _dedup_sql(direction: str) -> str:
+    order = ", ".join(f"{c} {direction}" for c in TB.NOTICE_ORDER)
+    cols = ", ".join(dict.fromkeys(TB.NOTICE_KEY + TB.NOTICE_ORDER + TB.NOTICE_FIRST + TB.NOTICE_UPDATED))
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(TB.NOTICE_KEY)} "
+            f"ORDER BY {order}) AS rn FROM lineitem) WHERE rn = 1")
+
+
+@register("stream_dedup_last", _dedup_sql("DESC"))
+def stream_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 keeping the last notice of a key, as ``drop_duplicates(keep="last")`` does."""
+    return _dedup(spark, sf_dir, "last")
 
 
-# --- X4 streaming dedup --------------------------------------------------------------------
 @register("stream_dedup", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
-def stream_dedup(spark: SparkSession, sf_dir: str, watermark: str = "3650 days") -> DataFrame:
-    """``dropDuplicatesWithinWatermark`` on the notice key — keeps the first arrival
-    (the "keep last" form is the upsert, X2)."""
-    base = _run_dir(spark, "dedup")
-    src = _notices_landing(spark, sf_dir, base)
-    d = (src.withColumn("_et", F.col("l_shipdate").cast("timestamp")).withWatermark("_et", watermark)
-         .dropDuplicatesWithinWatermark(TB.NOTICE_KEY))
-    q = (d.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    _await(q)
-    return spark.read.parquet(f"{base}/out").select(*TB.NOTICE_KEY)
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 keeping the first notice of a key: the keys."""
+    return _dedup(spark, sf_dir, "first").select(*TB.NOTICE_KEY)
