@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GATHER = 1 << 16      # rows sorted in one buffer at the end
+GATHER = 1 << 18      # rows sorted in one buffer (a few MB) at the end
 ACCURACY = 10_000     # of the sketch: rank error of one row in this many
 
 
@@ -43,10 +43,10 @@ class _Bracket:
     def rows(self) -> Column:
         return F.when(self.x.between(F.lit(self.lo), F.lit(self.hi)), self.x)
 
-    def quantiles(self, accuracy: int) -> Column:
-        at = (self.rank - self.below + 0.5) / self.inside
-        off = 1.5 / accuracy
-        return F.percentile_approx(self.rows(), F.array(F.lit(max(0.0, at - off)), F.lit(min(1.0, at + off))), accuracy)
+    def around(self, accuracy: int) -> tuple[float, float]:
+        """Shares of the bracket's rows a little below and above the rank."""
+        at, off = (self.rank - self.below + 0.5) / self.inside, 1.5 / accuracy
+        return max(0.0, at - off), min(1.0, at + off)
 
     def narrow(self, a: float, b: float, n: Sequence[int]) -> None:
         """``n``: rows of the bracket below ``a``, up to ``a``, below ``b``, up to ``b``."""
@@ -64,23 +64,40 @@ class _Bracket:
             self.lo, self.below, self.inside = math.nextafter(b, math.inf), self.below + n[3], self.inside - n[3]
 
 
+def _alike(brackets: Sequence[_Bracket]) -> list[list[_Bracket]]:
+    """Brackets over the same rows, which share a buffer."""
+    found: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        found.setdefault((id(b.x), b.lo, b.hi), []).append(b)
+    return list(found.values())
+
+
 def _solve(df: DataFrame, brackets: Sequence[_Bracket], gather: int, accuracy: int) -> None:
     todo = [b for b in brackets if b.value is None]
     while todo:
-        last = [b for b in todo if b.inside <= gather]
-        wide = [b for b in todo if b.inside > gather]
-        got = df.agg(*[F.element_at(F.sort_array(F.collect_list(b.rows())), F.lit(b.rank - b.below + 1)) for b in last],
-                     *[b.quantiles(accuracy) for b in wide]).first()
-        for b, v in zip(last, got):
-            b.value = float(v)
-        pairs = [(float(q[0]), float(q[1])) for q in got[len(last):]]
-        if wide:
-            x = [b.rows() for b in wide]
-            n = df.agg(*[F.count_if(c) for x, (lo, hi) in zip(x, pairs)
+        last = _alike([b for b in todo if b.inside <= gather])
+        wide = _alike([b for b in todo if b.inside > gather])
+
+        def sorted_at(group):
+            rows = F.sort_array(F.collect_list(group[0].rows()))
+            return F.transform(F.array(*[F.lit(b.rank - b.below + 1) for b in group]), lambda i: F.element_at(rows, i))
+
+        def sketched(group):
+            return F.percentile_approx(group[0].rows(), F.array(*[F.lit(q) for b in group for q in b.around(accuracy)]), accuracy)
+
+        got = df.agg(*map(sorted_at, last), *map(sketched, wide)).first()
+        for group, values in zip(last, got):
+            for b, v in zip(group, values):
+                b.value = float(v)
+        todo = [b for group in wide for b in group]
+        if todo:
+            ends = [float(v) for values in got[len(last):] for v in values]
+            pairs = list(zip(ends[::2], ends[1::2]))
+            n = df.agg(*[F.count_if(c) for b, (lo, hi) in zip(todo, pairs) for x in [b.rows()]
                          for c in (x < F.lit(lo), x <= F.lit(lo), x < F.lit(hi), x <= F.lit(hi))]).first()
-            for i, (b, (lo, hi)) in enumerate(zip(wide, pairs)):
+            for i, (b, (lo, hi)) in enumerate(zip(todo, pairs)):
                 b.narrow(lo, hi, n[4 * i:4 * i + 4])
-        todo = [b for b in wide if b.value is None]
+        todo = [b for b in todo if b.value is None]
 
 
 def quantiles(df: DataFrame, columns: Mapping[str, tuple[Column | str, Sequence[float]]], gather: int = GATHER,
@@ -141,8 +158,10 @@ def from_rank(df: DataFrame, order: Sequence[str], rank: int, gather: int = GATH
     ``order`` should end in a key.  ``rank`` must lie in the table.
     """
     parts = [p for c in order for p in order_parts(df, c)]
+    first = df.agg(F.count(F.lit(1)), *[f(p) for p in parts for f in (F.min, F.max)]).first()
+    inside = first[0]
+    parts = [p for i, p in enumerate(parts) if first[2 * i + 1] != first[2 * i + 2]]   # one value decides nothing
     rest, after, tied = df, F.lit(False), F.lit(True)
-    inside = df.count()
     for i, p in enumerate(parts):
         b = _Bracket(p, rank, inside)
         _solve(rest, [b], gather, accuracy)
@@ -152,6 +171,8 @@ def from_rank(df: DataFrame, order: Sequence[str], rank: int, gather: int = GATH
             less, inside = rest.agg(F.count_if(p < cut), F.count_if(p == cut)).first()
             rank -= less
             rest = rest.filter(p == cut)
+            if inside == 1:
+                break
     return after | tied
 
 

@@ -11,6 +11,7 @@ from ..session import shared_path
 from ..sources import pages as PG
 from ..sources import runlogs as RL
 from ..sources import tables as TB
+from . import sql as Q
 from .experiments_q import _q, fold_scores_df
 from .registry import register
 from .views import R
@@ -26,10 +27,17 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PG.page_links(TB.table(spark, sf_dir, "pages"))
 
 
-@register("page_board_rows")
+@register("page_board_rows", Q.q_raw("""
+SELECT flight_date, flight_no, carrier, route, planned_ts, status,
+       CASE WHEN a < planned_ts - INTERVAL 12 HOUR THEN a + INTERVAL 1 DAY ELSE a END AS actual_ts
+FROM (SELECT *, CASE WHEN status LIKE 'Departed%' THEN CAST(flight_date AS TIMESTAMP)
+                + to_minutes(CAST(substr(status, 10, 2) AS BIGINT) * 60 + CAST(substr(status, 13, 2) AS BIGINT)) END AS a
+      FROM departures_raw)"""))
 def page_board_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 board mode over the pages table (rows whose dated divider / table exist)."""
-    return PG.extract_departures(TB.table(spark, sf_dir, "pages"), "01/01/2024", "2024-01-01")
+    """S4 board mode, F3: all departures rendered as board pages, written, and read back from their dated sections."""
+    path = shared_path(spark, f"pages/{uuid.uuid4().hex[:12]}")
+    PG.board_pages(TB.departures_raw(spark, sf_dir)).write.parquet(path)
+    return PG.extract_departures(spark.read.parquet(path)).drop("page_id", "pos")
 
 
 def _logs(spark: SparkSession, sf_dir: str):

@@ -25,12 +25,28 @@ PAGE = """<html><body>
 
 def test_board_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE)], "page_id long, url string, html string")
-    rows = PG.extract_departures(pages, "26/04/2026", "2026-04-26").orderBy("flight_no").collect()
+    rows = PG.extract_departures(pages, date="2026-04-26").orderBy("flight_no").collect()
     assert [r["flight_no"] for r in rows] == ["AF 100", "LH 1623"]
     lh = rows[1]
     assert lh["carrier"] == "LH" and lh["route"] == "MUNICH (MUC)"
     assert str(lh["actual_ts"]) == "2026-04-27 01:05:00"      # midnight guard
     assert rows[0]["actual_ts"] is None
+    assert [str(r["flight_date"]) for r in PG.extract_departures(pages).orderBy("pos").collect()] == \
+        ["2026-04-25", "2026-04-26", "2026-04-26"]
+
+
+def test_board_sections_of_odd_markup():
+    """Sections without a date or table, tables without a divider, tables in cells, open rows and cells, other words."""
+    d = '<p class="x day">{}</p>'
+    row = "<tr><td>09:0{0}</td><td>A &amp; B<td>AA {0}</td><td>Gone</td>"
+    board = PG.Board("day", "Nichts", "Flugnummer", "gestartet", r"(\d\d)\.(\d\d)\.(\d{4})")
+    html = (f"<table>{row.format(0)}</table>" + d.format("no date") + f"<table>{row.format(1)}</table>" + d.format("Mo 01.02.2026")
+            + d.format("Di 02.02.2026") + f"<p>text</p><table>{row.format(2)}{row.format(3)}</table><table>{row.format(4)}</table>"
+            + d.format("Mi 03.02.2026") + "<table><tr><td>10:00</td><td>B<table><tr><td>in</td></tr></table></td><td>BB 5</td><td>s</td></tr>"
+            + "<tr><td>11:00</td><td></td><td>Flugnummer</td><td></td></tr><tr><td>Nichts</td><td></td><td>x</td><td></td></tr>")
+    assert PG.parse_board(html, board) == [("2026-02-02", "09:02", "A & B", "AA 2", "Gone"), ("2026-02-02", "09:03", "A & B", "AA 3", "Gone"),
+                                           ("2026-02-03", "10:00", "Bin", "BB 5", "s")]
+    assert PG.parse_board(None) == PG.parse_board("") == []
 
 
 def test_run_logs_multiline_and_tolerant(spark):
