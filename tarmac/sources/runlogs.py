@@ -3,16 +3,20 @@
 A run log is one nested document per configuration: dataset facts, a map
 of model -> per-fold scores and summary, and the winner.  Documents are
 written partitioned by threshold (S7), read back with an explicit schema
-(S5: strict FAILFAST or tolerant DROPMALFORMED), and their file names are
+(S5: strict, or tolerant with a table of rejects), and their file names are
 parsed for run attributes (S10).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..session import shared_path
 
 
 def build_documents(scores: DataFrame, config: list[str], row_counts: DataFrame | None = None) -> DataFrame:
@@ -55,18 +59,34 @@ def write_run_logs(docs: DataFrame, path: str, partition_by: list[str] | None =
     w.json(path)
 
 
-def read_run_logs(spark: SparkSession, path: str, strict: bool = True, multiline: bool = False) -> DataFrame:
-    """Read every log document with the explicit schema.
+def read_run_logs(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """S5, strict: every log document with the explicit schema; a malformed one is an error (FAILFAST).
 
-    ``strict`` fails on a malformed document (FAILFAST); otherwise malformed
-    ones are dropped (DROPMALFORMED).  ``multiline`` reads pretty-printed
-    one-document-per-file logs.
+    ``multiline`` reads pretty-printed one-document-per-file logs.
     """
-    r = (spark.read.schema(S.RUN_LOG).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
-         .option("multiLine", multiline).json(path))
+    r = spark.read.schema(S.RUN_LOG).option("mode", "FAILFAST").option("multiLine", multiline).json(path)
     return r.withColumn("file_path", F.col("_metadata.file_path"))
 
 
+def read_run_logs_tolerant(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S5, tolerant: (documents, rejects).  Rejects (file_path, reason, text) are documents that don't parse
+    (``unreadable``, with their text) and those without a model's scores (``no models``).
+
+    The documents are parsed once, into a table under the checkpoint folder
+    that both are read from.
+    """
+    s = T.StructType([*S.RUN_LOG.fields, T.StructField("_text", T.StringType())])
+    parsed = (spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_text")
+              .option("multiLine", multiline).json(path).withColumn("file_path", F.col("_metadata.file_path")))
+    out = shared_path(spark, f"parsed/runlogs-{uuid.uuid4().hex[:12]}")
+    parsed.write.parquet(out)
+    rows = spark.read.parquet(out).withColumn(
+        "reason", F.when(F.col("_text").isNotNull(), F.lit("unreadable"))
+                   .when(F.coalesce(F.size("models"), F.lit(0)) <= 0, F.lit("no models")))
+    return (rows.filter(F.col("reason").isNull()).drop("reason", "_text"),
+            rows.filter(F.col("reason").isNotNull()).select("file_path", "reason", F.col("_text").alias("text")))
+
+
 def model_rows(logs: DataFrame) -> DataFrame:
     """Flatten ``models`` (map of struct) into one row per (document, model)."""
     e = logs.select("source_file", "dataset", "file_path", F.explode("models").alias("model", "m"))

@@ -8,6 +8,8 @@ Parquet scan (``ReadSchema`` / ``PushedFilters`` in ``explain``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,18 +146,22 @@ def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> Dat
     return spark.read.schema(schema).option("header", header).csv(path)
 
 
-def read_csv_tolerant(spark: SparkSession, path: str, schema, header: bool = True):
-    """S3: PERMISSIVE read; returns (good_rows, bad_rows) with the raw text of bad lines."""
+def read_csv_tolerant(spark: SparkSession, path: str, schema, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S3: (good rows, rejects): a line that doesn't fit ``schema`` goes to the rejects (file_path, line).
+
+    The lines are parsed once, into a table under the checkpoint folder that
+    both are read from.  ``schema`` must not have a column ``_line`` or ``_file``.
+    """
     from pyspark.sql import types as T
-    s = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.schema(s).option("header", header).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    # Spark forbids queries that only touch the corrupt column of a raw CSV
-    # read; cache the parsed rows once and split.
-    df = df.cache()
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
-    return good, bad
+    from ..session import shared_path
+    s = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
+    parsed = (spark.read.schema(s).option("header", header).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_line").csv(path).withColumn("_file", F.col("_metadata.file_path")))
+    out = shared_path(spark, f"parsed/csv-{uuid.uuid4().hex[:12]}")
+    parsed.write.parquet(out)
+    rows = spark.read.parquet(out)
+    return (rows.filter(F.col("_line").isNull()).drop("_line", "_file"),
+            rows.filter(F.col("_line").isNotNull()).select(F.col("_file").alias("file_path"), F.col("_line").alias("line")))
 
 
 def load_dimension(dim: DataFrame, max_rows: int = 1_000_000) -> DataFrame:

@@ -3,6 +3,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from tarmac import schemas as S
@@ -62,9 +63,15 @@ def test_run_logs_multiline_and_tolerant(spark):
         json.dump(doc, f, indent=2)
     with open(os.path.join(d, "b.json"), "w") as f:
         f.write('{"source_file": "broken", "models": {')
-    good = RL.read_run_logs(spark, d, strict=False, multiline=True)
+    with open(os.path.join(d, "c.json"), "w") as f:
+        json.dump({"source_file": "early.csv", "models": {}}, f)
+    good, bad = RL.read_run_logs_tolerant(spark, d, multiline=True)
     m = RL.model_rows(good).collect()
     assert len(m) == 1 and m[0]["model"] == "forest" and m[0]["threshold"] == 15
+    rejects = {os.path.basename(r["file_path"]): (r["reason"], r["text"]) for r in bad.collect()}
+    assert rejects == {"b.json": ("unreadable", '{"source_file": "broken", "models": {'), "c.json": ("no models", None)}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        RL.read_run_logs(spark, d, multiline=True).collect()
 
 
 def test_csv_tolerant(spark):
@@ -74,4 +81,5 @@ def test_csv_tolerant(spark):
         f.write("a,b\n1,2\nx,3\n4,5\n")
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
     good, bad = TB.read_csv_tolerant(spark, p, schema)
-    assert good.count() == 2 and bad.count() == 1
+    assert [tuple(r) for r in good.orderBy("a").collect()] == [(1, 2), (4, 5)]
+    assert [(r["line"], r["file_path"].endswith("x.csv")) for r in bad.collect()] == [("x,3", True)]
