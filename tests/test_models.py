@@ -65,6 +65,39 @@ def test_models_do_not_depend_on_blocks(spark, xy, monkeypatch):
         assert s[:4] == t[:4] and math.isclose(s.alpha, t.alpha)
 
 
+def test_trees_grown_in_one_task_equal_those_grown_by_level(spark, xy, monkeypatch):
+    """Datasets of several blocks: whole trees per task give the trees and scores of one job per level."""
+    local = in_small_blocks(spark, xy)
+    monkeypatch.setattr(TR, "LOCAL_ROWS", 10)
+    level = in_small_blocks(spark, xy)
+    assert local.blocks.local and not level.blocks.local
+    fits = [*FITS, TR.Fit(0, 3, 70, 9, 1), TR.Fit(1, 3, 2, 1), TR.Fit(2, 3, 3, 30, 1)]
+    monkeypatch.setattr(TR, "PAIRS", 1000)
+    a, b = (TR.grow_forests(x.blocks, fits) for x in (local, level))
+    assert [[nested(t, r) for r in roots] for t, roots in a] == [[nested(t, r) for r in roots] for t, roots in b]
+    want = TR.forest_confusion(level.blocks, fits, b)
+    for x in (local, level):
+        assert {k: v.tolist() for k, v in TR.forest_counts(x.blocks, fits).items()} == {k: v.tolist() for k, v in want.items()}
+    spec = TR.Boosted(rounds=5, depth=4, positive_weight=2.4)
+    g1, g2 = (TR.grow_boosted(x.blocks, [0, 2], spec) for x in (local, level))
+    assert all(same(s, t) for k in (0, 2) for s, t in zip(g1[k], g2[k]))
+
+
+def test_search_and_boosting_need_few_jobs(spark, xy):
+    """A forest search and boosted trees of several blocks take a bounded number of jobs, not one a level and round."""
+    folds = in_small_blocks(spark, xy)
+    sc = spark.sparkContext
+    sc.setJobGroup("few", "few")
+    try:
+        folds.blocks
+        before = len(sc.statusTracker().getJobIdsForGroup("few"))
+        TR.forest_counts(folds.blocks, FITS)
+        TR.grow_boosted(folds.blocks, [0, 1, 2], TR.Boosted(rounds=10, depth=4))
+        assert len(sc.statusTracker().getJobIdsForGroup("few")) - before <= 4
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def arrays(folds, data, test):
     got = [b for b in folds.blocks.rdd.collect() if b.data == data and b.test == test]
     return (np.concatenate([b.key for b in got]), np.concatenate([b.y for b in got]), np.concatenate([b.bins for b in got]))
