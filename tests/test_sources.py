@@ -36,6 +36,29 @@ def test_board_rows(spark):
         ["2026-04-25", "2026-04-26", "2026-04-26"]
 
 
+def test_board_rows_leave_in_bounded_batches(spark, monkeypatch):
+    """Many pages in one Arrow batch: rows leave a task in batches of about OUT_ROWS, all of them and in page order."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(PG, "OUT_ROWS", 10)
+    pages = spark.range(500).coalesce(1).select(F.col("id").alias("page_id"), F.lit(PAGE).alias("html"))
+    sizes = []
+
+    class Frame:   # keeps the function that runs over a task's batches
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, f, schema):
+            got = list(f(iter(pages.toArrow().to_batches())))
+            sizes.extend(b.num_rows for b in got)
+            return got
+
+    got = PG.board_rows(Frame())
+    assert sum(sizes) == 1500 and max(sizes) <= 12
+    assert got[0].schema.names == ["page_id", "pos", "date", "planned", "route", "flight_no", "status"]
+    found = PG.board_rows(pages)
+    assert found.count() == 1500 and found.distinct().count() == 1500
+
+
 def test_board_sections_of_odd_markup():
     """Sections without a date or table, tables without a divider, tables in cells, open rows and cells, other words."""
     d = '<p class="x day">{}</p>'
