@@ -22,7 +22,6 @@
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import html
 import re
@@ -47,8 +46,10 @@ FROM_UNMATCHED = 3
 MARKED_PAGES, MARKED_CONSTANT, NEAR_COPY = 8, 0.9, 0.5
 #: elements nested more deeply belong to their ancestor of that depth, as in browsers
 DEEPEST = 200
-#: lists of children with more pairs than this are matched greedily in order
+#: cells of a table of two lists of children that are held at once; longer lists are matched by parts of it, as exactly
 MOST_PAIRS = 1 << 23
+#: sizes of matchings that are remembered at once
+MOST_SIZES = 1 << 20
 #: a slot outside a marked article is a list of links if this part of its characters is link text over all pages
 LINKS = 0.6
 
@@ -193,7 +194,11 @@ class Shapes:
             return 0
         key = (a.shape, b.shape)
         if key not in self.sizes:
-            self.sizes[key] = 1 + self.matched(a.kids, b.kids, False)[0]
+            size = 1 + self.matched(a.kids, b.kids, False)[0]
+            if len(self.sizes) >= MOST_SIZES:
+                self.sizes.clear()
+            self.sizes[key] = size
+            return size
         return self.sizes[key]
 
     def matched(self, x: list, y: list, pairs: bool = True) -> tuple[int, list[tuple[int, int]]]:
@@ -212,41 +217,58 @@ class Shapes:
         x, y = x[lo:n], y[lo:m]
         if not x or not y:
             return total, out
-        if len(x) * len(y) > MOST_PAIRS:
-            j = 0
-            where: dict = {}
-            for i, q in enumerate(y):
-                where.setdefault(q.label, []).append(i)
-            for i, p in enumerate(x):
-                later = where.get(p.label, ())
-                k = bisect.bisect_left(later, j)
-                if k < len(later):
-                    total, j = total + self.size(p, y[later[k]]), later[k] + 1
-                    out.append((lo + i, lo + later[k]))
-            return total, out
         kinds, at = np.unique([q.shape for q in y], return_inverse=True)
         one = {q.shape: q for q in y}
-        rows, weights = [np.zeros(len(y) + 1, dtype=np.int32)], {}
-        for p in x:
+        labels: dict = {}
+        for i, k in enumerate(kinds.tolist()):
+            labels.setdefault(one[k].label, []).append(i)
+        weights: dict = {}
+
+        def below(row: np.ndarray, p: Node) -> np.ndarray:
+            """The table's row of p under the given one, as wide as that."""
             if p.shape not in weights:
-                weights[p.shape] = np.array([self.size(p, one[k]) for k in kinds.tolist()], dtype=np.int32)[at]
-            row = np.zeros(len(y) + 1, dtype=np.int32)
-            np.maximum.accumulate(np.maximum(rows[-1][1:], rows[-1][:-1] + weights[p.shape]), out=row[1:])
-            if pairs:
-                rows.append(row)
-            else:
-                rows = [row]
-        total += int(rows[-1][-1])
-        i, j = len(x), len(y)
-        while pairs and i and j:
-            if rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            elif rows[i][j] == rows[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                out.append((lo + i, lo + j))
-        return total, out
+                if len(weights) * len(kinds) > MOST_PAIRS:
+                    weights.clear()
+                w = np.zeros(len(kinds), dtype=np.int32)
+                for i in labels.get(p.label, ()):
+                    w[i] = self.size(p, one[int(kinds[i])])
+                weights[p.shape] = w
+            out = np.zeros(len(row), dtype=np.int32)
+            np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights[p.shape][at[:len(row) - 1]]), out=out[1:])
+            return out
+
+        def trace(first: int, last: int, row: np.ndarray, j: int) -> int:
+            """Pairs of x[first:last], whose table lies under ``row``, on the path up from column j; where it gets out.
+
+            A table of more than ``MOST_PAIRS`` cells is halved: the same path, half of its rows in memory at a time.
+            """
+            row, i = row[:j + 1], last - first
+            if i > 1 and i * j > MOST_PAIRS:
+                middle, there = (first + last) // 2, row
+                for p in x[first:middle]:
+                    there = below(there, p)
+                j = trace(middle, last, there, j)
+                return trace(first, middle, row, j) if j else 0
+            rows = [row]
+            for p in x[first:last]:
+                rows.append(below(rows[-1], p))
+            while i and j:
+                if rows[i][j] == rows[i - 1][j]:
+                    i -= 1
+                elif rows[i][j] == rows[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    found.append((first + i, j))
+            return j
+
+        row, found = np.zeros(len(y) + 1, dtype=np.int32), []
+        if pairs:
+            trace(0, len(x), row, len(y))
+            return total + sum(self.size(x[i], y[j]) for i, j in found), out + [(lo + i, lo + j) for i, j in found]
+        for p in x:
+            row = below(row, p)
+        return total + int(row[-1]), out
 
 
 def trimmed(node: Node, shapes: Shapes) -> Node:
@@ -395,10 +417,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     the host of no name.  Repeated rows are pages like any other.  Pages with
     the reference page's very text, or with half of its article, show nothing
     about template and content, so they don't count there.  Elements nested more
-    than ``DEEPEST`` deep belong to their ancestor of that depth; lists of
-    children with more than ``MOST_PAIRS`` pairs are matched greedily, so that a
-    long page takes time in proportion to its length.  Other columns are
-    ignored; an empty table gives an empty result.
+    than ``DEEPEST`` deep belong to their ancestor of that depth.  Lists of
+    children of any length are matched in the same way: memory is bounded, time
+    grows with the product of their lengths.  Other columns are ignored; an
+    empty table gives an empty result.
     """
     scratch = Scratch(pages.sparkSession, "pages")
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))

@@ -95,3 +95,40 @@ def test_matching_is_largest():
 
         walk(a)
         assert len(got) == brute(a, b) and sorted(set(got)) == got   # every match once, in page order
+
+
+def test_long_lists_match_like_short_ones(monkeypatch):
+    def pairs_of(seed):
+        rng, shapes = random.Random(seed), H.Shapes()
+        def kids(n):
+            return [named(tree(rng, 2), shapes) for _ in range(n)]
+        return shapes.matched(kids(rng.randrange(2, 40)), kids(rng.randrange(2, 40)))
+
+    want = [pairs_of(k) for k in range(60)]
+    for most in (1, 7, 50):
+        monkeypatch.setattr(H, "MOST_PAIRS", most)
+        monkeypatch.setattr(H, "MOST_SIZES", most)
+        assert [pairs_of(k) for k in range(60)] == want
+
+
+def test_lists_beyond_the_table_are_matched_best():
+    shapes = H.Shapes()
+
+    def leaf(tag):
+        n = H.Node(tag)
+        n.label = (tag,)
+        return shapes.name(n)
+
+    n = 3_000   # n * n pairs are more than MOST_PAIRS
+    a, c = leaf("a"), leaf("c")
+    total, found = shapes.matched([c] + [a] * n, [a] * n + [c])
+    assert total == n and sorted(found) == [(i + 1, i) for i in range(n)]
+
+
+def test_few_and_many_hosts_give_the_same(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 3}.example/{i}", f"<div><p>Site {i % 3}</p></div><div><h1>Story {i}</h1><p>What happened {i}.</p></div>")
+            for i in range(12)]
+    want = texts(spark, rows)
+    assert want[5] == "Story 5\n\nWhat happened 5."
+    monkeypatch.setattr(H, "SMALL_HOSTS", 0)
+    assert texts(spark, rows) == want
