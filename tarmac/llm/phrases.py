@@ -12,9 +12,9 @@ level by level, and a level reads the texts once:
    bits let more phrases through, never fewer.
 3. The candidates, met once more in the texts, are built into double-array tries
    (one per shard of some 2^18 candidates, in parallel) and broadcast, if all of
-   them together stay below ``TRIE_BYTES``.  Numpy advances the states of all
-   text positions at once, one word per level, and counts accepting states by
-   ``bincount``; shards and tasks are summed.
+   them together stay below ``TRIE_BYTES``.  A word is two steps by the digits of
+   its code, which leaves few places empty.  Numpy advances the states of all text
+   positions at once and counts accepting states; slices and shards are summed.
 
 Beyond ``TRIE_BYTES`` the candidates' occurrences are summed by a shuffle on
 the phrase instead.  Counts, and so results, are the same.
@@ -203,19 +203,30 @@ def _buckets(seed: int, mask: np.uint64, word_bits, pair_bits=None):
     return run
 
 
-def _candidates(seed: int, mask: np.uint64, pair_bits, triple_bits):
-    """Pairs and triples in buckets that passed, with their bucket and the bucket of their first pair."""
+def _candidates(seed: int, pair_bits, triple_bits):
+    """Pairs and triples in buckets that passed; a slice names each once."""
     def run(batches):
         p, t = pair_bits.value, triple_bits.value
         for s1, s2, s3 in windows(batches, seed):
             pair, triple = _alive(None, p, s1, s2, s3)
-            key2, key3 = pair_key(s1, s2), triple_key(s1, s2, s3)
+            key3 = triple_key(s1, s2, s3)
             triple &= among(t, key3)
-            for some, key, third in ((pair, key2, np.zeros_like(s3)), (triple, key3, s3)):
-                k, first = np.unique(key[some], return_index=True)
+            for some, key, third in ((pair, pair_key(s1, s2), np.zeros_like(s3)), (triple, key3, s3)):
+                _, first = np.unique(key[some], return_index=True)
                 at = np.flatnonzero(some)[first]
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (k & mask, key2[at], s1[at], s2[at], third[at])],
-                                                 ["k", "k2", "s1", "s2", "s3"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[at].view(np.int64)) for x in (s1, s2, third)], ["s1", "s2", "s3"])
+    return run
+
+
+def _keyed(mask: np.uint64):
+    """Candidates with their bucket and the key of their first pair, which need not travel with them before."""
+    def run(batches):
+        for batch in batches:
+            s1, s2, s3 = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("s1", "s2", "s3"))
+            k2 = pair_key(s1, s2)
+            k = np.where(s3 == 0, k2, triple_key(s1, s2, s3)) & mask
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (k, k2, s1, s2, s3)],
+                                             ["k", "k2", "s1", "s2", "s3"])
     return run
 
 
@@ -274,36 +285,46 @@ class _Slots:
 _LEAF = -(1 << 30)
 
 
+def _radix(top: int) -> int:
+    """A code up to ``top`` takes two steps, by its two digits: a node has few codes near each other, and places fill up."""
+    return math.isqrt(top) + 1
+
+
 def double_array(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(base, check, state of each phrase) of phrases of codes from 1 on; c3 is 0 for phrases of two words.
 
-    From state s the code c leads to base[s] + c if check of that place is s.  State 0 is the root, its base 0.
+    From state s the digit c (from 1 on) leads to base[s] + c if check of that place is s.  State 0 is the root, its base 0.
     """
-    top = int(max(c1.max(), c2.max(), c3.max())) + 1
-    slots = _Slots(2 * len(c1) + 2 * top + 16)
-    slots.check[0] = 0
-    slots.check[np.unique(c1)] = 0   # the root's children stand at their codes
-    slots.top = int(c1.max())
+    n, radix = len(c1), _radix(int(max(c1.max(), c2.max(), c3.max())))
     order = np.lexsort((c3, c2, c1))
-    a, b, c = c1[order], c2[order], c3[order]
-    second = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-    heads = np.flatnonzero(np.concatenate(([True], a[second][1:] != a[second][:-1])))
-    ends = np.append(heads[1:], len(second))
-    node1 = a[second[heads]]
-    base1 = slots.place_all(node1, heads, ends, b[second])
-    state2 = np.repeat(base1, ends - heads) + b[second]
-    stop = np.append(second[1:], len(a))
-    state = np.repeat(state2, stop - second)
-    third = second + (c[second] == 0)
-    more = third < stop
-    base2 = slots.place_all(state2[more], third[more], stop[more], c)
-    long = c != 0
-    state[long] = np.repeat(base2, (stop - third)[more]) + c[long]
+    slots = _Slots(2 * n + radix + 16)
+    slots.check[0] = 0
+    state, prefix = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)   # of each phrase's digits so far
+    nodes, bases = [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
+    rows = np.arange(n)
+    for depth in range(6):
+        code = (c1, c2, c3)[depth // 2][order]
+        rows = np.flatnonzero(code) if depth == 4 else rows
+        if not len(rows):
+            break
+        digit = (code[rows] % radix if depth % 2 else code[rows] // radix) + 1
+        parent = np.concatenate(([True], prefix[rows][1:] != prefix[rows][:-1]))
+        child = parent | np.concatenate(([True], digit[1:] != digit[:-1]))
+        at = np.flatnonzero(child)
+        heads = np.flatnonzero(parent[at])
+        ends = np.append(heads[1:], len(at))
+        if depth:
+            nodes.append(state[rows[at[heads]]])
+            bases.append(slots.place_all(nodes[-1], heads, ends, digit[at]))
+        else:   # the root's children stand at their digits
+            slots.check[digit[at]] = 0
+            slots.top = int(digit[at[-1]])
+        prefix[rows] = np.cumsum(child)
+        state[rows] = (np.repeat(bases[-1], ends - heads) + digit[at])[prefix[rows] - 1]
     used = int(np.flatnonzero(slots.check >= 0)[-1]) + 1
     base = np.full(used, _LEAF, dtype=np.int32)
-    base[0] = 0
-    base[node1], base[state2[more]] = base1, base2
-    out = np.empty(len(c1), dtype=np.int64)
+    base[np.concatenate(nodes)] = np.concatenate(bases)
+    out = np.empty(n, dtype=np.int64)
     out[order] = state
     return base, slots.check[:used], out
 
@@ -328,46 +349,53 @@ def step(base: np.ndarray, check: np.ndarray, state: np.ndarray, code: np.ndarra
     return np.where(ok & (check[to] == state), to, -1)
 
 
-def advance(trie, s1, s2, s3) -> np.ndarray:
-    """How often each state is reached as a pair or a triple; all positions take a level at once."""
+def reached(trie, s1, s2, s3) -> np.ndarray:
+    """The states that are reached as a pair or a triple, as often as they are; all positions take a level at once."""
     symbols, base, check = trie
+    radix = _radix(len(symbols))
 
-    def codes(s):
+    def word(state, s):
+        """States after a word, of those positions that get there."""
         at = np.minimum(np.searchsorted(symbols, s), len(symbols) - 1)
-        return np.where(symbols[at] == s, at + 1, 0)
+        code = np.where(symbols[at] == s, at + 1, 0)
+        state = step(base, check, state, np.where(code > 0, code // radix + 1, 0))
+        live = np.flatnonzero(state >= 0)
+        state = step(base, check, state[live], code[live] % radix + 1)
+        return state[state >= 0], live[state >= 0]
 
-    state = step(base, check, np.zeros(len(s1), dtype=np.int64), codes(s1))
-    live = state >= 0
-    state = step(base, check, state[live], codes(s2[live]))
-    counts = np.bincount(state[state >= 0], minlength=len(check))
-    s3 = s3[live][state >= 0]
-    more = s3 != 0
-    state = step(base, check, state[state >= 0][more], codes(s3[more]))
-    return counts + np.bincount(state[state >= 0], minlength=len(check))
+    state, at = word(np.zeros(len(s1), dtype=np.int64), s1)
+    pairs, pair = word(state, s2[at])
+    s3 = s3[at[pair]]
+    return np.concatenate((pairs, word(pairs[s3 != 0], s3[s3 != 0])[0]))
+
+
+def advance(trie, s1, s2, s3) -> np.ndarray:
+    """How often each state is reached as a pair or a triple."""
+    return np.bincount(reached(trie, s1, s2, s3), minlength=len(trie[2]))
 
 
 def _advanced(seed: int, shards: int, tries, pair_bits):
-    """(shard, state, n): counts of a task's texts over all shards' tries."""
+    """(shard, state, n): counts of a slice's texts over all shards' tries."""
     def run(batches):
         p = pair_bits.value
         held = {k: tuple(np.frombuffer(b, dtype=t) for b, t in zip(x, (np.uint64, np.int32, np.int32)))
                 for k, x in tries.value.items()}
-        counts = {}
+        sizes = [len(held[k][2]) if k in held else 0 for k in range(shards)]
+        first = np.cumsum([0, *sizes])   # states of all shards numbered on
         for s1, s2, s3 in windows(batches, seed):
             k2 = pair_key(s1, s2)
             some = (s2 != 0) & among(p, k2)
-            shard = (k2[some] % np.uint64(shards)).astype(np.int64)
+            shard = (k2[some] % np.uint64(shards)).astype(np.min_scalar_type(shards))
             order = np.argsort(shard, kind="stable")
             rows = [x[some][order] for x in (s1, s2, s3)]
             edges = np.searchsorted(shard[order], np.arange(shards + 1))
-            for k, trie in held.items():
-                if edges[k] < edges[k + 1]:
-                    n = advance(trie, *(x[edges[k]:edges[k + 1]] for x in rows))
-                    counts[k] = counts[k] + n if k in counts else n
-        for k, n in counts.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(at), pa.array(n[at])],
-                                             ["shard", "state", "n"])
+            states = [reached(trie, *(x[edges[k]:edges[k + 1]] for x in rows)) + first[k]
+                      for k, trie in held.items() if edges[k] < edges[k + 1]]
+            if states:
+                at, n = np.unique(np.concatenate(states).astype(np.min_scalar_type(first[-1])), return_counts=True)
+                k = np.searchsorted(first, at, side="right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at.astype(np.int64) - first[k]), pa.array(n)],
+                                                 ["shard", "state", "n"])
     return run
 
 
@@ -425,7 +453,8 @@ def counts_of(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COUNT,
 
     pairs, pair_bits = passed(_buckets(seed, mask, word_bits), "pairs")
     triples, triple_bits = passed(_buckets(seed, mask, word_bits, pair_bits), "triples")
-    met = texts.mapInArrow(_candidates(seed, mask, pair_bits, triple_bits), "k long, k2 long, s1 long, s2 long, s3 long").distinct()
+    met = texts.mapInArrow(_candidates(seed, pair_bits, triple_bits), "s1 long, s2 long, s3 long").distinct()
+    met = met.mapInArrow(_keyed(mask), "k long, k2 long, s1 long, s2 long, s3 long")
     candidates = scratch.keep(met.join(pairs.unionByName(triples), "k", "left_semi"), "candidates")
     n = candidates.count()
     shards = max(1, math.ceil(n / SHARD))
@@ -463,8 +492,10 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, inside: int = INSI
     scratch = Scratch(docs.sparkSession, "phrases")
     vocabulary, phrases = counts_of(docs, scratch, min_count, trie_bytes)
 
+    frequent = vocabulary.filter(F.col("f") >= min_count)   # a phrase is no more frequent than its words
+
     def word(i, lang=False):
-        return vocabulary.select(F.col("s").alias(f"s{i}"), F.col("word").alias(f"w{i}"), F.col("f").alias(f"f{i}"),
+        return frequent.select(F.col("s").alias(f"s{i}"), F.col("word").alias(f"w{i}"), F.col("f").alias(f"f{i}"),
                                  *(["lang"] if lang else []))
 
     pairs, triples = phrases.filter("s3 = 0").select("s1", "s2", "a"), phrases.filter("s3 <> 0")

@@ -265,3 +265,21 @@ def test_double_array_against_a_dictionary():
             for p in ((x[0], x[1], 0), tuple(x)):
                 want[p] += p in held
         assert [int(counts[t]) for t in states] == [want[tuple(p)] for p in c.tolist()]
+
+
+def test_tries_have_few_empty_places():
+    rng = np.random.default_rng(2)
+    c = np.unique(np.minimum(rng.zipf(1.2, (20_000, 3)), 30_000), axis=0)
+    c = np.unique(np.concatenate((c, np.column_stack((c[:, :2], np.zeros(len(c), dtype=c.dtype))))), axis=0)
+    _, check, state = ph.double_array(*c.T)
+    assert len(set(state.tolist())) == len(c) and len(check) < 3 * len(c)   # one step a word left most places empty
+
+
+def test_candidates_travel_without_keys(spark):
+    s = [np.array(x, dtype=np.uint64) for x in ([5, 6], [7, 8], [0, 9])]
+    batch = pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in s], ["s1", "s2", "s3"])
+    [got] = ph._keyed(np.uint64(0xFFFF))([batch])
+    k2 = ph.pair_key(s[0], s[1])
+    want = np.array([k2[0], ph.triple_key(*s)[1]]) & np.uint64(0xFFFF)
+    assert got.column("k").to_pylist() == want.tolist()
+    assert got.column("k2").to_pylist() == k2.view(np.int64).tolist()
