@@ -11,7 +11,8 @@
    holds for their blocks, and each point is tried against the other cell's
    pivot, radius and the plane between both pivots.
 4. Distances are computed between the blocks that are left, and the k nearest
-   of all are kept (ties by the neighbour's key).
+   of all are kept (ties by the neighbour's key).  Blocks are shuffled to tiles of
+   up to 128 blocks, once each, not once per pair of blocks.
 
 No candidate is capped: whatever can be within a point's bound is examined, so
 the result is exact.  How many pairs of points are left depends on the data:
@@ -31,6 +32,8 @@ from ..session import checkpoint
 MOST_PIVOTS, ALL_PIVOTS = 1024, 1 << 15
 #: points of a block at most, on average
 BLOCK = 1024
+#: blocks of so many cells, and so many of a cell, are compared in one place with each block that any of them needs
+TILE_CELLS, TILE_SUBS = 32, 4
 #: relative room for rounding in bounds
 ROOM = 1e-9
 
@@ -157,19 +160,25 @@ class Cells:
             F.col("gap") * (1 - ROOM) - 1e-6 - F.col("radius") - F.col("radius2") <= F.col("reach"))
 
     def _met(self) -> DataFrame:
+        """Pairs of blocks with both blocks' points, tile by tile: a block travels once to a tile that needs it."""
         cols = ("n", "no", "tie", "mult", "vec", "r")
-        queries = self.blocks.select("g", "cell", "sub", *[F.col(c).alias(f"a{c}") for c in cols])
+        tile = [F.floor(F.col("cell") / TILE_CELLS).alias("tile"), F.floor(F.col("sub") / TILE_SUBS).alias("part")]
+        queries = self.blocks.select("g", *tile, "cell", "sub", *[F.col(c).alias(f"a{c}") for c in cols])
         others = self.blocks.select("g", F.col("cell").alias("cell2"), F.col("sub").alias("sub2"),
                                     *[F.col(c).alias(f"b{c}") for c in cols])
-        return self.pairs.select("g", "cell", "sub", "cell2", "sub2", "radius2").join(others, ["g", "cell2", "sub2"]).join(
-            queries, ["g", "cell", "sub"])
+        wanted = self.pairs.groupBy("g", *tile, "cell2", "sub2", "radius2").agg(
+            F.collect_list(F.struct("cell", "sub")).alias("wanted"))
+        sent = wanted.join(others, ["g", "cell2", "sub2"])
+        return sent.hint("merge").join(queries, ["g", "tile", "part"]).filter(
+            F.array_contains("wanted", F.struct("cell", "sub"))).drop("wanted")
 
     def _searches(self):
         """Function that names a block's points which have to be compared with another block."""
         d, pivots = self.d, self.blocks.sparkSession.sparkContext.broadcast(self.pivots)
 
-        def live(row) -> np.ndarray:
-            x, _, _, _, r = _unpack(row, "a", d)
+        def live(row, r=None) -> np.ndarray:
+            x, _, _, _, own_r = _unpack(row, "a", d)
+            r = own_r if r is None else r
             p = pivots.value[row["g"]]
             far = np.sqrt(((x - p[row["cell2"]]) ** 2).sum(1))
             least = far * (1 - ROOM) - row["radius2"]
@@ -187,18 +196,48 @@ class Cells:
         return self._met().rdd.map(lambda row: len(live(row)) * row["bn"]).sum()
 
     def nearest(self, k: int) -> DataFrame:
-        """(no, no2, distance, tie, copies): for each point at least its k nearest, found block by block."""
+        """(no, no2, distance, tie, copies): for each point at least its k nearest, found block by block.
+
+        Bounds tighten as a tile's blocks meet others, and a tile tells only the k nearest of what it has met.
+        """
         d, live = self.d, self._searches()
 
+        def least(q, no2, dd, tie, c):
+            """Of the found rows those that k nearest copies of each query need, and the queries' copies up to each."""
+            order = np.lexsort((no2, tie, dd, q))
+            q, no2, dd, tie, c = (v[order] for v in (q, no2, dd, tie, c))
+            before = np.cumsum(c) - c
+            before -= before[np.searchsorted(q, q)]
+            keep = before < k
+            return [v[keep] for v in (q, no2, dd, tie, c)], (before + c)[keep]
+
         def compare(rows):
+            tile, held = None, {}   # of the blocks of a tile: numbers, bounds, and the rows found so far
+
+            def told():
+                for no, _, (q, no2, dd, tie, c) in held.values():
+                    yield from zip(no[q].tolist(), no2.tolist(), dd.tolist(), tie.tolist(), c.tolist())
+
             for row in rows:
+                if (row["g"], row["tile"], row["part"]) != tile:
+                    yield from told()
+                    tile, held = (row["g"], row["tile"], row["part"]), {}
                 x, no, _, _, r = _unpack(row, "a", d)
-                y, other, tie, mult, _ = _unpack(row, "b", d)
-                todo = live(row)
-                for at in range(0, len(todo), 512):
-                    some = todo[at:at + 512]
-                    q, s, dd, c, _ = _nearest(x[some], no[some], y, other, tie, mult, k, r[some])
-                    yield from zip(no[some][q].tolist(), other[s].tolist(), dd.tolist(), tie[s].tolist(), c.tolist())
+                y, other, ties, mult, _ = _unpack(row, "b", d)
+                at = (row["cell"], row["sub"])
+                _, r, found = held.get(at) or (no, r.copy(), [np.empty(0, dtype=t) for t in (int, int, float, int, int)])
+                todo = live(row, r)
+                new = [found]
+                for i in range(0, len(todo), 512):
+                    some = todo[i:i + 512]
+                    q, s, dd, c, _ = _nearest(x[some], no[some], y, other, ties, mult, k, r[some])
+                    new.append([some[q], other[s], dd, ties[s], c])
+                if len(new) > 1:
+                    found, upto = least(*(np.concatenate(v) for v in zip(*new)))
+                    full = upto >= k
+                    np.minimum.at(r, found[0][full], found[2][full])
+                held[at] = no, r, found
+            yield from told()
 
         return self.blocks.sparkSession.createDataFrame(
             self._met().rdd.mapPartitions(compare), "no long, no2 long, distance double, tie long, copies long")

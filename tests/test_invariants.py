@@ -201,6 +201,16 @@ def test_knn_cells_are_exact_and_prune(spark, monkeypatch, block):
     assert np.allclose(got, d[:, :4])
 
 
+def test_knn_tells_each_point_once_per_tile(spark, monkeypatch):
+    monkeypatch.setattr(KNN, "BLOCK", 16)
+    x = np.random.default_rng(4).normal(size=(400, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    cells = KNN.Cells(KNN.distinct_points(df, "v", None, []), 3)
+    blocks = cells.blocks.count()
+    assert cells.pairs.count() > blocks * 10   # random vectors: nearly all pairs of blocks are compared
+    assert cells.nearest(3).groupBy("no").count().agg({"count": "max"}).first()[0] == 3
+
+
 def test_knn_prunes_departure_features(spark):
     x = L.departures_xy(spark, SF_CHECK, 15, "label")
     feats = [c for c in x.columns if c not in ("row_id", "label")]
