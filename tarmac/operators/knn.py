@@ -12,7 +12,8 @@
    pivot, radius and the plane between both pivots.
 4. Distances are computed between the blocks that are left, and the k nearest
    of all are kept (ties by the neighbour's key).  Blocks are shuffled to tiles of
-   up to 128 blocks, once each, not once per pair of blocks.
+   up to 128 blocks, once each, not once per pair of blocks.  A task holds the
+   blocks of one tile; those they are compared with pass by, one after the other.
 
 No candidate is capped: whatever can be within a point's bound is examined, so
 the result is exact.  How many pairs of points are left depends on the data:
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,11 +84,9 @@ def _nearest(x, no, y, other, tie, mult, k: int, bound):
     return q[keep], s[keep], d[keep], c[keep], before[keep] + c[keep]
 
 
-def _unpack(row, side: str, d: int):
-    n = row[f"{side}n"]
-    return (np.frombuffer(row[f"{side}vec"]).reshape(n, d), np.frombuffer(row[f"{side}no"], dtype=np.int64),
-            np.frombuffer(row[f"{side}tie"], dtype=np.int64), np.frombuffer(row[f"{side}mult"], dtype=np.int64),
-            np.frombuffer(row[f"{side}r"]))
+def _unpack(row, d: int):
+    return (np.frombuffer(row["vec"]).reshape(-1, d), *(np.frombuffer(row[c], dtype=np.int64) for c in ("no", "tie", "mult")),
+            np.frombuffer(row["r"]))
 
 
 _BLOCKS = "g string, cell int, sub int, n int, no binary, tie binary, mult binary, vec binary, r binary, radius double, reach double"
@@ -160,31 +160,28 @@ class Cells:
             F.col("gap") * (1 - ROOM) - 1e-6 - F.col("radius") - F.col("radius2") <= F.col("reach"))
 
     def _met(self) -> DataFrame:
-        """Pairs of blocks with both blocks' points, tile by tile: a block travels once to a tile that needs it."""
+        """Tile by tile its blocks (``wanted`` is null), then the blocks they have to be compared with (``wanted``: by which
+        of them): a block travels once to a tile that needs it."""
         cols = ("n", "no", "tie", "mult", "vec", "r")
         tile = [F.floor(F.col("cell") / TILE_CELLS).alias("tile"), F.floor(F.col("sub") / TILE_SUBS).alias("part")]
-        queries = self.blocks.select("g", *tile, "cell", "sub", *[F.col(c).alias(f"a{c}") for c in cols])
-        others = self.blocks.select("g", F.col("cell").alias("cell2"), F.col("sub").alias("sub2"),
-                                    *[F.col(c).alias(f"b{c}") for c in cols])
-        wanted = self.pairs.groupBy("g", *tile, "cell2", "sub2", "radius2").agg(
-            F.collect_list(F.struct("cell", "sub")).alias("wanted"))
-        sent = wanted.join(others, ["g", "cell2", "sub2"])
-        return sent.hint("merge").join(queries, ["g", "tile", "part"]).filter(
-            F.array_contains("wanted", F.struct("cell", "sub"))).drop("wanted")
+        wanted = self.pairs.groupBy("g", *tile, "cell2", "sub2").agg(F.collect_list(F.struct("cell", "sub")).alias("wanted"))
+        others = self.blocks.select("g", F.col("cell").alias("cell2"), F.col("sub").alias("sub2"), *cols, "radius")
+        sent = wanted.join(others, ["g", "cell2", "sub2"]).withColumnsRenamed({"cell2": "cell", "sub2": "sub"})
+        own = self.blocks.select("g", *tile, "cell", "sub", *cols, "radius").withColumn("wanted", F.lit(None))
+        return own.unionByName(sent).repartition("g", "tile", "part").sortWithinPartitions(
+            "g", "tile", "part", F.col("wanted").isNotNull(), "cell", "sub")
 
     def _searches(self):
         """Function that names a block's points which have to be compared with another block."""
-        d, pivots = self.d, self.blocks.sparkSession.sparkContext.broadcast(self.pivots)
+        pivots = self.blocks.sparkSession.sparkContext.broadcast(self.pivots)
 
-        def live(row, r=None) -> np.ndarray:
-            x, _, _, _, own_r = _unpack(row, "a", d)
-            r = own_r if r is None else r
+        def live(x, cell, r, row) -> np.ndarray:
             p = pivots.value[row["g"]]
-            far = np.sqrt(((x - p[row["cell2"]]) ** 2).sum(1))
-            least = far * (1 - ROOM) - row["radius2"]
-            if row["cell"] != row["cell2"]:   # what lies nearer to the other pivot lies behind the middle of both
-                gap = np.sqrt(((p[row["cell"]] - p[row["cell2"]]) ** 2).sum())
-                own = ((x - p[row["cell"]]) ** 2).sum(1)
+            far = np.sqrt(((x - p[row["cell"]]) ** 2).sum(1))
+            least = far * (1 - ROOM) - row["radius"]
+            if cell != row["cell"]:   # what lies nearer to the other pivot lies behind the middle of both
+                gap = np.sqrt(((p[cell] - p[row["cell"]]) ** 2).sum())
+                own = ((x - p[cell]) ** 2).sum(1)
                 least = np.maximum(least, (far ** 2 - own) / (2 * max(gap, 1e-300)) * (1 - ROOM) - 1e-6)
             return np.flatnonzero(least <= r * (1 + ROOM) + 1e-9)
 
@@ -192,8 +189,21 @@ class Cells:
 
     def candidates(self) -> int:
         """Pairs of points that the bounds leave to be compared."""
-        live = self._searches()
-        return self._met().rdd.map(lambda row: len(live(row)) * row["bn"]).sum()
+        live, d = self._searches(), self.d
+
+        def counted(batches):
+            tile, held = None, {}
+            for row in _rows(batches):
+                if (row["g"], row["tile"], row["part"]) != tile:
+                    tile, held = (row["g"], row["tile"], row["part"]), {}
+                x, _, _, _, r = _unpack(row, d)
+                if row["wanted"] is None:
+                    held[row["cell"], row["sub"]] = x.copy(), r.copy()
+                else:
+                    found = (live(held[w["cell"], w["sub"]][0], w["cell"], held[w["cell"], w["sub"]][1], row) for w in row["wanted"])
+                    yield pa.RecordBatch.from_pydict({"n": [sum(len(f) for f in found) * row["n"]]})
+
+        return self._met().mapInArrow(counted, "n long").agg(F.sum("n")).first()[0] or 0
 
     def nearest(self, k: int) -> DataFrame:
         """(no, no2, distance, tie, copies): for each point at least its k nearest, found block by block.
@@ -211,36 +221,49 @@ class Cells:
             keep = before < k
             return [v[keep] for v in (q, no2, dd, tie, c)], (before + c)[keep]
 
-        def compare(rows):
-            tile, held = None, {}   # of the blocks of a tile: numbers, bounds, and the rows found so far
+        def compare(batches):
+            tile, held = None, {}   # of the blocks of a tile: points, numbers, bounds, and the rows found so far
 
             def told():
-                for no, _, (q, no2, dd, tie, c) in held.values():
-                    yield from zip(no[q].tolist(), no2.tolist(), dd.tolist(), tie.tolist(), c.tolist())
+                for _, no, _, (q, no2, dd, tie, c) in held.values():
+                    yield pa.RecordBatch.from_pydict({"no": no[q], "no2": no2, "distance": dd, "tie": tie, "copies": c})
 
-            for row in rows:
+            for row in _rows(batches):
                 if (row["g"], row["tile"], row["part"]) != tile:
                     yield from told()
                     tile, held = (row["g"], row["tile"], row["part"]), {}
-                x, no, _, _, r = _unpack(row, "a", d)
-                y, other, ties, mult, _ = _unpack(row, "b", d)
-                at = (row["cell"], row["sub"])
-                _, r, found = held.get(at) or (no, r.copy(), [np.empty(0, dtype=t) for t in (int, int, float, int, int)])
-                todo = live(row, r)
-                new = [found]
-                for i in range(0, len(todo), 512):
-                    some = todo[i:i + 512]
-                    q, s, dd, c, _ = _nearest(x[some], no[some], y, other, ties, mult, k, r[some])
-                    new.append([some[q], other[s], dd, ties[s], c])
-                if len(new) > 1:
-                    found, upto = least(*(np.concatenate(v) for v in zip(*new)))
-                    full = upto >= k
-                    np.minimum.at(r, found[0][full], found[2][full])
-                held[at] = no, r, found
+                y, other, ties, mult, r = _unpack(row, d)
+                if row["wanted"] is None:   # copies, as views would hold the whole batch
+                    held[row["cell"], row["sub"]] = [y.copy(), other.copy(), r.copy(),
+                                                     [np.empty(0, dtype=t) for t in (int, int, float, int, int)]]
+                    continue
+                for w in row["wanted"]:
+                    mine = held[w["cell"], w["sub"]]
+                    x, no, r, found = mine
+                    todo = live(x, w["cell"], r, row)
+                    new = [found]
+                    for i in range(0, len(todo), 512):
+                        some = todo[i:i + 512]
+                        q, s, dd, c, _ = _nearest(x[some], no[some], y, other, ties, mult, k, r[some])
+                        new.append([some[q], other[s], dd, ties[s], c])
+                    if len(new) > 1:
+                        found, upto = least(*(np.concatenate(v) for v in zip(*new)))
+                        full = upto >= k
+                        np.minimum.at(r, found[0][full], found[2][full])
+                        mine[3] = found
             yield from told()
 
-        return self.blocks.sparkSession.createDataFrame(
-            self._met().rdd.mapPartitions(compare), "no long, no2 long, distance double, tie long, copies long")
+        return self._met().mapInArrow(compare, "no long, no2 long, distance double, tie long, copies long")
+
+
+def _rows(batches):
+    """Rows of Arrow batches (of 64 MB at most by Spark's setting), binary values as views of them."""
+    for batch in batches:
+        names = batch.schema.names
+        views = [n for n in names if pa.types.is_binary(batch.schema.field(n).type) or pa.types.is_large_binary(batch.schema.field(n).type)]
+        columns = {n: batch.column(n) for n in names}
+        for i in range(batch.num_rows):
+            yield {n: columns[n][i].as_buffer() if n in views else columns[n][i].as_py() for n in names}
 
 
 def distinct_points(points: DataFrame, vec_col: str, group: str | None, payload: list[str]) -> DataFrame:

@@ -220,6 +220,25 @@ def test_knn_prunes_departure_features(spark):
     assert KNN.Cells(dv, 5).candidates() < 0.1 * dv.count() ** 2
 
 
+def test_knn_tasks_get_a_block_once_a_tile(spark, monkeypatch):
+    """Python gets a tile's blocks and each block they meet once, not a row with both blocks for every pair."""
+    monkeypatch.setattr(KNN, "BLOCK", 16)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(900, 3)).round(2)
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "row_id long, v array<double>")
+    cells = KNN.Cells(KNN.distinct_points(df, "v", None, []), 4)
+    blocks, pairs, met = cells.blocks.count(), cells.pairs.count(), cells._met()
+    assert met.filter("wanted is null").count() == blocks
+    assert met.filter("wanted is not null").groupBy("tile", "part", "cell", "sub").count().filter("count > 1").isEmpty()
+    assert met.select(F.sum(F.size("wanted")).alias("n")).first()["n"] == pairs > 2 * met.count()
+    plan = cells.nearest(4)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "ExistingRDD" not in plan.split("MapInArrow")[0]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    for r in KNN.knn(df, "row_id", "v", 4).groupBy("row_id").agg(F.sort_array(F.collect_list("distance")).alias("d")).collect():
+        assert np.allclose(r["d"], np.sort(d[r["row_id"]])[:4])
+
+
 def test_samples_are_the_first_by_hash(spark):
     from tarmac.operators.windows import hash_key
     df = spark.range(5000).selectExpr("id * 7 as row_id", "cast(id % 10 = 0 as int) as label", "id").repartition(6)
