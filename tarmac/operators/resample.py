@@ -67,92 +67,111 @@ def stratified_sample(df: DataFrame, label: str, max_samples: int, seed: int = 4
     return sample_n(_least_hashes(df, q, [label], seed, key), max_samples, seed, key)
 
 
-def undersample(df: DataFrame, label: str, seed: int = 42, key: str = "row_id") -> DataFrame:
+def undersample(df: DataFrame, label: str, seed: int = 42, key: str = "row_id", group: str | None = None) -> DataFrame:
     """M7: every class cut to the minority size (seeded hash order within class); rows without a class are left out."""
-    df = df.filter(F.col(label).isNotNull())
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    q = J.with_global(counts, counts.agg(F.min("_n").alias("_quota")))
-    return _least_hashes(df, q, [label], seed, key)
+    df, by = df.filter(F.col(label).isNotNull()), _by(group)
+    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("_n"))
+    q = _with_own(counts, counts.groupBy(*by).agg(F.min("_n").alias("_quota")), by)
+    return _least_hashes(df, q, [*by, label], seed, key)
+
+
+def _by(group: str | None) -> list[str]:
+    return [group] if group else []
+
+
+def _with_own(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
+    """Every row with its group's row of ``stats``; groups are few datasets."""
+    return df.join(F.broadcast(stats), by) if by else J.with_global(df, stats)
 
 
 def smote(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
-          key: str = "row_id") -> DataFrame:
+          key: str = "row_id", group: str | None = None) -> DataFrame:
     """M8: grow the minority class to the majority size with synthetic points
     x + u * (nn - x), nn one of the k nearest minority neighbours of x.
 
     With k or fewer minority points each has all others as neighbours, and a
     single one is its own neighbour, so the minority class always reaches the
     majority size.  Minority point of rank i spawns floor(need / n_min) (+1 if i < need mod
-    n_min) points; neighbour choice and u come from seeded hashes.
+    n_min) points; neighbour choice and u come from seeded hashes.  Each ``group`` (a number of a dataset, never null)
+    is grown on its own, as in every function here; all of them in the same jobs.
     """
+    by = _by(group)
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    ext = counts.agg(F.min_by(label, "_nc").alias("_minlab"), F.min("_nc").alias("_nmin"), F.max("_nc").alias("_nmax"))
-    base = J.with_global(df.withColumn("_vec", vec), ext)
+    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("_nc"))
+    ext = counts.groupBy(*by).agg(F.min_by(label, "_nc").alias("_minlab"), F.min("_nc").alias("_nmin"), F.max("_nc").alias("_nmax"))
+    base = _with_own(df.withColumn("_vec", vec), ext, by)
     mino = base.filter(F.col(label) == F.col("_minlab"))
-    nn = knn(mino.select(key, "_vec"), key, "_vec", k).select(key, "j", "nn_vec")
+    nn = knn(mino.select(key, *by, "_vec"), key, "_vec", k, group).select(key, *by, "j", "nn_vec")
     h = mino.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    r = global_row_number(h, ["_h", key], out="_rn", hashed=HASH64).drop("total")
+    r = global_row_number(h, ["_h", key], by, out="_rn", hashed=HASH64).drop("total")
     need = F.col("_nmax") - F.col("_nmin")
     per = F.floor(need / F.col("_nmin")) + F.when(F.col("_rn") - 1 < F.pmod(need, F.col("_nmin")), 1).otherwise(0)
     spawn = r.withColumn("_per", per.cast("int")).filter(F.col("_per") > 0)
-    spawn = spawn.select(key, label, "_vec", "_nmin", F.explode(F.sequence(F.lit(1), F.col("_per"))).alias("_t"))
+    spawn = spawn.select(key, *by, label, "_vec", "_nmin", F.explode(F.sequence(F.lit(1), F.col("_per"))).alias("_t"))
     spawn = spawn.withColumn("j", (F.pmod(F.xxhash64(F.col(key), F.col("_t"), F.lit(seed)),
                                               F.greatest(F.least(F.lit(k), F.col("_nmin") - 1), F.lit(1))) + 1).cast("int"))
-    s = spawn.join(nn, [key, "j"], "left").withColumn("nn_vec", F.coalesce("nn_vec", "_vec"))
+    s = spawn.join(nn, [key, *by, "j"], "left").withColumn("nn_vec", F.coalesce("nn_vec", "_vec"))
     u = _u01(F.col(key), F.col("_t"), seed=seed + 1)
-    synth = s.select(label, F.zip_with("_vec", "nn_vec", lambda a, b: a + u * (b - a)).alias("_vec"),
+    synth = s.select(*by, label, F.zip_with("_vec", "nn_vec", lambda a, b: a + u * (b - a)).alias("_vec"),
                      F.lit(1).alias("synthetic"), F.col(key).alias("parent"), "_t")
     synth = synth.withColumn(key, -(F.abs(F.xxhash64(F.col("parent"), F.col("_t"), F.lit(seed))) + 1))
-    orig = base.select(key, label, "_vec", F.lit(0).alias("synthetic"), F.col(key).alias("parent"))
+    orig = base.select(key, *by, label, "_vec", F.lit(0).alias("synthetic"), F.col(key).alias("parent"))
     out = orig.unionByName(synth.drop("_t"))
-    return out.select(key, label, "synthetic", "parent",
+    return out.select(key, *by, label, "synthetic", "parent",
                       *[F.col("_vec")[i].alias(c) for i, c in enumerate(features)])
 
 
-def enn_clean(df: DataFrame, label: str, features: Sequence[str], k: int = 3, key: str = "row_id") -> DataFrame:
+def enn_clean(df: DataFrame, label: str, features: Sequence[str], k: int = 3, key: str = "row_id",
+              group: str | None = None) -> DataFrame:
     """Edited nearest neighbours: keep a row only if all k nearest neighbours share its label."""
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    df = checkpoint(df)
+    df, ids = checkpoint(df), [key, *_by(group)]
     pts = df.withColumn("_vec", vec)
-    nn = knn(pts.select(key, label, "_vec"), key, "_vec", k, payload=(label,))
-    bad = nn.join(pts.select(key, label), key).filter(F.col(f"nn_{label}") != F.col(label)).select(key).distinct()
-    return df.join(bad, key, "left_anti")
+    nn = knn(pts.select(*ids, label, "_vec"), key, "_vec", k, group, payload=(label,))
+    bad = nn.join(pts.select(*ids, label), ids).filter(F.col(f"nn_{label}") != F.col(label)).select(*ids).distinct()
+    return df.join(bad, ids, "left_anti")
 
 
-def tomek_clean(df: DataFrame, label: str, features: Sequence[str], key: str = "row_id") -> DataFrame:
+def tomek_clean(df: DataFrame, label: str, features: Sequence[str], key: str = "row_id", group: str | None = None) -> DataFrame:
     """Remove both members of every Tomek link (mutual 1-NN of opposite classes)."""
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    df = checkpoint(df)
+    df, by = checkpoint(df), _by(group)
+    ids = [key, *by]
     pts = df.withColumn("_vec", vec)
-    nn = knn(pts.select(key, label, "_vec"), key, "_vec", 1, payload=(label,)).filter(F.col("j") == 1)
-    a = nn.select(key, F.col("vkey").alias("_a"), F.col("nn_key").alias("_b"), F.col(f"nn_{label}").alias("_nl"))
-    a = a.join(pts.select(key, label), key).filter(F.col("_nl") != F.col(label))
-    pairs = nn.select(F.col("vkey").alias("_b"), F.col("nn_key").alias("_back")).distinct()
-    linked = a.join(pairs, "_b").filter(F.col("_back") == F.col("_a")).select(key)
-    return df.join(linked, key, "left_anti")
+    nn = knn(pts.select(*ids, label, "_vec"), key, "_vec", 1, group, payload=(label,)).filter(F.col("j") == 1)
+    a = nn.select(*ids, F.col("vkey").alias("_a"), F.col("nn_key").alias("_b"), F.col(f"nn_{label}").alias("_nl"))
+    a = a.join(pts.select(*ids, label), ids).filter(F.col("_nl") != F.col(label))
+    pairs = nn.select(*by, F.col("vkey").alias("_b"), F.col("nn_key").alias("_back")).distinct()
+    linked = a.join(pairs, [*by, "_b"]).filter(F.col("_back") == F.col("_a")).select(*ids)
+    return df.join(linked, ids, "left_anti")
+
+
+def smote_enn(df, label, features, seed=42, key="row_id", group=None, grown=None):
+    """SMOTE (``grown`` if it has been made already), then edited nearest neighbours (3 neighbours)."""
+    grown = smote(df, label, features, 5, seed, key, group) if grown is None else grown
+    return enn_clean(grown, label, features, 3, key, group)
 
 
-def smote_enn(df, label, features, seed=42, key="row_id"):
-    """SMOTE, then edited nearest neighbours (3 neighbours)."""
-    return enn_clean(smote(df, label, features, 5, seed, key), label, features, 3, key)
+def smote_tomek(df, label, features, seed=42, key="row_id", group=None, grown=None):
+    """SMOTE (``grown`` if it has been made already), then Tomek-link removal."""
+    grown = smote(df, label, features, 5, seed, key, group) if grown is None else grown
+    return tomek_clean(grown, label, features, key, group)
 
 
-def smote_tomek(df, label, features, seed=42, key="row_id"):
-    """SMOTE, then Tomek-link removal."""
-    return tomek_clean(smote(df, label, features, 5, seed, key), label, features, key)
+#: resamplings that begin with SMOTE
+GROWING = ("smote", "smoteenn", "smotetomek")
 
 
 def resample(df: DataFrame, method: str | None, label: str, features: Sequence[str], seed: int = 42,
-             key: str = "row_id") -> DataFrame:
+             key: str = "row_id", group: str | None = None, grown: DataFrame | None = None) -> DataFrame:
     if method in (None, "none"):
         return df
     if method == "undersample":
-        return undersample(df, label, seed, key)
+        return undersample(df, label, seed, key, group)
     if method == "smote":
-        return smote(df, label, features, 5, seed, key).drop("synthetic", "parent")
+        return (smote(df, label, features, 5, seed, key, group) if grown is None else grown).drop("synthetic", "parent")
     if method == "smoteenn":
-        return smote_enn(df, label, features, seed, key).drop("synthetic", "parent")
+        return smote_enn(df, label, features, seed, key, group, grown).drop("synthetic", "parent")
     if method == "smotetomek":
-        return smote_tomek(df, label, features, seed, key).drop("synthetic", "parent")
+        return smote_tomek(df, label, features, seed, key, group, grown).drop("synthetic", "parent")
     raise ValueError(f"unknown resampling method {method!r}")

@@ -52,6 +52,13 @@ def documents_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents_xy``, written once for models that read it many times."""
+    from ..session import materialised
+    return materialised(spark, "documents_xy", [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("documents", "labels")],
+                        lambda: documents_xy(spark, sf_dir))
+
+
 _FEAT_SQL = f"""
 feat AS (SELECT d.row_id, l.lat, l.lon, l.elev, {Q.haversine_sql('l.lat', 'l.lon')} AS distance_km,
                 day(d.planned_ts) AS day_of_month,
@@ -215,7 +222,7 @@ def _search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import materialised
 
     def build() -> DataFrame:
-        rows = ML.run_search(documents_xy(spark, sf_dir), DOC_FEATURES, k=5, seed=42)
+        rows = ML.run_search(_documents(spark, sf_dir), DOC_FEATURES, k=5, seed=42)
         return spark.createDataFrame(
             [(r["candidate"], r["params"], r["mean_test_f1"], r["std_test_f1"], r["mean_test_balanced_accuracy"]) for r in rows],
             "candidate int, params map<string,string>, mean_test_f1 double, std_test_f1 double, "
@@ -237,7 +244,7 @@ def _sweep_log(spark: SparkSession, sf_dir: str) -> GR.RunLog:
     import hashlib
 
     from ..session import _source_stamp
-    xy = documents_xy(spark, sf_dir)
+    xy = _documents(spark, sf_dir)
     base = ML.best_params([r.asDict() for r in _search_rows(spark, sf_dir).collect()])
     stamp = _source_stamp(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("documents", "labels")])
     facts = hashlib.sha256(repr((stamp, sorted(base.items()), ML.SEARCH_SPACE)).encode()).hexdigest()[:16]
@@ -298,7 +305,7 @@ def final_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
     The winner's scores on the held-out folds come with the rows it was fitted
     on and the shared folder that holds its model and scaler table.
     """
-    xy = documents_xy(spark, sf_dir)
+    xy = _documents(spark, sf_dir)
     folds = ML.Folds(ML._union(ML.prepare_folds(xy, DOC_FEATURES, "smoteenn", 5, 42)), DOC_FEATURES)
     scores = {m: ML.evaluate(folds, m, None, 42) for m in ML.ESTIMATORS}
     folds.release()

@@ -106,18 +106,31 @@ class Folds:
             self._vectors.unpersist()
 
 
-def dataset(train: DataFrame, test: DataFrame | None, features: Sequence[str], resampling: str | None, number: int,
-            seed: int = 42) -> DataFrame:
-    """One dataset: the scaler is fitted on ``train``, which alone is resampled."""
+def scaled(train: DataFrame, test: DataFrame | None, number: int) -> DataFrame:
+    """One dataset's rows with its number (``data``) and ``is_test``: the scaler is fitted on ``train``."""
     tr, te, _ = SC.fit_transform(train, test)
-    tr = RS.resample(tr, resampling, LABEL, features, seed)
+    parts = [df.withColumns({"data": F.lit(number), "is_test": F.lit(t)}) for df, t in ((tr, False), (te, True)) if df is not None]
+    return _union(parts)
+
+
+def datasets(rows: DataFrame, features: Sequence[str], resampling: str | None, seed: int = 42, first: int = 0,
+             grown: DataFrame | None = None) -> DataFrame:
+    """``scaled`` rows as datasets, numbered from ``first`` on; the training rows of each are resampled on their own, all
+    in the same jobs.  ``grown``: their training rows after SMOTE, if made already."""
+    train = RS.resample(rows.filter("not is_test").drop("is_test"), resampling, LABEL, features, seed, "row_id", "data", grown)
 
-    def rows(df, is_test):
-        return df.select(F.lit(number).alias("data"), F.lit(is_test).alias("is_test"), F.col("row_id").cast("long"),
+    def picked(df, is_test):
+        return df.select((F.col("data") + first).alias("data"), F.lit(is_test).alias("is_test"), F.col("row_id").cast("long"),
                          F.col(LABEL).cast("int").alias("label"),
                          F.array(*[F.col(c).cast("double") for c in features]).alias("features"))
 
-    return rows(tr, False) if te is None else rows(tr, False).unionByName(rows(te, True))
+    return picked(train, False).unionByName(picked(rows.filter("is_test"), True))
+
+
+def dataset(train: DataFrame, test: DataFrame | None, features: Sequence[str], resampling: str | None, number: int,
+            seed: int = 42) -> DataFrame:
+    """One dataset: the scaler is fitted on ``train``, which alone is resampled."""
+    return datasets(checkpoint(scaled(train, test, 0)), features, resampling, seed, number)
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -127,21 +140,25 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def prepare_folds(xy: DataFrame, features: Sequence[str], resampling: str | None = None, k: int = 5, seed: int = 42,
-                  first: int = 0) -> list[DataFrame]:
-    """Datasets ``first`` to ``first + k - 1``: the folds of a stratified k-fold, prepared concurrently."""
+def scaled_folds(xy: DataFrame, features: Sequence[str], k: int = 5, seed: int = 42) -> list[DataFrame]:
+    """``scaled`` rows of the folds of a stratified k-fold, numbered from 0 on."""
     from ..functions.columns import require_columns
     require_columns(xy, [LABEL, "row_id", *features], forbidden=["carrier", "text"], numeric=features)   # P32
     folds = checkpoint(V.stratified_folds(xy, LABEL, k, seed))
 
     def one(f: int) -> DataFrame:
-        return dataset(folds.filter(F.col("fold") != f).drop("fold"), folds.filter(F.col("fold") == f).drop("fold"),
-                       features, resampling, first + f, seed)
+        return scaled(folds.filter(F.col("fold") != f).drop("fold"), folds.filter(F.col("fold") == f).drop("fold"), f)
 
-    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as ex:
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as ex:   # fitting a scaler may take jobs
         return list(ex.map(one, range(k)))
 
 
+def prepare_folds(xy: DataFrame, features: Sequence[str], resampling: str | None = None, k: int = 5, seed: int = 42,
+                  first: int = 0) -> list[DataFrame]:
+    """Datasets ``first`` to ``first + k - 1``: the folds of a stratified k-fold, prepared in the same jobs."""
+    return [datasets(checkpoint(_union(scaled_folds(xy, features, k, seed))), features, resampling, seed, first)]
+
+
 def forest_fit(data: int, params: dict | None = None, weight_mode: str | None = None, seed: int = 42) -> TR.Fit:
     p = {**FOREST, **(params or {})}
     weight = POS_WEIGHT if weight_mode == "positive" else weight_mode
@@ -210,12 +227,16 @@ def cross_validate(xy: DataFrame, features: Sequence[str], model: str, resamplin
         folds.release()
 
 
+def scaled_split(xy: DataFrame, split: DataFrame, number: int = 0) -> DataFrame:
+    """``scaled`` rows of a split (row_id, is_test): the past trains, the future tests."""
+    d = checkpoint(xy.join(split.select("row_id", "is_test"), "row_id"))
+    return scaled(d.filter("is_test = 0").drop("is_test"), d.filter("is_test = 1").drop("is_test"), number)
+
+
 def split_dataset(xy: DataFrame, split: DataFrame, features: Sequence[str], resampling: str | None = None, number: int = 0,
                   seed: int = 42) -> DataFrame:
-    """The dataset of a split (row_id, is_test): the past trains, the future tests."""
-    d = xy.join(split.select("row_id", "is_test"), "row_id")
-    return dataset(d.filter("is_test = 0").drop("is_test"), d.filter("is_test = 1").drop("is_test"), features, resampling,
-                   number, seed)
+    """The dataset of a split."""
+    return datasets(checkpoint(scaled_split(xy, split)), features, resampling, seed, number)
 
 
 def out_of_time(xy: DataFrame, split: DataFrame, features: Sequence[str], model: str, resampling: str | None = None,
@@ -326,18 +347,21 @@ def run_sweep(xy: DataFrame, split: DataFrame, features: Sequence[str], base: di
               seed: int = 42, strategies: Sequence[tuple] | None = None) -> list[dict]:
     """Every strategy under k-fold and under the given split (row_id, is_test), with forest settings ``base``.
 
-    A resampling's folds are prepared once; all strategies' forests grow together.
+    Folds are dealt and scaled once for all resamplings, each resamples all of them in the same jobs, and those that
+    begin with SMOTE share its points; all strategies' forests grow together.
     """
     strategies = STRATEGIES if strategies is None else strategies
     kinds = list(dict.fromkeys(r for _, r, _ in strategies))
+    rows = checkpoint(_union([*scaled_folds(xy, features, k, seed), scaled_split(xy, split, k)]))
+    grown = None
+    if sum(r in RS.GROWING for r in kinds) > 1:
+        grown = checkpoint(RS.smote(rows.filter("not is_test").drop("is_test"), LABEL, features, 5, seed, "row_id", "data"))
 
-    def prepared(i: int) -> list[DataFrame]:
-        at = i * (k + 1)
-        return [*prepare_folds(xy, features, kinds[i], k, seed, at), split_dataset(xy, split, features, kinds[i], at + k, seed)]
+    def prepared(i: int) -> DataFrame:
+        return datasets(rows, features, kinds[i], seed, i * (k + 1), grown)
 
     with ThreadPoolExecutor(max_workers=len(kinds)) as ex:
-        parts = [p for group in ex.map(prepared, range(len(kinds))) for p in group]
-    folds = Folds(_union(parts), features)
+        folds = Folds(_union(list(ex.map(prepared, range(len(kinds))))), features)
     plan = [(name, f, forest_fit(kinds.index(r) * (k + 1) + f, base, w, seed)) for name, r, w in strategies for f in range(k + 1)]
     scores = forest_scores(folds, [fit for _, _, fit in plan])
     folds.release()

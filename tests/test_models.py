@@ -352,3 +352,31 @@ def test_boosted_trees_in_a_task_see_cells():
         assert (t.feature[0], t.thr[0]) == (feature[0], thr[0])
         assert math.isclose(t.value[0], -spec.rate * total[0, 0] / (total[0, 1] + 1))
         m += t.value[TR._descend(t, np.zeros(1, dtype=np.int32), bins, 3)[0]]
+
+
+@pytest.mark.parametrize("method", ["undersample", "smote", "smoteenn", "smotetomek"])
+def test_datasets_resampled_together_equal_those_resampled_alone(spark, method):
+    from tarmac.operators import resample as RS
+    rng = np.random.default_rng(9)
+    rows = [(k, i, *map(float, rng.integers(0, 12, 2) + 5 * (i % 4 == 0)), int(i % 4 == 0) if i % 11 else None)
+            for k, n in ((3, 130), (7, 90)) for i in range(n)]
+    rows += rows[:20]   # rows that come twice
+    df = spark.createDataFrame(rows, "data int, row_id long, a double, b double, label int").persist()
+    got = RS.resample(df, method, "label", ["a", "b"], 5, "row_id", "data").select("data", "row_id", "label", "a", "b").collect()
+    want = [(k, *r) for k in (3, 7) for r in RS.resample(df.filter(F.col("data") == k).drop("data"), method, "label", ["a", "b"], 5)
+            .select("row_id", "label", "a", "b").collect()]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and len(want) > 60
+
+
+def test_sweep_grows_and_searches_all_folds_together(spark, xy, monkeypatch):
+    """The resamplings of a sweep take one SMOTE and one k-NN join each, not one per fold and strategy."""
+    from tarmac.operators import resample as RS
+    smote, knn, made, joined = RS.smote, RS.knn, [], []
+    monkeypatch.setattr(RS, "smote", lambda *a, **kw: made.append(1) or smote(*a, **kw))
+    monkeypatch.setattr(RS, "knn", lambda *a, **kw: joined.append(1) or knn(*a, **kw))
+    split = xy.select("row_id", (F.col("row_id") >= 320).cast("int").alias("is_test"))
+    rows = ML.run_sweep(xy, split, FEATURES, {"numTrees": 3}, 3)
+    assert len(made) == 1 and len(joined) == 3
+    assert len(rows) == 7 * 4 and all(sum(r[c] for c in ("tp", "fp", "fn", "tn")) == 80 for r in rows if r["scheme"] == "split")
+    assert all(sum(sum(r[c] for c in ("tp", "fp", "fn", "tn")) for r in rows if (r["strategy"], r["scheme"]) ==
+                   (s, "stratified_kfold")) == 400 for s, _, _ in ML.STRATEGIES)
