@@ -380,3 +380,21 @@ def test_sweep_grows_and_searches_all_folds_together(spark, xy, monkeypatch):
     assert len(rows) == 7 * 4 and all(sum(r[c] for c in ("tp", "fp", "fn", "tn")) == 80 for r in rows if r["scheme"] == "split")
     assert all(sum(sum(r[c] for c in ("tp", "fp", "fn", "tn")) for r in rows if (r["strategy"], r["scheme"]) ==
                    (s, "stratified_kfold")) == 400 for s, _, _ in ML.STRATEGIES)
+
+
+def test_stumps_in_a_task_equal_those_of_a_job_a_round(spark, xy, monkeypatch):
+    local = in_small_blocks(spark, xy)
+    monkeypatch.setattr(TR, "LOCAL_ROWS", 10)
+    rounds = in_small_blocks(spark, xy)
+    assert local.blocks.local and not rounds.blocks.local
+    sc = spark.sparkContext
+    sc.setJobGroup("stumps", "stumps")
+    try:
+        got = TR.grow_stumps(local.blocks, [0, 1, 2], 12)
+        assert len(sc.statusTracker().getJobIdsForGroup("stumps")) == 1
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    want = TR.grow_stumps(rounds.blocks, [0, 1, 2], 12)
+    for k in (0, 1, 2):
+        assert [s[:4] for s in got[k]] == [s[:4] for s in want[k]] and len(got[k]) > 3
+        assert all(math.isclose(s.alpha, t.alpha) for s, t in zip(got[k], want[k]))
