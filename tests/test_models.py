@@ -337,11 +337,14 @@ def test_forests_in_a_task_see_cells_and_share_draws(monkeypatch):
     assert (draw(key, np.zeros(1, dtype=np.uint64))[0] == np.searchsorted(TR._POISSON, u, side="right")).all()
 
 
-def test_boosted_trees_in_a_task_see_cells():
+def test_boosted_trees_in_a_task_see_cells(monkeypatch):
     rng = np.random.default_rng(6)
     bins = rng.integers(0, [9, 7, 3, 2], size=(3000, 4)).astype(np.uint8)
     y = ((bins[:, 0] + bins[:, 1] * bins[:, 3] + rng.normal(scale=2.0, size=3000)) > 5).astype(np.uint8)
-    held = TR._Held(TR.Block(0, False, TR._mix(np.arange(3000, dtype=np.uint64)), y, bins))
+    block = TR.Block(0, False, TR._mix(np.arange(3000, dtype=np.uint64)), y, bins)
+    assert (TR._held_to_boost(block).bins == bins).all()   # few rows stay as they are
+    monkeypatch.setattr(TR, "SUMMED_ROWS", 3000)
+    held = TR._held_to_boost(block)
     assert len(held.y) <= 9 * 7 * 3 * 2 * 2 and held.sizes().sum() == 3000
     spec = TR.Boosted(rounds=3, depth=3, positive_weight=2.4)
     m = np.zeros(3000)
