@@ -51,7 +51,7 @@ def dist(a: Column, b: Column) -> Column:
 
 def _identity(payload: list[str]) -> Column:
     """256-bit key of a vector with its payload: different points never share it in practice."""
-    return F.sha2(F.to_json(F.struct("vec", *payload)), 256)
+    return F.unhex(F.sha2(F.to_json(F.struct("vec", *payload)), 256))
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -271,7 +271,7 @@ def distinct_points(points: DataFrame, vec_col: str, group: str | None, payload:
     g = F.col(group).cast("string") if group else F.lit("")
     pts = points.select(F.coalesce(g, F.lit("\0")).alias("g"), *payload, F.col(vec_col).cast("array<double>").alias("vec"))
     dv = pts.groupBy("g", "vec", *payload).agg(F.count(F.lit(1)).alias("mult")).withColumn("vkey", _identity(payload))
-    return checkpoint(dv.withColumns({"no": F.monotonically_increasing_id(), "tie": F.xxhash64("vkey")}))
+    return checkpoint(dv.withColumns({"no": F.monotonically_increasing_id(), "tie": F.xxhash64(F.lower(F.hex("vkey")))}))
 
 
 def knn(points: DataFrame, id_col: str, vec_col: str, k: int, group: str | None = None, seed: int = 7,

@@ -122,20 +122,24 @@ def smote(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed:
 
 
 def enn_clean(df: DataFrame, label: str, features: Sequence[str], k: int = 3, key: str = "row_id",
-              group: str | None = None) -> DataFrame:
-    """Edited nearest neighbours: keep a row only if all k nearest neighbours share its label."""
+              group: str | None = None, stored: bool = False) -> DataFrame:
+    """Edited nearest neighbours: keep a row only if all k nearest neighbours share its label.
+
+    ``stored``: ``df`` is a checkpoint already.
+    """
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    df, ids = checkpoint(df), [key, *_by(group)]
+    df, ids = df if stored else checkpoint(df), [key, *_by(group)]
     pts = df.withColumn("_vec", vec)
     nn = knn(pts.select(*ids, label, "_vec"), key, "_vec", k, group, payload=(label,))
     bad = nn.join(pts.select(*ids, label), ids).filter(F.col(f"nn_{label}") != F.col(label)).select(*ids).distinct()
     return df.join(bad, ids, "left_anti")
 
 
-def tomek_clean(df: DataFrame, label: str, features: Sequence[str], key: str = "row_id", group: str | None = None) -> DataFrame:
+def tomek_clean(df: DataFrame, label: str, features: Sequence[str], key: str = "row_id", group: str | None = None,
+                stored: bool = False) -> DataFrame:
     """Remove both members of every Tomek link (mutual 1-NN of opposite classes)."""
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    df, by = checkpoint(df), _by(group)
+    df, by = df if stored else checkpoint(df), _by(group)
     ids = [key, *by]
     pts = df.withColumn("_vec", vec)
     nn = knn(pts.select(*ids, label, "_vec"), key, "_vec", 1, group, payload=(label,)).filter(F.col("j") == 1)
@@ -147,15 +151,15 @@ def tomek_clean(df: DataFrame, label: str, features: Sequence[str], key: str = "
 
 
 def smote_enn(df, label, features, seed=42, key="row_id", group=None, grown=None):
-    """SMOTE (``grown`` if it has been made already), then edited nearest neighbours (3 neighbours)."""
-    grown = smote(df, label, features, 5, seed, key, group) if grown is None else grown
-    return enn_clean(grown, label, features, 3, key, group)
+    """SMOTE (``grown`` if it is a checkpoint already), then edited nearest neighbours (3 neighbours)."""
+    points = smote(df, label, features, 5, seed, key, group) if grown is None else grown
+    return enn_clean(points, label, features, 3, key, group, grown is not None)
 
 
 def smote_tomek(df, label, features, seed=42, key="row_id", group=None, grown=None):
-    """SMOTE (``grown`` if it has been made already), then Tomek-link removal."""
-    grown = smote(df, label, features, 5, seed, key, group) if grown is None else grown
-    return tomek_clean(grown, label, features, key, group)
+    """SMOTE (``grown`` if it is a checkpoint already), then Tomek-link removal."""
+    points = smote(df, label, features, 5, seed, key, group) if grown is None else grown
+    return tomek_clean(points, label, features, key, group, grown is not None)
 
 
 #: resamplings that begin with SMOTE

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier, NaiveBayes
@@ -27,7 +27,7 @@ from ..operators import resample as RS
 from ..operators import scaling as SC
 from ..operators import trees as TR
 from ..operators import validation as V
-from ..session import checkpoint, shared_path
+from ..session import checkpoint, shared_path, step
 
 LABEL = "label"  # target column of the ML layer (0/1)
 
@@ -75,11 +75,15 @@ class Folds:
     blocks, Spark ML models one cached table of vectors.
     """
 
-    def __init__(self, rows: DataFrame, features: Sequence[str], name: str = "folds"):
+    def __init__(self, rows: DataFrame, features: Sequence[str], name: str = "folds", steps: Sequence[Callable[[], DataFrame]] = ()):
+        """``steps`` make further rows; each is written, and what it stored on the way removed, before the next one."""
         import uuid
         self.spark, self.features = rows.sparkSession, list(features)
         path = shared_path(self.spark, f"{name}/{uuid.uuid4().hex[:12]}")
         rows.hint("rebalance").write.parquet(path)
+        for make in steps:
+            with step(self.spark):
+                make().hint("rebalance").write.mode("append").parquet(path)
         self.rows = self.spark.read.parquet(path)
         self.data = sorted(r["data"] for r in self.rows.select("data").distinct().collect())
         self._blocks = self._vectors = None
@@ -360,8 +364,7 @@ def run_sweep(xy: DataFrame, split: DataFrame, features: Sequence[str], base: di
     def prepared(i: int) -> DataFrame:
         return datasets(rows, features, kinds[i], seed, i * (k + 1), grown)
 
-    with ThreadPoolExecutor(max_workers=len(kinds)) as ex:
-        folds = Folds(_union(list(ex.map(prepared, range(len(kinds))))), features)
+    folds = Folds(prepared(0), features, steps=[lambda i=i: prepared(i) for i in range(1, len(kinds))])
     plan = [(name, f, forest_fit(kinds.index(r) * (k + 1) + f, base, w, seed)) for name, r, w in strategies for f in range(k + 1)]
     scores = forest_scores(folds, [fit for _, _, fit in plan])
     folds.release()

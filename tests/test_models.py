@@ -401,3 +401,20 @@ def test_stumps_in_a_task_equal_those_of_a_job_a_round(spark, xy, monkeypatch):
     for k in (0, 1, 2):
         assert [s[:4] for s in got[k]] == [s[:4] for s in want[k]] and len(got[k]) > 3
         assert all(math.isclose(s.alpha, t.alpha) for s, t in zip(got[k], want[k]))
+
+
+def test_a_step_removes_its_checkpoints_and_no_others(spark):
+    import os
+
+    from tarmac import session as SS
+
+    def folder():
+        return spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    kept = SS.checkpoint(spark.range(10))
+    first = folder()
+    with SS.step(spark):
+        assert SS.checkpoint(spark.range(5)).count() == 5
+        inner = folder()
+        assert os.path.isdir(inner) and inner != first
+    assert not os.path.exists(inner) and kept.count() == 10
